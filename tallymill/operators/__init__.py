@@ -4,6 +4,8 @@ from .quality import distinct_metrics, missing_values, profile, quality_summary,
 from .rows import apply_rules, clean, clean_rows, dedup_by_key, derive, retype_times, row_rule
 from .runs import run_metrics, run_summary, run_table, side_by_side, timed
 from .summaries import (
+    combination_counts,
+    dimension_counts,
     dimension_table,
     grouping_counts,
     grouping_counts_sql,
@@ -20,9 +22,11 @@ __all__ = [
     "apply_rules",
     "clean",
     "clean_rows",
+    "combination_counts",
     "dedup_by_key",
     "derive",
     "dimension_check",
+    "dimension_counts",
     "dimension_table",
     "distinct_metrics",
     "five_way_check",

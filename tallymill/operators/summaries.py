@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.labels import safe_alias
 
 COUNT = "Accident_Count"
+INPUT = "Input_Count"
 MEAN = "Average_Severity"
 RATE = "Severity_3_4_Percentage"
 SHARE = "Percentage_of_All_Records"
@@ -102,34 +103,53 @@ def value_counts(frame: DataFrame, column: str, count: str = COUNT) -> DataFrame
     return frame.groupBy(column).agg(F.count("*").alias(count))
 
 
+def combination_counts(
+    frame: DataFrame, keys: Sequence[str], *, where: Column | None = None
+) -> DataFrame:
+    """Rows per combination of keys: all of them (Input_Count) and those that meet ``where``.
+
+    The condition is counted, not filtered on: a filter on a computed key moves
+    below the projection, which then computes the key twice.
+    """
+    chosen = F.count("*") if where is None else F.count_if(where)
+    return frame.groupBy(*keys).agg(F.count("*").alias(INPUT), chosen.alias(COUNT))
+
+
+def dimension_counts(
+    counted: DataFrame, dimensions: Sequence[str], *, extra_keys: Sequence[str] = ()
+) -> DataFrame:
+    """Dimension, Value (as text), Accident_Count per value of each dimension.
+
+    ``counted`` holds the dimensions and a count, as ``combination_counts`` gives.
+    """
+    keys = [*extra_keys, *dimensions]
+    sets = [[F.col(k) for k in (*extra_keys, name)] for name in dimensions]
+    inside = {name: F.grouping(name) == 0 for name in dimensions}
+    label = F.coalesce(*[F.when(test, F.lit(name)) for name, test in inside.items()])
+    value = F.coalesce(*[F.when(test, F.col(n).cast("string")) for n, test in inside.items()])
+    return (
+        counted.filter(F.col(COUNT) > 0)
+        .groupingSets(sets, *[F.col(k) for k in keys])
+        .agg(label.alias("Dimension"), value.alias("Value"), F.sum(COUNT).alias(COUNT))
+        .select(*extra_keys, "Dimension", "Value", COUNT)
+    )
+
+
 def grouping_counts(
     frame: DataFrame,
     dimensions: Sequence[str],
     *,
+    where: Column | None = None,
     extra_keys: Sequence[str] = (),
-    pre_aggregate: bool = True,
 ) -> DataFrame:
-    """Counts per value of each dimension, all from one scan.
+    """Counts per value of each dimension over the rows that meet ``where``, from one scan.
 
-    Rows: Dimension, Value (as text), Accident_Count.  The grouping sets repeat
-    their input once per dimension, so by default they run over the counts of the
-    dimension combinations instead of the rows.  Turn that off for dimensions
-    whose combinations are nearly as many as the rows.
+    Grouping sets repeat their input once per dimension, so they run over the
+    counts of the dimension combinations instead of the rows.  For dimensions whose
+    combinations are nearly as many as the rows, use ``grouping_counts_sql``.
     """
-    keys = [*extra_keys, *dimensions]
-    rows = F.count("*")
-    if pre_aggregate:
-        frame = frame.groupBy(*keys).agg(rows.alias(COUNT))
-        rows = F.sum(COUNT)
-    sets = [[F.col(k) for k in (*extra_keys, name)] for name in dimensions]
-    chosen = {name: F.grouping(name) == 0 for name in dimensions}
-    return frame.groupingSets(sets, *[F.col(k) for k in keys]).agg(
-        F.coalesce(*[F.when(test, F.lit(name)) for name, test in chosen.items()]).alias("Dimension"),
-        F.coalesce(
-            *[F.when(test, F.col(name).cast("string")) for name, test in chosen.items()]
-        ).alias("Value"),
-        rows.alias(COUNT),
-    ).select(*extra_keys, "Dimension", "Value", COUNT)
+    counted = combination_counts(frame, [*extra_keys, *dimensions], where=where)
+    return dimension_counts(counted, dimensions, extra_keys=extra_keys)
 
 
 def grouping_counts_sql(frame: DataFrame, dimensions: Sequence[str], *, view: str) -> DataFrame:

@@ -8,17 +8,22 @@ tasks and not the job.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timestamps import parse_timestamp
-from ..operators.checks import input_counts
 from ..operators.quality import missing_values, profile, quality_summary, validation
 from ..operators.rows import clean, retype_times, row_rule
 from ..operators.runs import run_metrics, run_summary, run_table, timed
-from ..operators.summaries import dimension_table, grouping_counts, level_counts
+from ..operators.summaries import (
+    combination_counts,
+    dimension_counts,
+    dimension_table,
+    level_counts,
+)
 from ..sinks.writers import staged, write_csv, write_json, write_partitioned
 from ..sources.readers import read_incidents_csv, read_parquet, read_summary_csv
 from ..sources.schema import COUNT_COLUMNS
@@ -123,23 +128,24 @@ def analysis_job(
     *,
     minimum_city_count: int = 1000,
     one_scan: bool = True,
+    writers: int = 8,
 ) -> None:
     """The cleaned dataset to all reports, one CSV folder each.
 
     ``one_scan`` counts every key in a single pass, stores those few rows, and makes
     the reports from them; only the numeric means read the dataset again.  Without
-    it the used columns are cached and each report aggregates them itself.
+    it the used columns are cached and each report aggregates them itself.  The
+    reports do not depend on one another, so ``writers`` of them are in flight at a time.
     """
     cleaned = read_parquet(spark, input_uri)
     base = report_base(cleaned)
     if one_scan:
         rollup = staged(incident_rollup(base), f"{output_uri}/staging/rollup")
         counts = lambda name: rollup_slice(rollup, name)
-        total = cleaned.agg(F.count("*"))
     else:
         base = base.persist()
         counts = lambda name: level_counts(base, SLICES[name])
-        total = base.agg(F.count("*"))
+    total = staged(cleaned.agg(F.count("*")), f"{output_uri}/staging/total")
     outputs = analysis_reports(
         cleaned,
         counts,
@@ -147,8 +153,13 @@ def analysis_job(
         total=total,
         info={"input_uri": input_uri, "output_uri": output_uri},
     )
-    for name, (frame, order) in outputs.items():
-        write_csv(frame, f"{output_uri}/{name}", order=order)
+    with ThreadPoolExecutor(writers) as pool:
+        writes = [
+            pool.submit(write_csv, frame, f"{output_uri}/{name}", order=order)
+            for name, (frame, order) in outputs.items()
+        ]
+        for write in writes:
+            write.result()
     base.unpersist()
 
 
@@ -164,10 +175,15 @@ def benchmark_rule():
     return row_rule(["State", "Start_Time"], {"Severity": (1, 4)})
 
 
+def benchmark_combinations(spark: SparkSession, input_uri: str, **csv_options) -> DataFrame:
+    """Input and valid rows per combination of the benchmark dimensions, from one scan."""
+    source = benchmark_source(spark, input_uri, **csv_options)
+    return combination_counts(source, DIMENSIONS, where=benchmark_rule())
+
+
 def benchmark_counts(spark: SparkSession, input_uri: str, **csv_options) -> DataFrame:
     """State, year and severity counts of the valid rows of a raw CSV."""
-    valid = benchmark_source(spark, input_uri, **csv_options).filter(benchmark_rule())
-    return grouping_counts(valid, DIMENSIONS)
+    return dimension_counts(benchmark_combinations(spark, input_uri, **csv_options), DIMENSIONS)
 
 
 def benchmark_job(
@@ -194,12 +210,11 @@ def benchmark_job(
         saved = read_summary_csv(spark, uri, layout="dimension_counts")
         stored.append(saved.withColumn("run", F.lit(number)))
 
-    seen = staged(
-        input_counts(benchmark_source(spark, input_uri, **csv_options), benchmark_rule()),
-        f"{output_uri}/staging/input_counts",
-    )
     log = spark.createDataFrame(measured, "run int, total_seconds double, output_uri string")
-    goal = F.lit(expected_rows) if expected_rows is not None else seen.select("input_rows").scalar()
+    if expected_rows is None:
+        goal = read_incidents_csv(spark, input_uri, **csv_options).agg(F.count("*")).scalar()
+    else:
+        goal = F.lit(expected_rows)
     log = log.withColumn("expected_rows", goal)
     counts = reduce(DataFrame.unionByName, stored)
 
@@ -239,8 +254,9 @@ def split_benchmark_job(
     frames = []
     for number in range(1, runs + 1):
         folder = f"{output_uri}/run_{number}"
-        counts = benchmark_counts(spark, input_uri, **csv_options).persist()
-        scan = timed(counts.count)
+        counted = benchmark_combinations(spark, input_uri, **csv_options).persist()
+        scan = timed(counted.count)
+        counts = dimension_counts(counted, DIMENSIONS)
         kinds = {"State": "string", "Year": "int", "Severity": "int"}
 
         def write_tables() -> None:
@@ -250,7 +266,9 @@ def split_benchmark_job(
                 write_csv(table, f"{folder}/{dimension.lower()}_counts", order=order)
 
         write = timed(write_tables)
-        seen = input_counts(benchmark_source(spark, input_uri, **csv_options), benchmark_rule())
+        seen = counted.agg(
+            F.sum("Input_Count").alias("input_rows"), F.sum("Accident_Count").alias("valid_rows")
+        )
         goal = F.lit(expected_rows) if expected_rows is not None else F.col("input_rows")
         log = seen.select(
             F.lit(number).alias("run"),
@@ -263,7 +281,7 @@ def split_benchmark_job(
         metrics = run_metrics(counts.withColumn("run", F.lit(number)), log)
         frames.append(staged(metrics, f"{folder}/run_metrics"))
         write_json(frames[-1], f"{folder}/run_metrics_json")
-        counts.unpersist()
+        counted.unpersist()
     table = reduce(DataFrame.unionByName, frames)
     write_csv(table, f"{output_uri}/benchmark_runs", order=["run"])
     summary = run_summary(

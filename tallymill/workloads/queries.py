@@ -231,7 +231,7 @@ def _five_way(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw records hold invalid rows, so every count but the input's must FAIL."""
     typed = typed_incidents(spark, sf_dir).withColumn("Year", F.year("Start_Time"))
     valid = jobs.benchmark_rule()
-    counts = summaries.grouping_counts(typed.filter(valid), DIMENSIONS)
+    counts = summaries.grouping_counts(typed, DIMENSIONS, where=valid)
     return checks.five_way_check(typed, valid, counts)
 
 
@@ -285,7 +285,9 @@ def _run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.avg("Visibility(mi)").alias("write_seconds"),
         F.count("*").alias("expected_rows"),
     )
-    counts = summaries.grouping_counts(records.filter(valid), DIMENSIONS, extra_keys=["run"])
+    counts = summaries.grouping_counts(
+        records, DIMENSIONS, where=valid, extra_keys=["run"]
+    )
     return runs.run_metrics(counts, log)
 
 
