@@ -2,7 +2,7 @@ from .checks import dimension_check, five_way_check, input_counts, pass_fail, re
 from .flags import flag_counts, flag_mask, flag_summary, flag_summary_union, flag_summary_unpivot
 from .quality import distinct_metrics, missing_values, profile, quality_summary, validation
 from .rows import apply_rules, clean, clean_rows, dedup_by_key, derive, retype_times, row_rule
-from .runs import run_metrics, run_summary, run_table, side_by_side, timed
+from .runs import run_facts, run_metrics, run_summary, run_table, side_by_side, timed
 from .summaries import (
     combination_counts,
     dimension_counts,
@@ -48,6 +48,7 @@ __all__ = [
     "reconcile",
     "retype_times",
     "row_rule",
+    "run_facts",
     "run_metrics",
     "run_summary",
     "run_table",

@@ -69,42 +69,49 @@ def run_metrics(
     write_seconds and expected_rows.
     """
     joined, names = _with_totals(counts, runs, dimensions)
-    seconds = [F.col("scan_and_aggregate_seconds"), F.col("write_seconds")]
+    parts = ["scan_and_aggregate_seconds", "write_seconds"]
     return joined.select(
         "run",
         "input_rows",
         "valid_rows",
-        *[F.round(s, 4).alias(n) for s, n in zip(seconds, ["scan_and_aggregate_seconds", "write_seconds"])],
-        F.round(seconds[0] + seconds[1], 4).alias("total_seconds"),
+        *[F.round(F.col(name), 4).alias(name) for name in parts],
+        F.round(F.col(parts[0]) + F.col(parts[1]), 4).alias("total_seconds"),
         _all_equal(["input_rows", "valid_rows", *names]).alias("reconciliation_status"),
     ).orderBy("run")
 
 
-def run_summary(
+def run_facts(
     runs: DataFrame,
     *,
     before: Mapping[str, object] | None = None,
     after: Mapping[str, object] | None = None,
     seconds: Sequence[str] = ("total_seconds",),
 ) -> DataFrame:
-    """(metric, value) rows: number of runs, median seconds, whether all reconciled.
+    """One row: number of runs, median seconds, whether all reconciled.
 
     ``before`` and ``after`` are given facts placed around the computed ones; a
-    list becomes a JSON array.
+    list becomes an array.
     """
 
     def given(facts: Mapping[str, object] | None) -> list[Column]:
-        return [
-            (F.array(*[F.lit(v) for v in fact]) if isinstance(fact, (list, tuple)) else F.lit(fact)).alias(name)
-            for name, fact in (facts or {}).items()
-        ]
+        cells = []
+        for name, fact in (facts or {}).items():
+            many = isinstance(fact, (list, tuple))
+            cell = F.array(*[F.lit(item) for item in fact]) if many else F.lit(fact)
+            cells.append(cell.alias(name))
+        return cells
 
     row = runs.agg(
         F.count("*").alias("runs"),
         *[F.round(F.median(name), 4).alias(f"median_{name}") for name in seconds],
         F.bool_and(F.col("reconciliation_status") == "PASS").alias("all_runs_reconciled"),
     )
-    return metric_rows(row.select(*given(before), "*", *given(after)))
+    return row.select(*given(before), "*", *given(after))
+
+
+def run_summary(runs: DataFrame, **facts) -> DataFrame:
+    """(metric, value) rows of ``run_facts``."""
+    return metric_rows(run_facts(runs, **facts))
 
 
 def side_by_side(

@@ -83,7 +83,7 @@ def top_k(summary: DataFrame, k: int, order: Sequence[str | Column]) -> DataFram
 
 def top_ascending(summary: DataFrame, label: str, value: str = COUNT, n: int = 10) -> DataFrame:
     """The ``n`` largest values, shown from smallest to largest; ties go by label."""
-    return top_k(summary, n, [F.desc(value), label]).orderBy(value, F.desc(label))
+    return top_k(summary, n, [F.desc(value), label]).orderBy(value, label)
 
 
 def mean_columns(

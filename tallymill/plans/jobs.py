@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.timestamps import parse_timestamp
 from ..operators.quality import missing_values, profile, quality_summary, validation
 from ..operators.rows import clean, retype_times, row_rule
-from ..operators.runs import run_metrics, run_summary, run_table, timed
+from ..operators.runs import run_facts, run_metrics, run_summary, run_table, timed
 from ..operators.summaries import (
     combination_counts,
     dimension_counts,
@@ -47,31 +47,37 @@ def prepare_job(
 
     The typed rows are stored as Parquet first, so the text is parsed once and the
     profile's passes read only the columns they need.  ``stage=False`` saves that
-    copy and scans the CSV for each pass.  Returns the stored cleaned dataset.
+    copy and scans the CSV for each pass.  Profile and cleaning do not depend on each
+    other and run side by side.  Returns the stored cleaned dataset.
     """
     typed = retype_times(read_incidents_csv(spark, input_uri, **csv_options))
     if stage:
         typed = staged(typed, f"{output_root}/staging/typed")
-    figures = staged(profile(typed), f"{output_root}/staging/profile")
-
     quality = f"{output_root}/results/data_quality"
-    write_csv(quality_summary(figures, input_uri=input_uri), f"{quality}/summary")
-    write_csv(
-        missing_values(figures),
-        f"{quality}/missing_values",
-        order=[F.desc("missing_percentage"), "column"],
-    )
-
     processed = f"{output_root}/processed/accidents_parquet"
-    write_partitioned(
-        clean(typed),
-        processed,
-        by=["Year"],
-        rebalance=rebalance,
-        max_records_per_file=max_records_per_file,
-    )
-    stored = read_parquet(spark, processed)
-    write_csv(validation(figures, stored, processed_uri=processed), f"{quality}/validation")
+
+    def write_quality() -> DataFrame:
+        figures = staged(profile(typed), f"{output_root}/staging/profile")
+        write_csv(quality_summary(figures, input_uri=input_uri), f"{quality}/summary")
+        write_csv(
+            missing_values(figures),
+            f"{quality}/missing_values",
+            order=[F.desc("missing_percentage"), "column"],
+        )
+        return figures
+
+    with ThreadPoolExecutor(1) as pool:
+        figures = pool.submit(write_quality)
+        write_partitioned(
+            clean(typed),
+            processed,
+            by=["Year"],
+            rebalance=rebalance,
+            max_records_per_file=max_records_per_file,
+        )
+        stored = read_parquet(spark, processed)
+        check = validation(figures.result(), stored, processed_uri=processed)
+    write_csv(check, f"{quality}/validation")
     return stored
 
 
@@ -284,7 +290,7 @@ def split_benchmark_job(
         counted.unpersist()
     table = reduce(DataFrame.unionByName, frames)
     write_csv(table, f"{output_uri}/benchmark_runs", order=["run"])
-    summary = run_summary(
+    summary = run_facts(
         table,
         before={"framework": "PySpark", "input": input_uri, "columns_used": COUNT_COLUMNS},
         seconds=("scan_and_aggregate_seconds", "total_seconds"),

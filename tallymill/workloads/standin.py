@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.rows import CLEAN_BETWEEN, CLEAN_FILL, CLEAN_NOT_NULL, clean_rows, retype_times
@@ -43,88 +43,74 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _null_if(test: Column, value: Column) -> Column:
-    return F.when(~test, value)
-
-
-def _times() -> dict[str, tuple[Column, Column]]:
-    """Each timestamp column as (value, raw text)."""
-    c = F.col
-    seconds = c("l_orderkey") * 37 % 1440 * 60 + c("l_linenumber") * 7 % 60
-    start = F.timestamp_add("SECOND", seconds, c("o_orderdate"))
-    micros = c("l_partkey") * 7919 % 1000000
-    junk = (c("l_discount") == 0.05) & (c("l_tax") == 0.05)
-    fine = c("l_returnflag") == "A"
-    digits = F.lpad(micros.cast("string"), 6, "0")
-    start_text = F.concat(start.cast("string"), F.when(fine, F.concat(F.lit("."), digits, F.lit("789"))).otherwise(""))
-    end = F.timestamp_add("HOUR", c("l_quantity").cast("bigint"), c("l_shipdate"))
-    return {
-        "Start_Time": (
-            _null_if(junk, F.when(fine, F.timestamp_add("MICROSECOND", micros, start)).otherwise(start)),
-            F.when(junk, "n/a").otherwise(start_text),
-        ),
-        "End_Time": (end, end.cast("string")),
-        "Weather_Timestamp": (c("ts"), c("ts").cast("string")),
-    }
-
-
-def _cells() -> dict[str, Column]:
-    """Every column but the timestamps."""
-    c = F.col
-    hour = F.floor(c("l_orderkey") * 37 % 1440 / 60)
-    light = F.when((hour < 6) | (hour >= 18), "Night").otherwise("Day")
-    one_sided = c("l_linestatus") == "F"
-    return {
-        "ID": _null_if(
-            (c("l_tax") == 0.08) & (c("l_discount") == 0.01),
-            F.concat_ws("-", c("l_orderkey"), c("l_linenumber")),
-        ),
-        "Source": F.concat(F.lit("Source"), c("l_returnflag")),
-        "Severity": _null_if(
-            (c("l_tax") == 0.08) & (c("l_discount") == 0.02),
-            F.substring("o_orderpriority", 1, 1).cast("int"),
-        ),
-        "Start_Lat": c("c_acctbal") / 250,
-        "Start_Lng": -c("o_totalprice") / 4000,
-        "End_Lat": _null_if(one_sided, c("c_acctbal") / 250),
-        "End_Lng": _null_if(one_sided, -c("o_totalprice") / 4000),
-        "Distance(mi)": c("l_discount") * c("l_quantity"),
-        "Description": F.concat_ws(", ", "l_returnflag", "l_linestatus", "o_orderpriority"),
-        "Street": F.concat(F.lit("Street "), c("l_suppkey")),
-        "City": _null_if(c("c_acctbal") < 0, c("c_mktsegment")),
-        "County": F.concat(F.lit("County "), c("n_regionkey")),
-        "State": _null_if(c("n_nationkey") == 24, c("n_name")),
-        "Zipcode": F.lpad(c("o_custkey").cast("string"), 9, "0"),
-        "Country": F.lit("US"),
-        "Timezone": F.concat(F.lit("US/"), c("n_regionkey")),
-        "Airport_Code": F.concat(F.lit("K"), c("n_nationkey")),
-        "Temperature(F)": c("value"),
-        "Wind_Chill(F)": _null_if(c("value") > 50, c("value") / 2),
-        "Humidity(%)": c("l_quantity") * 2,
-        "Pressure(in)": c("l_extendedprice") / 1000,
-        "Visibility(mi)": c("l_discount") * 100,
-        "Wind_Direction": F.upper(F.substring("event_type", 1, 2)),
-        "Wind_Speed(mph)": c("l_tax") * 100,
-        "Precipitation(in)": c("value") / 64,
-        "Weather_Condition": _null_if(c("event_type") == "error", c("event_type")),
-        "Amenity": c("l_discount") == 0.1,
-        "Bump": F.when(c("value") > 20, c("o_orderstatus") == "P"),
-        "Crossing": c("o_totalprice") > 300000,
-        "Give_Way": c("l_quantity") == 1,
-        "Junction": c("o_orderstatus") == "F",
-        "No_Exit": c("l_linenumber") == 7,
-        "Railway": c("event_type") == "view",
-        "Roundabout": c("l_extendedprice") < 1000,
-        "Station": c("l_returnflag") == "R",
-        "Stop": c("l_linestatus") == "O",
-        "Traffic_Calming": c("l_tax") == 0,
-        "Traffic_Signal": c("l_quantity") > 30,
-        "Turning_Loop": F.lit(False),
-        "Sunrise_Sunset": light,
-        "Civil_Twilight": light,
-        "Nautical_Twilight": light,
-        "Astronomical_Twilight": _null_if(c("l_quantity") == 50, light),
-    }
+START = (
+    "timestampadd(SECOND, l_orderkey * 37 % 1440 * 60 + l_linenumber * 7 % 60, o_orderdate)"
+)
+MICROS = "l_partkey * 7919 % 1000000"
+JUNK = "l_discount = 0.05 AND l_tax = 0.05"
+END = "timestampadd(HOUR, CAST(l_quantity AS BIGINT), l_shipdate)"
+LIGHT = "IF(l_orderkey * 37 % 1440 BETWEEN 360 AND 1079, 'Day', 'Night')"
+
+# The timestamp columns as raw text and as values.
+TIME_TEXTS = {
+    "Start_Time": f"CASE WHEN {JUNK} THEN 'n/a' ELSE concat(CAST({START} AS STRING), "
+    f"IF(l_returnflag = 'A', concat('.', lpad(CAST({MICROS} AS STRING), 6, '0'), '789'), '')) END",
+    "End_Time": f"CAST({END} AS STRING)",
+    "Weather_Timestamp": "CAST(ts AS STRING)",
+}
+TIME_VALUES = {
+    "Start_Time": f"CASE WHEN NOT ({JUNK}) THEN "
+    f"timestampadd(MICROSECOND, IF(l_returnflag = 'A', {MICROS}, 0), {START}) END",
+    "End_Time": END,
+    "Weather_Timestamp": "ts",
+}
+CELLS = {
+    "ID": "CASE WHEN l_tax <> 0.08 OR l_discount <> 0.01 "
+    "THEN concat_ws('-', l_orderkey, l_linenumber) END",
+    "Source": "concat('Source', l_returnflag)",
+    "Severity": "CASE WHEN l_tax <> 0.08 OR l_discount <> 0.02 "
+    "THEN CAST(substr(o_orderpriority, 1, 1) AS INT) END",
+    "Start_Lat": "c_acctbal / 250",
+    "Start_Lng": "-o_totalprice / 4000",
+    "End_Lat": "CASE WHEN l_linestatus <> 'F' THEN c_acctbal / 250 END",
+    "End_Lng": "CASE WHEN l_linestatus <> 'F' THEN -o_totalprice / 4000 END",
+    "Distance(mi)": "l_discount * l_quantity",
+    "Description": "concat_ws(', ', l_returnflag, l_linestatus, o_orderpriority)",
+    "Street": "concat('Street ', l_suppkey)",
+    "City": "CASE WHEN c_acctbal >= 0 THEN c_mktsegment END",
+    "County": "concat('County ', n_regionkey)",
+    "State": "CASE WHEN n_nationkey <> 24 THEN n_name END",
+    "Zipcode": "lpad(CAST(o_custkey AS STRING), 9, '0')",
+    "Country": "'US'",
+    "Timezone": "concat('US/', n_regionkey)",
+    "Airport_Code": "concat('K', n_nationkey)",
+    "Temperature(F)": "value",
+    "Wind_Chill(F)": "CASE WHEN value <= 50 THEN value / 2 END",
+    "Humidity(%)": "l_quantity * 2",
+    "Pressure(in)": "l_extendedprice / 1000",
+    "Visibility(mi)": "l_discount * 100",
+    "Wind_Direction": "upper(substr(event_type, 1, 2))",
+    "Wind_Speed(mph)": "l_tax * 100",
+    "Precipitation(in)": "value / 64",
+    "Weather_Condition": "CASE WHEN event_type <> 'error' THEN event_type END",
+    "Amenity": "l_discount = 0.1",
+    "Bump": "CASE WHEN value > 20 THEN o_orderstatus = 'P' END",
+    "Crossing": "o_totalprice > 300000",
+    "Give_Way": "l_quantity = 1",
+    "Junction": "o_orderstatus = 'F'",
+    "No_Exit": "l_linenumber = 7",
+    "Railway": "event_type = 'view'",
+    "Roundabout": "l_extendedprice < 1000",
+    "Station": "l_returnflag = 'R'",
+    "Stop": "l_linestatus = 'O'",
+    "Traffic_Calming": "l_tax = 0",
+    "Traffic_Signal": "l_quantity > 30",
+    "Turning_Loop": "false",
+    "Sunrise_Sunset": LIGHT,
+    "Civil_Twilight": LIGHT,
+    "Nautical_Twilight": LIGHT,
+    "Astronomical_Twilight": f"CASE WHEN l_quantity <> 50 THEN {LIGHT} END",
+}
 
 
 def _records(spark: SparkSession, sf_dir: str, columns: Sequence[str], *, text: bool) -> DataFrame:
@@ -143,8 +129,8 @@ def _records(spark: SparkSession, sf_dir: str, columns: Sequence[str], *, text:
         facts = facts.join(events, F.col("o_orderkey") == F.col("event_id"), "left")
     lineitem = table(spark, sf_dir, "lineitem")
     joined = lineitem.join(facts, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-    cells = _cells() | {name: pair[text] for name, pair in _times().items()}
-    return joined.select(*[cells[name].alias(name) for name in columns])
+    cells = CELLS | (TIME_TEXTS if text else TIME_VALUES)
+    return joined.selectExpr(*[f"{cells[name]} AS `{name}`" for name in columns])
 
 
 def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,15 @@ import math
 
 import duckdb
 
+# Spark type to the DuckDB types it stands for.
+KINDS = {
+    "string": {"VARCHAR"},
+    "int": {"INTEGER"},
+    "bigint": {"BIGINT"},
+    "double": {"DOUBLE"},
+    "boolean": {"BOOLEAN"},
+    "timestamp_ntz": {"TIMESTAMP"},
+}
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
     "pages benchmark labels conversations"
@@ -34,12 +43,16 @@ def _sorted_rows(names, rows):
 
 
 def differences(spark_frame, con, sql):
-    """Empty when names, types' kinds, row counts and values agree."""
+    """Empty when names, types, row counts and values agree."""
     cursor = con.execute(sql)
     names = [d[0] for d in cursor.description]
     expected = _sorted_rows(names, cursor.fetchall())
     if sorted(spark_frame.columns) != sorted(names):
         return f"columns {sorted(spark_frame.columns)} != {sorted(names)}"
+    kinds = {d[0]: str(d[1]) for d in cursor.description}
+    for name, kind in spark_frame.dtypes:
+        if kinds[name] not in KINDS[kind]:
+            return f"{name} is {kind}, oracle has {kinds[name]}"
     actual = _sorted_rows(spark_frame.columns, [tuple(r) for r in spark_frame.collect()])
     if len(actual) != len(expected):
         return f"{len(actual)} rows, oracle has {len(expected)}"

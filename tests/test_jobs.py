@@ -100,3 +100,7 @@ def test_split_benchmark(spark, raw, root):
     state = read_summary_csv(spark, f"{root}/split/run_1/state_counts")
     assert state.agg(F.sum("Accident_Count")).first()[0] == row.valid_rows
     assert spark.read.json(f"{root}/split/run_1/run_metrics_json").first().valid_rows == row.valid_rows
+    experiment = spark.read.json(f"{root}/split/benchmark_summary").first()
+    assert experiment.runs == 1 and experiment.all_runs_reconciled is False
+    assert experiment.median_total_seconds == row.total_seconds
+    assert list(experiment.columns_used) == ["State", "Severity", "Start_Time"]
