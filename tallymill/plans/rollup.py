@@ -43,9 +43,14 @@ def report_base(
     )
 
 
+def base_counts(base: DataFrame, name: str) -> DataFrame:
+    """Counts of one slice from the rows of ``report_base``."""
+    return level_counts(base, SLICES[name], LEVEL)
+
+
 def slice_counts(cleaned: DataFrame, name: str) -> DataFrame:
     """Counts of one slice straight from the cleaned rows."""
-    return level_counts(report_base(cleaned, [name]), SLICES[name], LEVEL)
+    return base_counts(report_base(cleaned, [name]), name)
 
 
 def incident_rollup(base: DataFrame) -> DataFrame:

@@ -379,6 +379,17 @@ ORACLES: dict[str, str] = {
       count(*) FILTER (WHERE "ID" IS NOT NULL AND {VALID}) AS valid_rows FROM acc""",
     "metric_rows": METRIC_ROWS,
     "prepare_then_state_summary": f"{DEDUPED} {STORED_STATE}",
+    "analysis_job_outputs": _reconciliation(False)
+    + """ UNION ALL SELECT "City_State", CAST(count(*) AS VARCHAR), 'CITY' FROM cl
+      GROUP BY "City_State" HAVING count(*) >= 20""",
+    "benchmark_job_totals": f"""{RECORDS}, n AS (
+      SELECT count(*) FILTER (WHERE {VALID}) AS valid, count(*) AS input FROM acc)
+      SELECT CAST(run AS INTEGER) AS run, valid AS state_total, valid AS year_total,
+        valid AS severity_total, CASE WHEN valid = input THEN 'PASS' ELSE 'FAIL' END
+        AS reconciliation_status FROM n, range(1, 3) AS r(run)""",
+    "split_benchmark_job_rows": f"""{RECORDS} SELECT 1 AS run, count(*) AS input_rows,
+      count(*) FILTER (WHERE {VALID}) AS valid_rows, CASE WHEN count(*) FILTER (WHERE {VALID}) = count(*)
+      THEN 'PASS' ELSE 'FAIL' END AS reconciliation_status FROM acc""",
     "validation": VALIDATION,
     "reconciliation": _reconciliation(True),
     "reconciliation_from_rollup": _reconciliation(False),

@@ -155,16 +155,12 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All raw records written as CSV and read back by the declared schema."""
-    path = f"{shared_folder(spark)}/raw_csv"
-    raw_incidents(spark, sf_dir).write.option("header", True).csv(path)
-    return read_incidents_csv(spark, path)
+    return read_incidents_csv(spark, _raw_csv(spark, sf_dir)[1])
 
 
 def _csv_grouping_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The benchmark query from raw CSV: three columns, rules, one grouping."""
-    path = f"{shared_folder(spark)}/raw_csv"
-    raw_incidents(spark, sf_dir).write.option("header", True).csv(path)
-    return jobs.benchmark_counts(spark, path)
+    return jobs.benchmark_counts(spark, _raw_csv(spark, sf_dir)[1])
 
 
 def _partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,9 +171,8 @@ def _partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _prepare_then_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw CSV through the prepare job, then the state report on what it stored."""
-    root = shared_folder(spark)
-    raw_incidents(spark, sf_dir).write.option("header", True).csv(f"{root}/raw_csv")
-    stored = jobs.prepare_job(spark, f"{root}/raw_csv", f"{root}/out")
+    root, raw = _raw_csv(spark, sf_dir)
+    stored = jobs.prepare_job(spark, raw, f"{root}/out")
     return reports.state_summary(slice_counts(stored, "place"))
 
 
@@ -362,6 +357,45 @@ def _staged_rollup_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def _raw_csv(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """A fresh shared folder and the raw records as CSV in it."""
+    root = shared_folder(spark)
+    raw_incidents(spark, sf_dir).write.option("header", True).csv(f"{root}/raw_csv")
+    return root, f"{root}/raw_csv"
+
+
+def _analysis_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned records stored, all reports written, and two of them read back."""
+    root = shared_folder(spark)
+    write_partitioned(cleaned_incidents(spark, sf_dir), f"{root}/cleaned")
+    jobs.analysis_job(spark, f"{root}/cleaned", f"{root}/reports", minimum_city_count=CITY_MINIMUM)
+    checked = read_summary_csv(
+        spark, f"{root}/reports/reconciliation", layout="Check STRING, Value STRING, Status STRING"
+    )
+    cities = read_summary_csv(
+        spark, f"{root}/reports/city_severity_min_{CITY_MINIMUM}", layout="top_cities"
+    )
+    ranked = cities.select(
+        F.col("City_State").alias("Check"),
+        F.col("Accident_Count").cast("string").alias("Value"),
+        F.lit("CITY").alias("Status"),
+    )
+    return checked.filter("Status <> 'INFO'").unionByName(ranked)
+
+
+def _benchmark_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of two timed runs from raw CSV; its invalid rows make them FAIL."""
+    root, raw = _raw_csv(spark, sf_dir)
+    return jobs.benchmark_job(spark, raw, f"{root}/bench", runs=2).drop("total_seconds", "output_uri")
+
+
+def _split_benchmark_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts of one run with scan and write timed apart."""
+    root, raw = _raw_csv(spark, sf_dir)
+    table = jobs.split_benchmark_job(spark, raw, f"{root}/bench", runs=1)
+    return table.select("run", "input_rows", "valid_rows", "reconciliation_status")
+
+
 def _chart(name: str, report: Callable[[DataFrame], DataFrame], chart: Callable) -> Query:
     return _report(name, lambda counts: chart(report(counts)))
 
@@ -417,6 +451,9 @@ QUERIES: dict[str, Query] = {
     "metrics_json_roundtrip": _metrics_json,
     "metric_rows": _cleaned(_metric_rows, []),
     "prepare_then_state_summary": _prepare_then_states,
+    "analysis_job_outputs": _analysis_job,
+    "benchmark_job_totals": _benchmark_job,
+    "split_benchmark_job_rows": _split_benchmark_job,
     # checks and runs
     "validation": _validation,
     "reconciliation": _cleaned(_reconciliation, []),
