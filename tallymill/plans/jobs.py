@@ -38,6 +38,7 @@ def prepare_job(
     output_root: str,
     *,
     stage: bool = True,
+    zoned: bool = False,
     rebalance: bool = False,
     max_records_per_file: int | None = None,
     **csv_options,
@@ -47,9 +48,10 @@ def prepare_job(
     The typed rows are stored as Parquet first, so the text is parsed once and the
     profile's passes read only the columns they need.  ``stage=False`` saves that
     copy and scans the CSV for each pass.  Profile and cleaning do not depend on each
-    other and run side by side.  Returns the stored cleaned dataset.
+    other and run side by side.  ``zoned=True`` stores ``timestamp`` in the session zone
+    instead of clock times.  Returns the stored cleaned dataset.
     """
-    typed = retype_times(read_incidents_csv(spark, input_uri, **csv_options))
+    typed = retype_times(read_incidents_csv(spark, input_uri, **csv_options), zoned=zoned)
     if stage:
         typed = staged(typed, f"{output_root}/staging/typed")
     quality = f"{output_root}/results/data_quality"

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallymill.plans import analysis_job, benchmark_job, prepare_job, split_benchmark_job
-from tallymill.sources import read_summary_csv
+from tallymill.sources import TIME_COLUMNS, read_summary_csv
 from tallymill.workloads.standin import raw_incidents
 
 
@@ -47,6 +47,14 @@ def test_prepare_is_the_same_without_staging_and_on_repeat(spark, stored, root,
     assert again.exceptAll(stored).count() == 0 and stored.exceptAll(again).count() == 0
 
 
+def test_zoned_times_are_an_option(spark, stored, root, raw):
+    zoned = prepare_job(spark, raw, f"{root}/zoned", zoned=True)
+    assert dict(stored.dtypes)["Start_Time"] == "timestamp_ntz"
+    assert dict(zoned.dtypes)["Start_Time"] == "timestamp"
+    same = zoned.withColumns({n: F.col(n).cast("timestamp_ntz") for n in TIME_COLUMNS})
+    assert same.exceptAll(stored).count() == 0 and same.count() == stored.count()
+
+
 REPORTS = [
     "state_summary",
     "top_100_cities_by_count",
