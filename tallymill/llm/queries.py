@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .language import predicted_languages
+from .licenses import license_scan
+from .lm import scored_corpus
 from .packing import pack_documents
 from .secrets import secret_digests
 from .spread import table
@@ -21,6 +23,8 @@ def _over(name: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
 
 QUERIES: dict[str, Query] = {
     "op3_warc_round_trip": _over("pages", warc_round_trip),
+    "op4_license_scan": _over("documents", license_scan),
+    "op6_lm_scoring": _over("documents", scored_corpus),
     "op8_secret_scan": _over("documents", secret_digests),
     "op9_packing": _over("documents", pack_documents),
     "op10_language_id": _over("documents", predicted_languages),
