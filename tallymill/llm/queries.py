@@ -6,31 +6,45 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .chunking import repeated_spans
+from .decontamination import ORACLE as DECONTAMINATION
+from .decontamination import contaminated
 from .language import predicted_languages
 from .licenses import license_scan
 from .lm import scored_corpus
 from .packing import pack_documents
 from .secrets import secret_digests
-from .spread import table
+from .spread import ship, table
 from .warc import warc_round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _over(name: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: operator(table(spark, sf_dir, name))
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return operator(table(spark, sf_dir, name))
+
+    return query
+
+
+def _contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Query] = {
     "op3_warc_round_trip": _over("pages", warc_round_trip),
     "op4_license_scan": _over("documents", license_scan),
+    "op5_substring_dedup": _over("documents", repeated_spans),
     "op6_lm_scoring": _over("documents", scored_corpus),
+    "op7_decontamination": _contaminated,
     "op8_secret_scan": _over("documents", secret_digests),
     "op9_packing": _over("documents", pack_documents),
     "op10_language_id": _over("documents", predicted_languages),
 }
 
 ORACLES: dict[str, str] = {
+    "op7_decontamination": DECONTAMINATION,
     "op3_warc_round_trip": """
         WITH p AS (
             SELECT page_id, coalesce(html, '') AS html,

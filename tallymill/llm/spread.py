@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import pathlib
+import tempfile
+import zipfile
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
@@ -15,6 +18,20 @@ from ..sinks.writers import shared_folder, staged
 Batches = Iterable[pa.RecordBatch]
 
 
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package where it is not installed; once per context."""
+    context = spark.sparkContext
+    if getattr(context, "_tallymill_shipped", False):
+        return
+    root = pathlib.Path(__file__).resolve().parents[1]
+    made = pathlib.Path(tempfile.mkdtemp(prefix="tallymill-")) / "tallymill.zip"
+    with zipfile.ZipFile(made, "w") as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, path.relative_to(root.parent))
+    context.addPyFile(str(made))
+    context._tallymill_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
