@@ -21,12 +21,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .spread import Batches, shared, stage
-from .text import NOT_SPACE, chunks, mix, words
+from .text import NOT_SPACE, Texts, chunks, mix, span_hashes, word_bounds
 
 SEQUENCE = 4096
 END_ID = 2
 GROUP_PIECES = 8192
-CACHED_WORDS = 200_000
+#: Units a worker remembers, and units encoded at once.
+CACHED_UNITS = 600_000
+JOINED = 1000
+
+SPACE, LETTER, DIGIT, QUOTE, OTHER, HIGH = range(6)
+UNIT_KIND = np.full(256, OTHER, np.uint8)
+UNIT_KIND[[9, 10, 11, 12, 13, 32]] = SPACE
+UNIT_KIND[48:58] = DIGIT
+UNIT_KIND[65:91] = UNIT_KIND[97:123] = LETTER
+UNIT_KIND[39] = QUOTE
+UNIT_KIND[128:] = HIGH
 
 PIECES = T.StructType(
     [
@@ -46,55 +56,153 @@ def vocabulary_file() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class WordIds:
-    """Ids of words, each encoded once while it stays in a bounded cache.
+def unit_bounds(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of units that the vocabulary's pre-tokenizer never joins.
 
-    The vocabulary drops white space and never joins across it, so a text's ids are its words' ids.
+    White space always parts.  Between ASCII bytes so do a letter and what is no letter, and a digit
+    and anything; an apostrophe may begin a unit with what follows it, so nothing is cut behind one.
     """
+    kind = UNIT_KIND[texts.data]
+    starts, ends = word_bounds(texts, NOT_SPACE)
+    before, after = kind[:-1], kind[1:]
+    ascii_pair = (before < HIGH) & (after < HIGH) & (before > SPACE) & (after > SPACE)
+    differs = ((before == LETTER) != (after == LETTER)) | (before == DIGIT) | (after == DIGIT)
+    inner = np.flatnonzero(ascii_pair & differs & (before != QUOTE)) + 1
+    cuts = np.zeros(len(texts.data) + 1, bool)
+    cuts[inner] = True
+    cuts[texts.offsets] = False
+    cuts[starts] = False
+    inner = np.flatnonzero(cuts)
+    return np.sort(np.concatenate([starts, inner])), np.sort(np.concatenate([ends, inner]))
+
+
+class UnitIds:
+    """Ids of units, each encoded once while it stays in a bounded cache of sorted arrays."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[int, bytes] = {}
+        names = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.closes = np.zeros(max(names.values()) + 1, bool)
+        for name, code in names.items():
+            self.closes[code] = name.endswith("</w>")
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.clock = 0
+        self.keys, self.used = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.uint32)
+
+    def encode(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of each unit one after the other, and how many each has.
+
+        Units of letters are one pre-token each, so many are encoded as one text and told
+        apart by the ids that close a word.
+        """
+        sizes = np.zeros(len(units), np.int64)
+        parts: list[np.ndarray] = []
+        order: list[int] = []
+        plain = [i for i, u in enumerate(units) if u.isalpha()]
+        odd = [i for i, u in enumerate(units) if not u.isalpha()]
+        for at in range(0, len(plain), JOINED):
+            some = plain[at : at + JOINED]
+            code = self.tokenizer.encode_batch_fast([" ".join(units[i] for i in some)], add_special_tokens=False)
+            ids = np.array(code[0].ids, np.uint32)
+            closes = np.flatnonzero(self.closes[ids]) + 1
+            if len(closes) != len(some):
+                odd += some
+                continue
+            sizes[some] = np.diff(closes, prepend=0)
+            parts.append(ids)
+            order += some
+        for at in range(0, len(odd), JOINED):
+            some = odd[at : at + JOINED]
+            for i, code in zip(some, self.tokenizer.encode_batch_fast([units[i] for i in some], add_special_tokens=False)):
+                parts.append(np.array(code.ids, np.uint32))
+                sizes[i] = len(parts[-1])
+            order += some
+        flat = np.concatenate([*parts, np.zeros(0, np.uint32)])
+        from_ = np.zeros(len(units), np.int64)
+        from_[order] = np.cumsum(sizes[order]) - sizes[order]
+        return ragged(flat, from_, sizes), sizes
+
+    def make_room(self, many: int) -> None:
+        """If too many units would be held, those not met for longest go."""
+        if len(self.keys) + many > CACHED_UNITS:
+            keep = self.used > np.sort(self.used)[max(0, len(self.used) - CACHED_UNITS // 2)]
+            self.flat = ragged(self.flat, self.starts[keep], self.sizes[keep])
+            self.keys, self.used, self.sizes = self.keys[keep], self.used[keep], self.sizes[keep]
+            self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def learn(self, keys: np.ndarray, units: list[str]) -> None:
+        flat, sizes = self.encode(units)
+        starts = np.cumsum(sizes) - sizes + len(self.flat)
+        every = np.concatenate([self.keys, keys])
+        order = np.argsort(every, kind="stable")
+        self.keys = every[order]
+        self.used = np.concatenate([self.used, np.full(len(keys), self.clock, np.int32)])[order]
+        self.starts = np.concatenate([self.starts, starts])[order]
+        self.sizes = np.concatenate([self.sizes, sizes])[order]
+        self.flat = np.concatenate([self.flat, flat])
 
-    def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
+    def rows(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows one after the other, and each row's bounds."""
-        found = words(texts, NOT_SPACE, lower=False)
-        unique, first, inverse = np.unique(found.hashes, return_index=True, return_inverse=True)
-        keys = unique.tolist()
-        missing = [i for i, key in enumerate(keys) if key not in self.cache]
-        if len(self.cache) + len(missing) > CACHED_WORDS:
-            self.cache = {}
-            missing = range(len(keys))
         raw = texts.data.tobytes()
-        spans = list(zip(found.starts[first].tolist(), found.ends[first].tolist()))
-        parts = [raw[slice(*spans[i])].decode("utf-8", "replace") for i in missing]
-        coded = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False) if parts else []
-        for i, code in zip(missing, coded):
-            self.cache[keys[i]] = np.array(code.ids, "<u4").tobytes()
-        pieces = [self.cache[key] for key in keys]
-        sizes = np.array([len(p) // 4 for p in pieces], np.int64)
-        flat = np.frombuffer(b"".join(pieces), "<u4")
-        at = np.concatenate([[0], np.cumsum(sizes)])[:-1]
-        lengths = sizes[inverse]
-        bounds = np.concatenate([[0], np.cumsum(lengths)])
-        index = np.arange(bounds[-1]) + np.repeat(at[inverse] - bounds[:-1], lengths)
-        return flat[index], bounds[found.bounds]
+        if any(s in raw for s in self.special):
+            whole = [texts.row(i).decode("utf-8", "replace") for i in range(len(texts))]
+            ids = [np.array(c.ids, np.uint32) for c in self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)]
+            return np.concatenate(ids), np.concatenate([[0], np.cumsum([len(x) for x in ids])])
+        self.clock += 1
+        starts, ends = unit_bounds(texts)
+        hashes = span_hashes(texts, starts, ends)
+        unique, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.keys):
+            self.make_room(len(unique))
+        new = np.flatnonzero(~self.known(unique))
+        if len(new):
+            spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist())
+            self.learn(unique[new], [raw[s:e].decode("utf-8", "replace") for s, e in spans])
+        at = np.searchsorted(self.keys, unique)
+        self.used[at] = self.clock
+        sizes = self.sizes[at][inverse]
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        return ragged(self.flat, self.starts[at][inverse], sizes), bounds[np.searchsorted(starts, texts.offsets)]
+
+    def known(self, keys: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.zeros(len(keys), bool)
+        return self.keys[np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)] == keys
+
+
+def ragged(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The stretches of ``flat`` one after the other."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    return flat[np.arange(total) + np.repeat(starts - (ends - sizes), sizes)]
+
+
+_coders: dict[str, UnitIds] = {}
+
+
+def coder_of(path: str) -> UnitIds:
+    """One per worker, which serves many tasks."""
+    if path not in _coders:
+        _coders[path] = UnitIds(path)
+    return _coders[path]
 
 
 def _pieces(batches: Batches, path: str, size: int, end_id: int) -> Iterator[pa.RecordBatch]:
-    coder = WordIds(path)
+    coder = coder_of(path)
     context = TaskContext.get()
     counter = (context.partitionId() if context else 0) << 40
     tail = np.array([end_id], "<u4").tobytes()
     for batch in batches:
         for texts in chunks(batch.column("text")):
-            ids, bounds = coder.encode(texts)
+            ids, bounds = coder.rows(texts)
             names = batch.column("doc_id").slice(texts.first, len(texts)).to_pylist()
             rows = []
             for i, doc in enumerate(names):
-                code = ids[bounds[i] : bounds[i + 1]].tobytes() + tail
+                code = ids[bounds[i] : bounds[i + 1]].astype("<u4", copy=False).tobytes() + tail
                 total = len(code) // 4
                 for start in range(0, total, size):
                     part = code[start * 4 : (start + size) * 4]

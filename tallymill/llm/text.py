@@ -108,17 +108,21 @@ def word_bounds(texts: Texts, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
 
 
-def words(texts: Texts, kind: np.ndarray = ALNUM, lower: bool = True) -> Words:
-    """Words of ``kind`` bytes; their hashes are of the lowered bytes, or of the bytes as they are."""
-    starts, ends = word_bounds(texts, kind)
+def span_hashes(texts: Texts, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
+    """Hashes of the bytes between starts and ends, with A-Z lowered or as they are."""
     up, down = powers(len(texts.data))
     values = (LOWER[texts.data] if lower else texts.data).astype(np.uint64)
     values += np.uint64(1)
     values *= up[: len(values)]
     sums = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values, out=sums[1:])
-    hashes = mix((sums[ends] - sums[starts]) * down[starts])
-    return Words(starts, ends, np.searchsorted(starts, texts.offsets), hashes)
+    return mix((sums[ends] - sums[starts]) * down[starts])
+
+
+def words(texts: Texts, kind: np.ndarray = ALNUM) -> Words:
+    """Words of ``kind`` bytes; their hashes are of the lowered bytes."""
+    starts, ends = word_bounds(texts, kind)
+    return Words(starts, ends, np.searchsorted(starts, texts.offsets), span_hashes(texts, starts, ends))
 
 
 def hash_words(phrase: str) -> np.ndarray:
