@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from .chunking import repeated_spans
 from .decontamination import ORACLE as DECONTAMINATION
 from .decontamination import contaminated
+from .jaccard import jaccard_classes
 from .language import predicted_languages
 from .licenses import license_scan
 from .lm import scored_corpus
+from .neighbours import near_vectors
 from .packing import pack_documents
 from .secrets import secret_digests
 from .spread import ship, table
@@ -33,6 +35,8 @@ def _contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_near_vectors": _over("embeddings", near_vectors),
+    "op2_jaccard_join": _over("documents", jaccard_classes),
     "op3_warc_round_trip": _over("pages", warc_round_trip),
     "op4_license_scan": _over("documents", license_scan),
     "op5_substring_dedup": _over("documents", repeated_spans),
