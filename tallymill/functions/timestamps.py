@@ -9,23 +9,34 @@ from pyspark.sql import functions as F
 FRACTION = "yyyy-MM-dd HH:mm:ss.SSSSSSSSS"
 WHOLE_SECOND = "yyyy-MM-dd HH:mm:ss"
 
-# Further forms the mixed parser takes, tried in this order.
-MIXED_PATTERNS = (
-    "MM/dd/yyyy HH:mm:ss",
-    "MM/dd/yyyy HH:mm",
-    "MM/dd/yyyy",
-    "yyyy/MM/dd HH:mm:ss",
-    "yyyy/MM/dd",
-    "dd MMM yyyy HH:mm:ss",
-    "dd MMM yyyy",
+# Further dates the mixed parser takes, tried in this order; one-letter fields take one
+# digit or two, and a month that is none makes the day-first form the next to try.
+MIXED_DATES = (
+    "yyyy-M-d",
+    "M/d/yyyy",
+    "d/M/yyyy",
+    "yyyy/M/d",
+    "d MMM yyyy",
+    "d MMMM yyyy",
+    "MMM d, yyyy",
+    "MMMM d, yyyy",
+    "MMM d yyyy",
+    "MMMM d yyyy",
+    "d-MMM-yyyy",
+    "yyyyMMdd",
+    "M-d-yyyy",
+    "d.M.yyyy",
 )
+# What may follow a date: nothing, a 24-hour time, or a 12-hour time.
+MIXED_TIMES = ("[ H:mm[:ss[.SSSSSSSSS]]]", " h:mm[:ss] a")
+MIXED_PATTERNS = tuple(date + time for date in MIXED_DATES for time in MIXED_TIMES)
 
 # Sunday is day 1.
 WEEKDAYS = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
 
-_STRICT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?$"
+_STRICT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?\z"
 _SIGNED = r"^[+-][0-9]"
-_ISO = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,9})?)?)?$"
+_ISO = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,9})?)?)?\z"
 
 
 def _column(column: str | Column) -> Column:
@@ -56,8 +67,16 @@ def parse_timestamp(column: str | Column, *, zoned: bool = False) -> Column:
 def parse_timestamp_mixed(
     column: str | Column, patterns: tuple[str, ...] = MIXED_PATTERNS
 ) -> Column:
-    """Wider lenient parse: ISO dates and times, then ``patterns`` in order."""
-    text = F.trim(_column(column))
+    """Wider lenient parse: ISO dates and times, then ``patterns`` in order.
+
+    A text is trimmed, a trailing Z is dropped (the clock time stands), a T between date
+    and time reads as a blank, and case does not matter for AM and PM.  The patterns are tried only
+    on texts that are not ISO.
+    """
+    text = F.regexp_replace(F.trim(_column(column)), r"(?<=[0-9])Z\z", "")
+    text = F.regexp_replace(text, r"(?<=[0-9])T(?=[0-9])", " ")
+    text = F.regexp_replace(text, r"(?<=[0-9]) ?[aA][mM]\z", " AM")
+    text = F.regexp_replace(text, r"(?<=[0-9]) ?[pP][mM]\z", " PM")
     others = [F.try_to_timestamp(text, F.lit(p)).cast("timestamp_ntz") for p in patterns]
     return F.when(text.rlike(_ISO), text.try_cast("timestamp_ntz")).otherwise(F.coalesce(*others))
 

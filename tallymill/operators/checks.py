@@ -76,16 +76,24 @@ def input_counts(frame: DataFrame, valid: Column) -> DataFrame:
 
 def five_way_check(
     frame: DataFrame, valid: Column, counts: DataFrame, expected: DataFrame | None = None
+) -> DataFrame:
+    """``five_way_counts`` of the rows of ``frame``, which are read for it."""
+    return five_way_counts(input_counts(frame, valid), counts, expected)
+
+
+def five_way_counts(
+    seen: DataFrame, counts: DataFrame, expected: DataFrame | None = None
 ) -> DataFrame:
     """Input, valid, state, year and severity totals against one expected count.
 
-    ``expected`` is a one-row frame, by default the input count itself.
+    ``seen`` is one row with input_rows and valid_rows; ``expected`` is a one-row frame, by
+    default the input count itself.
     """
     dimensions = ("State", "Year", "Severity")
     sums = counts.agg(
         *[F.sum(F.when(F.col("Dimension") == d, F.col(COUNT))).alias(d) for d in dimensions]
     )
-    row = input_counts(frame, valid).withColumns(
+    row = seen.withColumns(
         {f"{d.lower()}_total": F.coalesce(sums.select(d).scalar(), F.lit(0)) for d in dimensions}
     )
     goal = F.col("input_rows") if expected is None else expected.scalar()

@@ -18,10 +18,22 @@ def _order() -> list:
     return [FEATURE, F.desc(PRESENT)]
 
 
+MASK = "Feature_Mask"
+WORD = 62  # flags a whole number holds
+
+
+def mask_words(flags: Sequence[str]) -> dict[str, Sequence[str]]:
+    """The flags of each mask column: one for up to 62 of them, else numbered ones."""
+    parts = [flags[i : i + WORD] for i in range(0, len(flags), WORD)] or [flags]
+    return {MASK if i == 0 else f"{MASK}_{i + 1}": part for i, part in enumerate(parts)}
+
+
 def flag_mask(flags: Sequence[str]) -> Column:
-    """All flags packed into one whole number, bit i for flag i; null reads as false."""
-    if len(flags) > 62:
-        raise ValueError("at most 62 flags fit one mask")
+    """Up to 62 flags packed into one whole number, bit i for flag i; null reads as false."""
+    if len(flags) > WORD:
+        raise ValueError(f"one mask holds {WORD} flags; mask_words says which column holds which")
+    if not flags:
+        return F.lit(0).cast("bigint")
     bits = [
         F.when(F.col(f"`{name}`"), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint")
         for i, name in enumerate(flags)
@@ -30,9 +42,10 @@ def flag_mask(flags: Sequence[str]) -> Column:
 
 
 def flag_counts(frame: DataFrame, flags: Sequence[str], level: str = "Severity") -> DataFrame:
-    """Rows per flag combination and level: columns Feature_Mask, level, count."""
-    masked = frame.select(flag_mask(flags).alias("Feature_Mask"), level)
-    return level_counts(masked, ["Feature_Mask"], level)
+    """Rows per flag combination and level: the mask columns, level, count."""
+    words = mask_words(flags)
+    masked = frame.select(*[flag_mask(part).alias(name) for name, part in words.items()], level)
+    return level_counts(masked, list(words), level)
 
 
 def flag_summary(
@@ -51,9 +64,10 @@ def flag_summary(
     pairs = [
         F.struct(
             F.lit(name).alias(FEATURE),
-            (F.col("Feature_Mask").bitwiseAND(F.lit(1 << i)) != 0).alias(PRESENT),
+            (F.col(word).bitwiseAND(F.lit(1 << i)) != 0).alias(PRESENT),
         )
-        for i, name in enumerate(flags)
+        for word, part in mask_words(flags).items()
+        for i, name in enumerate(part)
     ]
     tidy = counts.select("*", F.inline(F.array(*pairs)))
     return summarize(
@@ -82,13 +96,23 @@ def flag_summary_union(
     mean: Mapping[str, str | Column] | None = None,
     rate: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """The same table as one aggregate per flag, united by column name."""
+    """The same table as one aggregate per flag, united by column name.
+
+    Its aggregates run over the counted flag combinations, so the rows are read once.
+    """
+    counts = flag_counts(frame, flags)
+    tidy = {
+        name: counts.select("*", (F.col(word).bitwiseAND(F.lit(1 << i)) != 0).alias(PRESENT))
+        for word, part in mask_words(flags).items()
+        for i, name in enumerate(part)
+    }
     parts = [
         summarize(
-            frame,
-            [F.coalesce(F.col(f"`{name}`"), F.lit(False)).alias(PRESENT)],
+            tidy[name],
+            [PRESENT],
             mean=mean,
             rate=rate,
+            weight=COUNT,
         ).select(F.lit(name).alias(FEATURE), "*")
         for name in flags
     ]

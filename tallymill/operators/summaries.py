@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,7 +66,15 @@ def summarize(
         measures.append(F.round(average(condition.cast("int")) * 100, digits).alias(name))
     result = frame.groupBy(*keys).agg(*measures)
     if share:
-        grand = frame.agg(rows) if total is None else total
+        if total is not None:
+            grand = total
+        elif weight is not None:
+            grand = frame.agg(rows)
+        else:
+            # Over the groups themselves.  Every measure takes part, with factor 0, so that the
+            # subquery plans the same first exchange, which Spark then runs once.
+            others = [F.count(name) * 0 for name in result.columns if name != count]
+            grand = result.agg(reduce(lambda a, b: a + b, others, F.sum(count)))
         percentage = F.try_divide(F.col(count) * 100, grand.scalar())
         result = result.withColumn(share, F.round(percentage, digits))
     return result.orderBy(*order) if order else result
@@ -153,15 +162,21 @@ def grouping_counts(
 
 
 def grouping_counts_sql(frame: DataFrame, dimensions: Sequence[str], *, view: str) -> DataFrame:
-    """The same counts as a SQL text over a temporary view, straight from the rows."""
-    frame.createOrReplaceTempView(view)
+    """The same counts as a SQL text, straight from the rows.
+
+    ``view`` is the frame's name in the statement; it is gone when this returns.
+    """
     names = " ".join(f"WHEN grouping(`{d}`) = 0 THEN '{d}'" for d in dimensions)
     values = ", ".join(f"CAST(`{d}` AS STRING)" for d in dimensions)
     sets = ", ".join(f"(`{d}`)" for d in dimensions)
-    return frame.sparkSession.sql(
-        f"SELECT CASE {names} END AS Dimension, coalesce({values}) AS Value, "
-        f"count(*) AS {COUNT} FROM {view} GROUP BY GROUPING SETS ({sets})"
-    )
+    frame.createOrReplaceTempView(view)
+    try:
+        return frame.sparkSession.sql(
+            f"SELECT CASE {names} END AS Dimension, coalesce({values}) AS Value, "
+            f"count(*) AS {COUNT} FROM {view} GROUP BY GROUPING SETS ({sets})"
+        )
+    finally:
+        frame.sparkSession.catalog.dropTempView(view)
 
 
 def dimension_table(

@@ -2,13 +2,15 @@
 
 All run on the caller's session and leave it open.  Intermediate tables go below
 the given output root, which every executor can reach, so a lost executor costs
-tasks and not the job.
+tasks and not the job.  They are removed when the job ends, well or not, unless
+``keep_staging`` is set.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,15 +25,28 @@ from ..operators.summaries import (
     dimension_counts,
     dimension_table,
 )
-from ..sinks.writers import staged, write_csv, write_json, write_partitioned
+from ..sinks.writers import remove, staged, write_csv, write_json, write_partitioned
 from ..sources.readers import read_incidents_csv, read_parquet, read_summary_csv
 from ..sources.schema import COUNT_COLUMNS
 from . import reports
 from .rollup import base_counts, incident_rollup, report_base, rollup_slice
 
+# Fixed values here and below: output folders, report names and metric keys are those
+# that readers of the outputs look for.
 DIMENSIONS = ("State", "Year", "Severity")
 
 
+@contextmanager
+def staging(spark: SparkSession, root: str, keep: bool) -> Iterator[str]:
+    """A folder for tables that only the job itself reads."""
+    folder = f"{root}/staging"
+    try:
+        yield folder
+    finally:
+        if not keep:
+            remove(spark, folder)
+
+
 def prepare_job(
     spark: SparkSession,
     input_uri: str,
@@ -39,7 +54,8 @@ def prepare_job(
     *,
     stage: bool = True,
     zoned: bool = False,
-    rebalance: bool = False,
+    rebalance: bool = True,
+    keep_staging: bool = False,
     max_records_per_file: int | None = None,
     **csv_options,
 ) -> DataFrame:
@@ -51,14 +67,27 @@ def prepare_job(
     other and run side by side.  ``zoned=True`` stores ``timestamp`` in the session zone
     instead of clock times.  Returns the stored cleaned dataset.
     """
-    typed = retype_times(read_incidents_csv(spark, input_uri, **csv_options), zoned=zoned)
-    if stage:
-        typed = staged(typed, f"{output_root}/staging/typed")
+    with staging(spark, output_root, keep_staging) as folder:
+        typed = retype_times(read_incidents_csv(spark, input_uri, **csv_options), zoned=zoned)
+        if stage:
+            typed = staged(typed, f"{folder}/typed")
+        return _prepare(typed, folder, input_uri, output_root, rebalance, max_records_per_file)
+
+
+def _prepare(
+    typed: DataFrame,
+    folder: str,
+    input_uri: str,
+    output_root: str,
+    rebalance: bool,
+    max_records_per_file: int | None,
+) -> DataFrame:
+    spark = typed.sparkSession
     quality = f"{output_root}/results/data_quality"
     processed = f"{output_root}/processed/accidents_parquet"
 
     def write_quality() -> DataFrame:
-        figures = staged(profile(typed), f"{output_root}/staging/profile")
+        figures = staged(profile(typed), f"{folder}/profile")
         write_csv(quality_summary(figures, input_uri=input_uri), f"{quality}/summary")
         write_csv(
             missing_values(figures),
@@ -136,23 +165,41 @@ def analysis_job(
     minimum_city_count: int = 1000,
     one_scan: bool = True,
     writers: int = 8,
+    keep_staging: bool = False,
 ) -> None:
     """The cleaned dataset to all reports, one CSV folder each.
 
     ``one_scan`` counts every key in a single pass, stores those few rows, and makes
     the reports from them; only the numeric means read the dataset again.  Without
-    it the used columns are cached and each report aggregates them itself.  The
-    reports do not depend on one another, so ``writers`` of them are in flight at a time.
+    it the used columns are cached, in one pass before any report starts, and each report
+    aggregates them itself.  The reports do not depend on one another, so ``writers`` of them are in flight at a time.
     """
     cleaned = read_parquet(spark, input_uri)
     base = report_base(cleaned)
-    if one_scan:
-        rollup = staged(incident_rollup(base), f"{output_uri}/staging/rollup")
-        counts = partial(rollup_slice, rollup)
-    else:
+    with staging(spark, output_uri, keep_staging) as folder:
+        if one_scan:
+            counts = partial(rollup_slice, staged(incident_rollup(base), f"{folder}/rollup"))
+            _write_reports(cleaned, counts, folder, input_uri, output_uri, minimum_city_count, writers)
+            return
         base = base.persist()
-        counts = partial(base_counts, base)
-    total = staged(cleaned.agg(F.count("*")), f"{output_uri}/staging/total")
+        try:
+            base.count()
+            counts = partial(base_counts, base)
+            _write_reports(cleaned, counts, folder, input_uri, output_uri, minimum_city_count, writers)
+        finally:
+            base.unpersist()
+
+
+def _write_reports(
+    cleaned: DataFrame,
+    counts: Callable[[str], DataFrame],
+    folder: str,
+    input_uri: str,
+    output_uri: str,
+    minimum_city_count: int,
+    writers: int,
+) -> None:
+    total = staged(cleaned.agg(F.count("*")), f"{folder}/total")
     outputs = analysis_reports(
         cleaned,
         counts,
@@ -167,7 +214,6 @@ def analysis_job(
         ]
         for write in writes:
             write.result()
-    base.unpersist()
 
 
 def benchmark_source(spark: SparkSession, input_uri: str, **csv_options) -> DataFrame:
@@ -200,26 +246,44 @@ def benchmark_job(
     *,
     runs: int = 3,
     expected_rows: int | None = None,
+    keep_staging: bool = False,
     **csv_options,
 ) -> DataFrame:
     """Time the counts ``runs`` times, reconcile each run, store run table and summary.
 
-    One timed run reads, validates, counts and writes.  ``expected_rows`` is
-    counted from the input when it is not given.  Returns the stored run table.
+    One timed run reads, validates, counts and writes.  Each run stores its counted
+    combinations, which hold the input rows too, so ``expected_rows``, when it is not given, is
+    the first run's and costs no further scan.  Returns the stored run table.
     """
-    measured, stored = [], []
+    with staging(spark, output_uri, keep_staging) as folder:
+        return _benchmark(spark, input_uri, output_uri, folder, runs, expected_rows, csv_options)
+
+
+def _benchmark(
+    spark: SparkSession,
+    input_uri: str,
+    output_uri: str,
+    folder: str,
+    runs: int,
+    expected_rows: int | None,
+    csv_options: dict,
+) -> DataFrame:
+    measured, stored, combinations = [], [], []
     for number in range(1, runs + 1):
         uri = f"{output_uri}/run_{number}/counts"
-        seconds = timed(
-            lambda: write_csv(benchmark_counts(spark, input_uri, **csv_options), uri)
-        )
-        measured.append((number, seconds, uri))
+
+        def run() -> None:
+            counted = benchmark_combinations(spark, input_uri, **csv_options)
+            combinations.append(staged(counted, f"{folder}/combinations_{number}"))
+            write_csv(dimension_counts(combinations[-1], DIMENSIONS), uri)
+
+        measured.append((number, timed(run), uri))
         saved = read_summary_csv(spark, uri, layout="dimension_counts")
         stored.append(saved.withColumn("run", F.lit(number)))
 
     log = spark.createDataFrame(measured, "run int, total_seconds double, output_uri string")
     if expected_rows is None:
-        goal = read_incidents_csv(spark, input_uri, **csv_options).agg(F.count("*")).scalar()
+        goal = F.coalesce(combinations[0].agg(F.sum("Input_Count")).scalar(), F.lit(0))
     else:
         goal = F.lit(expected_rows)
     log = log.withColumn("expected_rows", goal)
@@ -251,6 +315,7 @@ def split_benchmark_job(
     *,
     runs: int = 3,
     expected_rows: int | None = None,
+    keep_staging: bool = False,
     **csv_options,
 ) -> DataFrame:
     """The same counts as three tables per run, with scan and write timed apart.
@@ -258,11 +323,29 @@ def split_benchmark_job(
     Each run also records input and valid rows and writes its metrics as JSON; the
     experiment summary is JSON too.  Returns the stored run table.
     """
+    with staging(spark, output_uri, keep_staging) as stage:
+        return _split_benchmark(spark, input_uri, output_uri, stage, runs, expected_rows, csv_options)
+
+
+def _split_benchmark(
+    spark: SparkSession,
+    input_uri: str,
+    output_uri: str,
+    stage: str,
+    runs: int,
+    expected_rows: int | None,
+    csv_options: dict,
+) -> DataFrame:
     frames = []
     for number in range(1, runs + 1):
         folder = f"{output_uri}/run_{number}"
-        counted = benchmark_combinations(spark, input_uri, **csv_options).persist()
-        scan = timed(counted.count)
+        held = []
+
+        def count() -> None:
+            held.append(staged(benchmark_combinations(spark, input_uri, **csv_options), f"{stage}/combinations_{number}"))
+
+        scan = timed(count)
+        counted = held[0]
         counts = dimension_counts(counted, DIMENSIONS)
         kinds = {"State": "string", "Year": "int", "Severity": "int"}
 
@@ -286,9 +369,8 @@ def split_benchmark_job(
             goal.alias("expected_rows"),
         )
         metrics = run_metrics(counts.withColumn("run", F.lit(number)), log)
-        frames.append(staged(metrics, f"{folder}/run_metrics"))
+        frames.append(staged(metrics, f"{stage}/run_metrics_{number}"))
         write_json(frames[-1], f"{folder}/run_metrics_json")
-        counted.unpersist()
     table = reduce(DataFrame.unionByName, frames)
     write_csv(table, f"{output_uri}/benchmark_runs", order=["run"])
     summary = run_facts(
@@ -297,5 +379,5 @@ def split_benchmark_job(
         seconds=("scan_and_aggregate_seconds", "total_seconds"),
     )
     write_json(summary, f"{output_uri}/benchmark_summary")
-    return table
+    return read_summary_csv(spark, f"{output_uri}/benchmark_runs", layout="split_run_table")
 

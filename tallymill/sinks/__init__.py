@@ -1,7 +1,16 @@
-from .writers import metric_rows, shared_folder, staged, write_csv, write_json, write_partitioned
+from .writers import (
+    metric_rows,
+    remove,
+    shared_folder,
+    staged,
+    write_csv,
+    write_json,
+    write_partitioned,
+)
 
 __all__ = [
     "metric_rows",
+    "remove",
     "shared_folder",
     "staged",
     "write_csv",

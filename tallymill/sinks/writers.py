@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -39,16 +41,15 @@ def write_partitioned(
     path: str,
     *,
     by: Sequence[str] = ("Year",),
-    rebalance: bool = False,
+    rebalance: bool = True,
     max_records_per_file: int | None = None,
 ) -> None:
     """Write Parquet under ``by=value`` directories, replacing what is there.
 
-    Tasks write as they are, so a value that holds most rows is still written by
-    every task.  ``rebalance=True`` spends one more shuffle to get fewer files: the
-    rebalance hint lets adaptive execution split a large value over many tasks
-    and merge small ones.  A plain repartition by value would send each value to
-    one task, so it is not offered.
+    One more shuffle keeps the files few: the rebalance hint lets adaptive execution
+    split a large value over many tasks and merge small ones.  With ``rebalance=False`` tasks write
+    as they are, up to a file per task and value.  A plain repartition by value would send each
+    value to one task, so it is not offered.
     """
     if rebalance:
         frame = frame.hint("rebalance", *[F.col(name) for name in by])
@@ -78,21 +79,37 @@ def metric_rows(row: DataFrame, metric: str = "metric", value: str = "value") ->
     return row.select(F.inline(F.array(*pairs)))
 
 
+def _own_folder() -> str:
+    """This process's temporary folder, removed when it ends."""
+    if "own" not in _folders:
+        _folders["own"] = tempfile.mkdtemp(prefix="tallymill-")
+        atexit.register(shutil.rmtree, _folders["own"], ignore_errors=True)
+    return _folders["own"]
+
+
+_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder that every executor can reach.
 
     The parent is the session's ``spark.checkpoint.dir``.  Only a local session
-    that has none falls back to a temporary folder.
+    that has none falls back to a temporary folder, and no setting is changed for it.
     """
     parent = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not parent:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        parent = tempfile.mkdtemp(prefix="tallymill-")
-        spark.sparkContext.setCheckpointDir(parent)
+        parent = _own_folder()
     return f"{parent.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever store it is; nothing happens if it is not there."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def staged(frame: DataFrame, path: str) -> DataFrame:
     """Write ``frame`` as Parquet to shared storage and return the stored copy."""
     frame.write.mode("overwrite").parquet(path)

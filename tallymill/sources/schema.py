@@ -93,5 +93,7 @@ RESULT_DDL = {
     "dimension_counts": "Dimension STRING, Value STRING, Accident_Count BIGINT",
     "run_table": "run INT, total_seconds DOUBLE, state_total BIGINT, year_total BIGINT, "
     "severity_total BIGINT, reconciliation_status STRING, output_uri STRING",
+    "split_run_table": "run INT, input_rows BIGINT, valid_rows BIGINT, scan_and_aggregate_seconds DOUBLE, "
+    "write_seconds DOUBLE, total_seconds DOUBLE, reconciliation_status STRING",
     "metrics": "metric STRING, value STRING",
 }

@@ -1,7 +1,7 @@
 """DuckDB SQL for every query of the catalogue, written independently of it.
 
 ``RECORDS`` builds the stand-in records with typed times (``acc``) and with raw text
-times (``txt``); ``CLEANED`` adds the row rules and derived columns (``cl``).
+times (``txt``); ``CLEANED`` adds deduplication, the row rules and the derived columns (``cl``).
 """
 
 from __future__ import annotations
@@ -107,16 +107,15 @@ WHERE "ID" IS NOT NULL AND {VALID}
 """
 
 
-CLEANED = f"{RECORDS}, cl AS ({_cleaned('acc')})"
 _REST = ", ".join(f'"{name}" ASC NULLS LAST' for name in RAW_COLUMNS if name != "ID")
-DEDUPED = f"""{RECORDS},
+CLEANED = f"""{RECORDS},
 kept AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY "ID" ORDER BY {_REST}) AS rn
     FROM acc WHERE "ID" IS NOT NULL
   ) WHERE rn = 1
 ),
-dd AS ({_cleaned('kept')})"""
+cl AS ({_cleaned('kept')})"""
 
 N = 'count(*) AS "Accident_Count"'
 MEAN = 'round(avg("Severity"), 4) AS "Average_Severity"'
@@ -130,12 +129,10 @@ ALL_FLAGS = " UNION ALL ".join(
     for flag in FLAG_COLUMNS
 )
 WEATHER = "coalesce(\"Weather_Condition\", 'Missing')"
-GROUPING = f"""
-SELECT CASE WHEN grouping("State") = 0 THEN 'State' WHEN grouping("Year") = 0 THEN 'Year'
-  ELSE 'Severity' END AS "Dimension",
-  coalesce("State", CAST("Year" AS VARCHAR), CAST("Severity" AS VARCHAR)) AS "Value", {N}
-FROM %s GROUP BY GROUPING SETS (("State"), ("Year"), ("Severity"))
-"""
+GROUPING = " UNION ALL ".join(
+    f"""SELECT '{name}' AS "Dimension", CAST("{name}" AS VARCHAR) AS "Value", {N} FROM %(t)s GROUP BY "{name}" """
+    for name in ("State", "Year", "Severity")
+)
 MASK = " + ".join(
     f'CAST(CASE WHEN "{flag}" THEN {1 << i} ELSE 0 END AS BIGINT)'
     for i, flag in enumerate(FLAG_COLUMNS)
@@ -166,7 +163,6 @@ def _rollup_slice(name: str) -> str:
 
 ROLLUP = " UNION ALL ".join(_rollup_slice(n) for n in ("place", "time", "weather", "feature"))
 STATE = f"""SELECT "State", {N}, {MEAN}, {RATE}, {SHARE} FROM cl GROUP BY "State" """
-STORED_STATE = STATE.replace("FROM cl", "FROM dd")
 WEATHER_REPORT = f"""SELECT {WEATHER} AS "Weather_Condition_Group", {N}, {MEAN}, {RATE}, {SHARE}
 FROM cl GROUP BY 1"""
 CITY = f"""SELECT "City_State", "City", "State", {N}, {MEAN}, {RATE} FROM cl GROUP BY 1, 2, 3"""
@@ -212,7 +208,7 @@ MISSING = f"{RECORDS} " + " UNION ALL ".join(
     AS missing_percentage FROM acc"""
     for name in RAW_COLUMNS
 )
-VALIDATION = f"""{DEDUPED}, n AS (SELECT (SELECT count(*) FROM acc) AS raw, (SELECT count(*) FROM dd) AS clean)
+VALIDATION = f"""{CLEANED}, n AS (SELECT (SELECT count(*) FROM acc) AS raw, (SELECT count(*) FROM cl) AS clean)
 SELECT 'cleaned_row_count' AS "check", CAST(clean AS VARCHAR) AS value FROM n
 UNION ALL SELECT 'rows_removed', CAST(raw - clean AS VARCHAR) FROM n
 UNION ALL SELECT 'processed_uri', 'cleaned'
@@ -258,7 +254,8 @@ RUNS = f"""SELECT {RUN} AS run, {RUN_SECONDS} AS total_seconds, count("State") A
 FROM cl GROUP BY {RUN}"""
 RUN_SUMMARY = f"""{CLEANED}, r AS ({RUNS})
 SELECT 'framework' AS metric, 'PySpark' AS value
-UNION ALL SELECT 'columns_used', '["State","Severity","Start_Time"]'
+UNION ALL SELECT unnest(['spark_version', 'spark_master', 'default_parallelism', 'shuffle_partitions', 'input_uri']), 'named'
+UNION ALL SELECT 'timing_scope', 'records'
 UNION ALL SELECT 'runs', CAST(count(*) AS VARCHAR) FROM r
 UNION ALL SELECT 'median_total_seconds', CAST(round(median(total_seconds), 4) AS VARCHAR) FROM r
 UNION ALL SELECT 'all_runs_reconciled', CAST(bool_and(reconciliation_status = 'PASS') AS VARCHAR) FROM r
@@ -284,16 +281,34 @@ UNION ALL SELECT 'levels', '[' || string_agg(CAST(s AS VARCHAR), ',' ORDER BY s)
 UNION ALL SELECT 'levels_in_range', CAST(max("Severity") <= 4 AS VARCHAR) FROM cl
 UNION ALL SELECT 'years', '{{"first":' || min("Year") || ',"last":' || max("Year") || '}}' FROM cl"""
 EVENT_TEXT = f"""CASE WHEN event_type = 'error' THEN 'n/a'
+  WHEN event_type = 'signup' THEN strftime(ts, {SECOND_TEXT}) || chr(CASE event_id % 4 WHEN 0 THEN 10 WHEN 1 THEN 13
+    WHEN 2 THEN 133 ELSE 8232 END)
   WHEN event_type IN ('view', 'click') THEN strftime(ts, '%Y-%m-%d %H:%M:%S.%f') || '789'
   ELSE strftime(ts, {SECOND_TEXT}) END"""
-ORDER_DAY = "strftime(o_orderdate, '%Y-%m-%d')"
-ORDER_US = "strftime(o_orderdate, '%m/%d/%Y')"
+def _day(form: str) -> str:
+    return f"strftime(o_orderdate, '{form}')"
+
+
+# Text forms by order key, and the minutes after midnight that each says.
+MIXED_FORMS = (
+    (_day("%Y-%m-%d"), 0),
+    (f"{_day('%Y-%m-%d')} || 'T08:30:00'", 510),
+    (_day("%m/%d/%Y"), 0),
+    (f"{_day('%m/%d/%Y')} || ' 17:45'", 1065),
+    (_day("%-m/%-d/%Y"), 0),
+    (f"{_day('%-m/%-d/%Y')} || ' 5:46'", 346),
+    (f"{_day('%m/%d/%Y')} || ' 05:46 PM'", 1066),
+    (_day("%b %-d, %Y"), 0),
+    (f"{_day('%Y-%m-%d')} || 'T05:46:00Z'", 346),
+    (f"{_day('%Y-%m-%d')} || ' 5:46'", 346),
+    (_day("%Y-%-m-%-d"), 0),
+    (f"'on ' || {_day('%Y-%m-%d')}", None),
+)
+_FORM = f"o_orderkey % {len(MIXED_FORMS)}"
 MIXED = f"""SELECT o_orderkey,
-  CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN {ORDER_DAY} WHEN '2' THEN {ORDER_DAY} || 'T08:30:00'
-    WHEN '3' THEN {ORDER_US} WHEN '4' THEN {ORDER_US} || ' 17:45' ELSE 'on ' || {ORDER_DAY} END AS text,
-  CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN o_orderdate
-    WHEN '2' THEN o_orderdate + INTERVAL 510 MINUTE WHEN '3' THEN o_orderdate
-    WHEN '4' THEN o_orderdate + INTERVAL 1065 MINUTE END AS moment
+  CASE {_FORM} {' '.join(f'WHEN {i} THEN {text}' for i, (text, _) in enumerate(MIXED_FORMS))} END AS text,
+  o_orderdate + to_minutes(CASE {_FORM}
+    {' '.join(f'WHEN {i} THEN {m}' for i, (_, m) in enumerate(MIXED_FORMS) if m is not None)} END) AS moment
 FROM orders"""
 LABELS = """WITH t AS (
   SELECT o_orderstatus, o_orderpriority, count(*) AS "Order_Count",
@@ -309,6 +324,67 @@ DEDUP_LINES = f"""SELECT * EXCLUDE (rn) FROM (
     l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS rn
   FROM lineitem) WHERE rn = 1"""
 
+
+def _long(report: str, query: str, keys: list[str], measures: list[str]) -> str:
+    """A report as (Report, Key, Measure, Value) rows, a row per measure."""
+    key = "concat_ws('|', " + ", ".join(f'CAST("{k}" AS VARCHAR)' for k in keys) + ")"
+    return " UNION ALL ".join(
+        f"""SELECT '{report}' AS "Report", {key if keys else "''"} AS "Key", '{m}' AS "Measure",
+        CAST("{m}" AS DOUBLE) AS "Value" FROM ({query})"""
+        for m in measures
+    )
+
+
+COUNT_, MEAN_, RATE_, SHARE_ = (
+    "Accident_Count", "Average_Severity", "Severity_3_4_Percentage", "Percentage_of_All_Records"
+)
+MEANS = {
+    "Temperature(F)": "Mean_Temperature_F",
+    "Humidity(%)": "Mean_Humidity_pct",
+    "Pressure(in)": "Mean_Pressure_in",
+    "Visibility(mi)": "Mean_Visibility_mi",
+    "Wind_Speed(mph)": "Mean_Wind_Speed_mph",
+    "Precipitation(in)": "Mean_Precipitation_in",
+}
+CITIES = f'{CITY} ORDER BY "Accident_Count" DESC, "City_State" LIMIT 100'
+ANALYSIS_TABLES = f"{CLEANED} " + " UNION ALL ".join(
+    [
+        _long("state_summary", STATE, ["State"], [COUNT_, MEAN_, RATE_, SHARE_]),
+        _long("top_100_cities_by_count", CITIES, ["City_State", "City", "State"], [COUNT_, MEAN_, RATE_]),
+        _long("year_summary", f'SELECT "Year", {N}, {MEAN}, {RATE} FROM cl GROUP BY 1', ["Year"], [COUNT_, MEAN_, RATE_]),
+        _long("year_month_summary", YEAR_MONTH, ["Year", "Month"], [COUNT_, MEAN_]),
+        _long("weekday_summary", WEEKDAYS, ["Weekday_Number", "Weekday"], [COUNT_, SHARE_]),
+        _long("hour_summary", HOURS, ["Hour"], [COUNT_, SHARE_]),
+        _long(
+            "weekday_hour_summary",
+            f'SELECT "Weekday_Number", "Weekday", "Hour", {N} FROM cl GROUP BY 1, 2, 3',
+            ["Weekday_Number", "Weekday", "Hour"],
+            [COUNT_],
+        ),
+        _long("severity_distribution", SEVERITY, ["Severity"], [COUNT_, SHARE_]),
+        _long("weather_condition_summary", WEATHER_REPORT, ["Weather_Condition_Group"], [COUNT_, MEAN_, RATE_, SHARE_]),
+        _long("numeric_weather_overall", _means(MEANS, "cl"), [], list(MEANS.values())),
+        _long("road_feature_summary", ALL_FLAGS, ["Feature", "Feature_Present"], [COUNT_, MEAN_, RATE_]),
+    ]
+)
+PREPARE_TABLES = f"""{CLEANED}, q AS ({QUALITY.removeprefix(RECORDS).replace(', p AS', 'WITH p AS', 1)}),
+m AS ({MISSING.removeprefix(RECORDS)}), v AS ({VALIDATION.removeprefix(CLEANED).replace(', n AS', 'WITH n AS', 1)})
+SELECT 'summary' AS "Table", metric AS "Name", value AS "Value" FROM q WHERE metric <> 'input_uri'
+UNION ALL SELECT 'missing_values', "column", CAST(missing_count AS VARCHAR) FROM m
+UNION ALL SELECT 'missing_percentage', "column", printf('%.4f', missing_percentage) FROM m
+UNION ALL SELECT 'validation', "check", value FROM v WHERE "check" <> 'processed_uri'"""
+SPLIT_TABLES = f"""{RECORDS}, ok AS (SELECT *, CAST(year("Start_Time") AS INTEGER) AS "Year" FROM acc WHERE {VALID}),
+n AS (SELECT count(*) AS input, (SELECT count(*) FROM ok) AS valid FROM acc)
+SELECT lower("Dimension") || '_counts' AS "Table", "Value" AS "Name", CAST("Accident_Count" AS VARCHAR) AS "Value"
+FROM ({GROUPING % {'t': 'ok'}})
+UNION ALL SELECT 'run_metrics', 'input_rows', CAST(input AS VARCHAR) FROM n
+UNION ALL SELECT 'run_metrics', 'valid_rows', CAST(valid AS VARCHAR) FROM n
+UNION ALL SELECT 'run_metrics', 'reconciliation_status', CASE WHEN input = valid THEN 'PASS' ELSE 'FAIL' END FROM n
+UNION ALL SELECT 'summary', 'framework', 'PySpark'
+UNION ALL SELECT 'summary', 'columns_used', 'State,Severity,Start_Time'
+UNION ALL SELECT 'summary', 'runs', '1'
+UNION ALL SELECT 'summary', 'all_runs_reconciled', CAST(input = valid AS VARCHAR) FROM n"""
+
 ORACLES: dict[str, str] = {
     "state_summary": f"{CLEANED} {STATE}",
     "top_cities": f'{CLEANED} {CITY} ORDER BY "Accident_Count" DESC, "City_State" LIMIT 100',
@@ -351,8 +427,8 @@ ORACLES: dict[str, str] = {
     "weather_summary_from_rollup": f"{CLEANED} {WEATHER_REPORT}",
     "year_month_from_rollup": f"{CLEANED} {YEAR_MONTH}",
     "road_features_from_rollup": f"{CLEANED} {ALL_FLAGS}",
-    "grouping_sets_counts": f"{CLEANED} {GROUPING % 'cl'}",
-    "grouping_sets_counts_sql": f"{CLEANED} {GROUPING % 'cl'}",
+    "grouping_sets_counts": f"{CLEANED} {GROUPING % {'t': 'cl'}}",
+    "grouping_sets_counts_sql": f"{CLEANED} {GROUPING % {'t': 'cl'}}",
     "counts_by_state": f'{CLEANED} SELECT "State", {N} FROM cl GROUP BY 1',
     "counts_by_year": f'{CLEANED} SELECT "Year", {N} FROM cl GROUP BY 1',
     "counts_by_severity": f'{CLEANED} SELECT "Severity", {N} FROM cl GROUP BY 1',
@@ -363,8 +439,8 @@ ORACLES: dict[str, str] = {
       count(*) - count(DISTINCT ({LINE_KEY})) AS difference FROM lineitem""",
     "dedup_keep_first": DEDUP_LINES,
     "typed_rows": f"{RECORDS} SELECT * FROM acc",
-    "clean_rows": f"{DEDUPED} SELECT * FROM dd",
-    "parse_timestamps": f"""SELECT event_id, {EVENT_TEXT} AS text, CASE WHEN event_type <> 'error'
+    "clean_rows": f"{CLEANED} SELECT * FROM cl",
+    "parse_timestamps": f"""SELECT event_id, {EVENT_TEXT} AS text, CASE WHEN event_type NOT IN ('error', 'signup')
       THEN CASE WHEN event_type IN ('view', 'click') THEN ts ELSE date_trunc('second', ts) END END AS moment
       FROM events""",
     "parse_timestamps_mixed": MIXED,
@@ -372,16 +448,20 @@ ORACLES: dict[str, str] = {
     "csv_roundtrip": f"{RECORDS} SELECT * FROM txt",
     "csv_grouping_counts": RECORDS
     + ', ok AS (SELECT *, CAST(year("Start_Time") AS INTEGER) AS "Year" FROM acc '
-    + f"WHERE {VALID}) {GROUPING % 'ok'}",
+    + f"WHERE {VALID}) {GROUPING % {'t': 'ok'}}",
     "partitioned_roundtrip": f"{CLEANED} SELECT * FROM cl",
     "summary_csv_roundtrip": f"{CLEANED} {ALL_FLAGS}",
     "metrics_json_roundtrip": f"""{RECORDS} SELECT count(*) AS input_rows,
       count(*) FILTER (WHERE "ID" IS NOT NULL AND {VALID}) AS valid_rows FROM acc""",
     "metric_rows": METRIC_ROWS,
-    "prepare_then_state_summary": f"{DEDUPED} {STORED_STATE}",
+    "prepare_then_state_summary": f"{CLEANED} {STATE}",
     "analysis_job_outputs": _reconciliation(False)
     + """ UNION ALL SELECT "City_State", CAST(count(*) AS VARCHAR), 'CITY' FROM cl
       GROUP BY "City_State" HAVING count(*) >= 20""",
+    "analysis_job_tables": ANALYSIS_TABLES,
+    "prepare_job_tables": PREPARE_TABLES,
+    "split_benchmark_job_tables": SPLIT_TABLES,
+    "inferred_csv_reread": f"{CLEANED} {ALL_FLAGS}",
     "benchmark_job_totals": f"""{RECORDS}, n AS (
       SELECT count(*) FILTER (WHERE {VALID}) AS valid, count(*) AS input FROM acc)
       SELECT CAST(run AS INTEGER) AS run, valid AS state_total, valid AS year_total,

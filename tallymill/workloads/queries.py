@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.labels import fixed_point, percent_label, round_binary, thousands
@@ -21,8 +22,8 @@ from ..sinks.writers import (
     write_partitioned,
 )
 from ..sources.readers import read_incidents_csv, read_parquet, read_summary_csv
-from ..sources.schema import FLAG_COLUMNS, RAW_COLUMNS, WEATHER_MEASURES
-from .standin import SLICE_COLUMNS, cleaned_incidents, raw_incidents, table, typed_incidents
+from ..sources.schema import FLAG_COLUMNS
+from .standin import cleaned_incidents, raw_incidents, table, typed_incidents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,28 +31,28 @@ DIMENSIONS = ("State", "Year", "Severity")
 CITY_MINIMUM = 20
 # Which run a record stands for in the run tables.
 RUN_OF_SOURCE = {"SourceA": 1, "SourceN": 2, "SourceR": 3}
-ALL_SLICE_COLUMNS = [name for names in SLICE_COLUMNS.values() for name in names]
-RUN_COLUMNS = ["Source", "Humidity(%)"]
+# What stands for the seconds of a run.
+RUN_SECONDS = {"scan": "Humidity(%)", "write": "Visibility(mi)"}
+# Metrics of the benchmark summary whose values name the environment.
+ENVIRONMENT = (
+    "spark_version", "spark_master", "default_parallelism", "shuffle_partitions", "input_uri"
+)
+COUNTED = ["State", "Severity", "Start_Time"]
 
 
-def _cleaned(
-    query: Callable[[DataFrame], DataFrame], columns: Sequence[str] = tuple(RAW_COLUMNS)
-) -> Query:
-    """A query over the cleaned records; ``columns`` are those it reads beyond the rules'."""
-    return lambda spark, sf_dir: query(cleaned_incidents(spark, sf_dir, columns))
+def _cleaned(query: Callable[[DataFrame], DataFrame]) -> Query:
+    """A query over the stored cleaned records."""
+    return lambda spark, sf_dir: query(cleaned_incidents(spark, sf_dir))
 
 
 def _report(name: str, query: Callable[[DataFrame], DataFrame]) -> Query:
     """A report over one slice's counts."""
-    return _cleaned(lambda cleaned: query(slice_counts(cleaned, name)), SLICE_COLUMNS[name])
+    return _cleaned(lambda cleaned: query(slice_counts(cleaned, name)))
 
 
 def _rolled(name: str, query: Callable[[DataFrame], DataFrame]) -> Query:
     """The same report over the rollup of all slices."""
-    return _cleaned(
-        lambda cleaned: query(rollup_slice(incident_rollup(report_base(cleaned)), name)),
-        ALL_SLICE_COLUMNS,
-    )
+    return _cleaned(lambda cleaned: query(rollup_slice(incident_rollup(report_base(cleaned)), name)))
 
 
 def _severity(cleaned: DataFrame) -> DataFrame:
@@ -59,7 +60,8 @@ def _severity(cleaned: DataFrame) -> DataFrame:
 
 
 def _profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.profile(typed_incidents(spark, sf_dir))
+    """Over the stored typed rows, as the prepare job does: the distinct count reads one column."""
+    return quality.profile(_stored(typed_incidents(spark, sf_dir)))
 
 
 def _quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,11 +91,14 @@ def _typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event times as text: nine fraction digits, whole seconds or junk, by event type."""
+    """Event times as text, by event type: nine fraction digits, whole seconds, junk, or a line end behind."""
+    number = F.col("event_id") % 4
+    line_end = F.when(number == 0, "\n").when(number == 1, "\r").when(number == 2, "\u0085").otherwise("\u2028")
     stored = F.col("ts").cast("string")
     whole, micros = F.substring(stored, 1, 19), F.rpad(F.substring(stored, 21, 6), 6, "0")
     text = (
         F.when(F.col("event_type") == "error", "n/a")
+        .when(F.col("event_type") == "signup", F.concat(whole, line_end))
         .when(F.col("event_type").isin("view", "click"), F.concat(whole, F.lit("."), micros, F.lit("789")))
         .otherwise(whole)
     )
@@ -105,21 +110,31 @@ def _parse_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _event_texts(spark, sf_dir).select("event_id", "text", parsed.alias("moment"))
 
 
+# Text forms by order key: a date pattern, and what follows the date.
+MIXED_FORMS = (
+    ("yyyy-MM-dd", ""),
+    ("yyyy-MM-dd", "T08:30:00"),
+    ("MM/dd/yyyy", ""),
+    ("MM/dd/yyyy", " 17:45"),
+    ("M/d/yyyy", ""),
+    ("M/d/yyyy", " 5:46"),
+    ("MM/dd/yyyy", " 05:46 PM"),
+    ("MMM d, yyyy", ""),
+    ("yyyy-MM-dd", "T05:46:00Z"),
+    ("yyyy-MM-dd", " 5:46"),
+    ("yyyy-M-d", ""),
+    ("'on' yyyy-MM-dd", ""),
+)
+
+
 def _parse_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order dates as text in five shapes, by priority."""
-    day = F.col("o_orderdate").cast("date").cast("string")
-    year, month, date = (F.substring(day, *at) for at in ((1, 4), (6, 2), (9, 2)))
-    text = (
-        F.when(F.col("o_orderpriority").startswith("1"), day)
-        .when(F.col("o_orderpriority").startswith("2"), F.concat(day, F.lit("T08:30:00")))
-        .when(F.col("o_orderpriority").startswith("3"), F.concat_ws("/", month, date, year))
-        .when(
-            F.col("o_orderpriority").startswith("4"),
-            F.concat(F.concat_ws("/", month, date, year), F.lit(" 17:45")),
-        )
-        .otherwise(F.concat(F.lit("on "), day))
-    )
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", text.alias("text"))
+    """Order dates as text in the forms above."""
+    form = F.col("o_orderkey") % len(MIXED_FORMS)
+    texts = [
+        F.when(form == i, F.concat(F.date_format("o_orderdate", pattern), F.lit(tail)))
+        for i, (pattern, tail) in enumerate(MIXED_FORMS)
+    ]
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.coalesce(*texts).alias("text"))
     return orders.withColumn("moment", parse_timestamp_mixed("text"))
 
 
@@ -165,7 +180,7 @@ def _csv_grouping_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/cleaned"
-    write_partitioned(cleaned_incidents(spark, sf_dir), path)
+    write_partitioned(rows.clean(typed_incidents(spark, sf_dir)), path)
     return read_parquet(spark, path).withColumn("Year", F.col("Year").cast("int"))
 
 
@@ -179,7 +194,7 @@ def _prepare_then_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _summary_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The road-feature table written as one CSV file and read back typed."""
     path = f"{shared_folder(spark)}/road_feature_summary"
-    counts = flags.flag_counts(cleaned_incidents(spark, sf_dir, FLAG_COLUMNS), FLAG_COLUMNS)
+    counts = flags.flag_counts(cleaned_incidents(spark, sf_dir), FLAG_COLUMNS)
     write_csv(
         reports.road_feature_summary(counts), path, order=["Feature", F.desc("Feature_Present")]
     )
@@ -189,7 +204,7 @@ def _summary_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _metrics_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Input and valid row counts of the raw records as JSON, read back."""
     path = f"{shared_folder(spark)}/metrics"
-    typed = typed_incidents(spark, sf_dir)
+    typed = typed_incidents(spark, sf_dir, [*rows.CLEAN_NOT_NULL, *rows.CLEAN_BETWEEN])
     counted = checks.input_counts(
         typed, rows.row_rule(rows.CLEAN_NOT_NULL, rows.CLEAN_BETWEEN)
     )
@@ -199,7 +214,7 @@ def _metrics_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Profile against the stored cleaned dataset."""
-    typed = typed_incidents(spark, sf_dir)
+    typed = _stored(typed_incidents(spark, sf_dir))
     stored_at = f"{shared_folder(spark)}/cleaned"
     write_partitioned(rows.clean(typed), stored_at)
     return quality.validation(
@@ -218,24 +233,24 @@ def _reconciliation(cleaned: DataFrame) -> DataFrame:
 
 
 def _dimension_check(cleaned: DataFrame) -> DataFrame:
-    counts = summaries.grouping_counts(cleaned, DIMENSIONS)
-    return checks.dimension_check(counts, cleaned.agg(F.count("*")), DIMENSIONS)
+    counted = _stored(summaries.combination_counts(cleaned, DIMENSIONS))
+    counts = summaries.dimension_counts(counted, DIMENSIONS)
+    return checks.dimension_check(counts, counted.agg(F.sum("Input_Count")), DIMENSIONS)
 
 
 def _five_way(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw records hold invalid rows, so every count but the input's must FAIL."""
-    typed = typed_incidents(spark, sf_dir).withColumn("Year", F.year("Start_Time"))
-    valid = jobs.benchmark_rule()
-    counts = summaries.grouping_counts(typed, DIMENSIONS, where=valid)
-    return checks.five_way_check(typed, valid, counts)
+    typed = typed_incidents(spark, sf_dir, COUNTED).withColumn("Year", F.year("Start_Time"))
+    counted = _stored(summaries.combination_counts(typed, DIMENSIONS, where=jobs.benchmark_rule()))
+    seen = counted.select(F.sum("Input_Count").alias("input_rows"), F.sum("Accident_Count").alias("valid_rows"))
+    return checks.five_way_counts(seen, summaries.dimension_counts(counted, DIMENSIONS))
 
 
 def _dimension_table(dimension: str, kind: str, by_count: bool = False) -> Query:
     return _cleaned(
         lambda cleaned: summaries.dimension_table(
             summaries.grouping_counts(cleaned, DIMENSIONS), dimension, kind=kind, by_count=by_count
-        ),
-        [],
+        )
     )
 
 
@@ -245,52 +260,79 @@ def _by_run(frame: DataFrame) -> DataFrame:
     return frame.withColumn("run", number)
 
 
-def _run_log(records: DataFrame) -> DataFrame:
+def _stored(frame: DataFrame) -> DataFrame:
+    """A small table that is read more than once."""
+    return staged(frame, f"{shared_folder(frame.sparkSession)}/stored")
+
+
+def _run_combinations(records: DataFrame, valid: Column | None = None) -> DataFrame:
+    """Rows per run and combination, with the sums a timer's log is made from: one pass."""
+    chosen = F.count("*") if valid is None else F.count_if(valid)
+    return _stored(
+        records.groupBy("run", *DIMENSIONS).agg(
+            F.count("*").alias(summaries.INPUT),
+            chosen.alias(summaries.COUNT),
+            *[F.sum(c).alias(f"sum_{n}") for n, c in RUN_SECONDS.items()],
+            *[F.count(c).alias(f"n_{n}") for n, c in RUN_SECONDS.items()],
+        )
+    )
+
+
+def _seconds(name: str) -> Column:
+    return F.sum(f"sum_{name}") / F.sum(f"n_{name}")
+
+
+def _run_log(counted: DataFrame) -> DataFrame:
     """What a timer would log per run, taken from the records of that run."""
-    log = records.groupBy("run").agg(
-        F.round(F.avg("Humidity(%)"), 4).alias("total_seconds"),
-        F.count("*").alias("expected_rows"),
+    log = counted.groupBy("run").agg(
+        F.round(_seconds("scan"), 4).alias("total_seconds"),
+        F.sum(summaries.INPUT).alias("expected_rows"),
     )
     return log.withColumn("output_uri", F.concat(F.lit("run_"), "run"))
 
 
 def _run_table(cleaned: DataFrame) -> DataFrame:
-    records = _by_run(cleaned)
-    counts = summaries.grouping_counts(records, DIMENSIONS, extra_keys=["run"])
-    return runs.run_table(counts, _run_log(records))
+    counted = _run_combinations(_by_run(cleaned))
+    counts = summaries.dimension_counts(counted, DIMENSIONS, extra_keys=["run"])
+    return runs.run_table(counts, _run_log(counted))
 
 
 def _run_summary(cleaned: DataFrame) -> DataFrame:
-    return runs.run_summary(
+    """All metrics of the benchmark job's summary; of those that name the environment, the names."""
+    summary = runs.run_summary(
         _run_table(cleaned),
-        before={"framework": "PySpark", "columns_used": ["State", "Severity", "Start_Time"]},
-        after={"cluster_provisioning_time_included": False},
+        before={"framework": "PySpark", **{name: "" for name in ENVIRONMENT}},
+        after={"timing_scope": "records", "cluster_provisioning_time_included": False},
     )
+    return summary.withColumn("value", F.when(F.col("metric").isin(*ENVIRONMENT), "named").otherwise(F.col("value")))
 
 
 def _run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per run over the raw records; invalid rows make the runs FAIL."""
-    typed = typed_incidents(spark, sf_dir).withColumn("Year", F.year("Start_Time"))
-    records = _by_run(typed)
-    valid = jobs.benchmark_rule()
-    log = records.groupBy("run").agg(
-        F.count("*").alias("input_rows"),
-        F.count_if(valid).alias("valid_rows"),
-        F.avg("Humidity(%)").alias("scan_and_aggregate_seconds"),
-        F.avg("Visibility(mi)").alias("write_seconds"),
-        F.count("*").alias("expected_rows"),
-    )
-    counts = summaries.grouping_counts(
-        records, DIMENSIONS, where=valid, extra_keys=["run"]
+    typed = typed_incidents(spark, sf_dir, [*COUNTED, "Source", *RUN_SECONDS.values()])
+    records = _by_run(typed.withColumn("Year", F.year("Start_Time")))
+    counted = _run_combinations(records, jobs.benchmark_rule())
+    log = counted.groupBy("run").agg(
+        F.sum(summaries.INPUT).alias("input_rows"),
+        F.sum(summaries.COUNT).alias("valid_rows"),
+        _seconds("scan").alias("scan_and_aggregate_seconds"),
+        _seconds("write").alias("write_seconds"),
+        F.sum(summaries.INPUT).alias("expected_rows"),
     )
-    return runs.run_metrics(counts, log)
+    return runs.run_metrics(summaries.dimension_counts(counted, DIMENSIONS, extra_keys=["run"]), log)
 
 
 def _runtimes(cleaned: DataFrame) -> DataFrame:
     """Two run tables, from the records with and without a stop, joined per run."""
     records = _by_run(cleaned)
-    left = _run_log(records.filter("Stop"))
-    right = _run_log(records.filter("NOT Stop"))
+    sides = _stored(
+        records.groupBy("run", "Stop").agg(
+            F.count("*").alias(summaries.INPUT),
+            F.sum(RUN_SECONDS["scan"]).alias("sum_scan"),
+            F.count(RUN_SECONDS["scan"]).alias("n_scan"),
+        )
+    )
+    left, right = _run_log(sides.filter("Stop")), _run_log(sides.filter("NOT Stop"))
     return charts.runtimes(left, right, ("Pandas", "PySpark"))
 
 
@@ -347,10 +389,9 @@ def _rollup(cleaned: DataFrame) -> DataFrame:
 
 def _staged_rollup_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Store the rollup once, then check three reports made from it."""
-    cleaned = cleaned_incidents(spark, sf_dir, ALL_SLICE_COLUMNS)
-    rollup = staged(incident_rollup(report_base(cleaned)), f"{shared_folder(spark)}/rollup")
+    rollup = _stored(incident_rollup(report_base(cleaned_incidents(spark, sf_dir))))
     return reports.reconciliation(
-        cleaned.agg(F.count("*")),
+        rollup_slice(rollup, "place").agg(F.sum(summaries.COUNT)),
         state=reports.state_summary(rollup_slice(rollup, "place")),
         year=reports.year_summary(rollup_slice(rollup, "time")),
         severity=reports.severity_distribution(rollup_slice(rollup, "weather")),
@@ -364,17 +405,21 @@ def _raw_csv(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     return root, f"{root}/raw_csv"
 
 
-def _analysis_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned records stored, all reports written, and two of them read back."""
+def _analysed(spark: SparkSession, sf_dir: str) -> str:
+    """The output folder of the analysis job over a stored, Year-partitioned cleaned dataset."""
     root = shared_folder(spark)
-    write_partitioned(cleaned_incidents(spark, sf_dir), f"{root}/cleaned")
+    write_partitioned(rows.clean(typed_incidents(spark, sf_dir)), f"{root}/cleaned")
     jobs.analysis_job(spark, f"{root}/cleaned", f"{root}/reports", minimum_city_count=CITY_MINIMUM)
+    return f"{root}/reports"
+
+
+def _analysis_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All reports written, and two of them read back."""
+    out = _analysed(spark, sf_dir)
     checked = read_summary_csv(
-        spark, f"{root}/reports/reconciliation", layout="Check STRING, Value STRING, Status STRING"
-    )
-    cities = read_summary_csv(
-        spark, f"{root}/reports/city_severity_min_{CITY_MINIMUM}", layout="top_cities"
+        spark, f"{out}/reconciliation", layout="Check STRING, Value STRING, Status STRING"
     )
+    cities = read_summary_csv(spark, f"{out}/city_severity_min_{CITY_MINIMUM}", layout="top_cities")
     ranked = cities.select(
         F.col("City_State").alias("Check"),
         F.col("Accident_Count").cast("string").alias("Value"),
@@ -383,6 +428,99 @@ def _analysis_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked.filter("Status <> 'INFO'").unionByName(ranked)
 
 
+# Report folders and their key columns; the other columns are measures.
+REPORT_KEYS = {
+    "state_summary": ["State"],
+    "top_100_cities_by_count": ["City_State", "City", "State"],
+    "year_summary": ["Year"],
+    "year_month_summary": ["Year", "Month"],
+    "weekday_summary": ["Weekday_Number", "Weekday"],
+    "hour_summary": ["Hour"],
+    "weekday_hour_summary": ["Weekday_Number", "Weekday", "Hour"],
+    "severity_distribution": ["Severity"],
+    "weather_condition_summary": ["Weather_Condition_Group"],
+    "numeric_weather_overall": [],
+    "road_feature_summary": ["Feature", "Feature_Present"],
+}
+
+
+def _analysis_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other eleven reports read back, a row per group and measure."""
+    out = _analysed(spark, sf_dir)
+    parts = []
+    for name, keys in REPORT_KEYS.items():
+        report = read_summary_csv(spark, f"{out}/{name}")
+        key = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+        measures = [
+            F.struct(F.lit(c).alias("Measure"), F.col(c).cast("double").alias("Value"))
+            for c in report.columns
+            if c not in keys
+        ]
+        parts.append(report.select(F.lit(name).alias("Report"), key.alias("Key"), F.inline(F.array(*measures))))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _named(frame: DataFrame, table_name: str, name: str | Column, value: str | Column) -> DataFrame:
+    cells = {"Name": name, "Value": value}
+    columns = [(F.col(c) if isinstance(c, str) else c).cast("string").alias(k) for k, c in cells.items()]
+    return frame.select(F.lit(table_name).alias("Table"), *columns)
+
+
+def _prepare_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three quality tables of the prepare job read back."""
+    root, raw = _raw_csv(spark, sf_dir)
+    jobs.prepare_job(spark, raw, f"{root}/out")
+    folder = f"{root}/out/results/data_quality"
+    summary = read_summary_csv(spark, f"{folder}/summary", layout="metrics").filter("metric <> 'input_uri'")
+    missing = read_summary_csv(
+        spark,
+        f"{folder}/missing_values",
+        layout="column STRING, missing_count BIGINT, missing_percentage DOUBLE",
+    )
+    checked = read_summary_csv(spark, f"{folder}/validation", layout="check STRING, value STRING")
+    share = fixed_point("missing_percentage", 4)
+    return (
+        _named(summary, "summary", "metric", "value")
+        .unionByName(_named(missing, "missing_values", "column", "missing_count"))
+        .unionByName(_named(missing, "missing_percentage", "column", share))
+        .unionByName(_named(checked.filter("check <> 'processed_uri'"), "validation", "check", "value"))
+    )
+
+
+def _split_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The count tables and both JSON files of the split benchmark job read back."""
+    root, raw = _raw_csv(spark, sf_dir)
+    jobs.split_benchmark_job(spark, raw, f"{root}/bench", runs=1)
+    run = f"{root}/bench/run_1"
+    parts = [
+        _named(
+            read_summary_csv(spark, f"{run}/{d.lower()}_counts", layout=f"{d} STRING, Accident_Count BIGINT"),
+            f"{d.lower()}_counts",
+            d,
+            "Accident_Count",
+        )
+        for d in DIMENSIONS
+    ]
+    metrics = spark.read.schema(
+        "input_rows BIGINT, valid_rows BIGINT, reconciliation_status STRING"
+    ).json(f"{run}/run_metrics_json")
+    parts.append(_named(metric_rows(metrics), "run_metrics", "metric", "value"))
+    summary = spark.read.schema(
+        "framework STRING, columns_used ARRAY<STRING>, runs BIGINT, all_runs_reconciled BOOLEAN"
+    ).json(f"{root}/bench/benchmark_summary")
+    flat = summary.withColumn("columns_used", F.concat_ws(",", "columns_used"))
+    parts.append(_named(metric_rows(flat), "summary", "metric", "value"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The road-feature table written as CSV and read back with inferred types."""
+    path = f"{shared_folder(spark)}/road_feature_summary"
+    write_csv(_features(cleaned_incidents(spark, sf_dir)), path)
+    table_ = read_summary_csv(spark, path)
+    return table_.withColumn("Accident_Count", F.col("Accident_Count").cast("bigint"))
+
+
 def _benchmark_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals of two timed runs from raw CSV; its invalid rows make them FAIL."""
     root, raw = _raw_csv(spark, sf_dir)
@@ -405,34 +543,34 @@ QUERIES: dict[str, Query] = {
     "state_summary": _report("place", reports.state_summary),
     "top_cities": _report("place", reports.top_cities),
     "city_severity_min": _report("place", lambda c: reports.city_severity(c, CITY_MINIMUM)),
-    "city_summary_from_rows": _cleaned(_city_from_rows, []),
+    "city_summary_from_rows": _cleaned(_city_from_rows),
     "year_summary": _report("time", reports.year_summary),
     "year_month_summary": _report("time", reports.year_month_summary),
     "weekday_summary": _report("time", reports.weekday_summary),
     "hour_summary": _report("time", reports.hour_summary),
     "weekday_hour_summary": _report("time", reports.weekday_hour_summary),
     "event_weekday_hour": _event_calendar,
-    "severity_distribution": _cleaned(_severity, []),
+    "severity_distribution": _cleaned(_severity),
     "weather_condition_summary": _report("weather", reports.weather_summary),
-    "numeric_weather_overall": _cleaned(reports.numeric_weather, WEATHER_MEASURES),
+    "numeric_weather_overall": _cleaned(reports.numeric_weather),
     "numeric_means_lineitem": _line_means,
-    "road_feature_summary": _cleaned(_features, FLAG_COLUMNS),
-    "road_feature_summary_unpivot": _cleaned(_unpivot, FLAG_COLUMNS),
-    "road_feature_summary_union": _cleaned(_union, FLAG_COLUMNS),
+    "road_feature_summary": _cleaned(_features),
+    "road_feature_summary_unpivot": _cleaned(_unpivot),
+    "road_feature_summary_union": _cleaned(_union),
     # one-scan rollup and reports made from it
-    "incident_rollup": _cleaned(_rollup, ALL_SLICE_COLUMNS),
+    "incident_rollup": _cleaned(_rollup),
     "state_summary_from_rollup": _rolled("place", reports.state_summary),
     "weather_summary_from_rollup": _rolled("weather", reports.weather_summary),
     "year_month_from_rollup": _rolled("time", reports.year_month_summary),
     "road_features_from_rollup": _rolled("feature", reports.road_feature_summary),
     # counts
-    "grouping_sets_counts": _cleaned(lambda c: summaries.grouping_counts(c, DIMENSIONS), []),
+    "grouping_sets_counts": _cleaned(lambda c: summaries.grouping_counts(c, DIMENSIONS)),
     "grouping_sets_counts_sql": _cleaned(
-        lambda c: summaries.grouping_counts_sql(c, DIMENSIONS, view="benchmark_source"), []),
+        lambda c: summaries.grouping_counts_sql(c, DIMENSIONS, view="counted_rows")),
     "counts_by_state": _dimension_table("State", "string", by_count=True),
     "counts_by_year": _dimension_table("Year", "int"),
     "counts_by_severity": _dimension_table("Severity", "int"),
-    "value_counts_weather": _cleaned(_value_counts, ["Weather_Condition"]),
+    "value_counts_weather": _cleaned(_value_counts),
     # quality and cleaning
     "quality_summary": _quality_summary,
     "missing_values": _missing_values,
@@ -449,29 +587,33 @@ QUERIES: dict[str, Query] = {
     "partitioned_roundtrip": _partitioned_roundtrip,
     "summary_csv_roundtrip": _summary_csv,
     "metrics_json_roundtrip": _metrics_json,
-    "metric_rows": _cleaned(_metric_rows, []),
+    "metric_rows": _cleaned(_metric_rows),
     "prepare_then_state_summary": _prepare_then_states,
     "analysis_job_outputs": _analysis_job,
+    "analysis_job_tables": _analysis_tables,
+    "prepare_job_tables": _prepare_tables,
+    "split_benchmark_job_tables": _split_tables,
+    "inferred_csv_reread": _inferred,
     "benchmark_job_totals": _benchmark_job,
     "split_benchmark_job_rows": _split_benchmark_job,
     # checks and runs
     "validation": _validation,
-    "reconciliation": _cleaned(_reconciliation, []),
+    "reconciliation": _cleaned(_reconciliation),
     "reconciliation_from_rollup": _staged_rollup_reconciliation,
-    "dimension_check": _cleaned(_dimension_check, []),
+    "dimension_check": _cleaned(_dimension_check),
     "five_way_check": _five_way,
-    "benchmark_runs": _cleaned(_run_table, RUN_COLUMNS),
-    "benchmark_summary": _cleaned(_run_summary, RUN_COLUMNS),
+    "benchmark_runs": _cleaned(_run_table),
+    "benchmark_summary": _cleaned(_run_summary),
     "run_metrics": _run_metrics,
-    "runtime_side_by_side": _cleaned(_runtimes, [*RUN_COLUMNS, "Stop"]),
+    "runtime_side_by_side": _cleaned(_runtimes),
     # chart tables
     "chart_top_states": _chart("place", reports.state_summary, charts.top_states),
     "chart_top_cities": _chart("place", reports.top_cities, charts.top_cities),
     "chart_yearly": _chart("time", reports.year_summary, lambda s: charts.yearly(s, (1995, 2001))),
     "chart_weekdays": _chart("time", reports.weekday_summary, charts.weekdays),
     "chart_hourly": _chart("time", reports.hour_summary, charts.hourly),
-    "chart_severity": _cleaned(lambda c: charts.severity_shares(_severity(c)), []),
+    "chart_severity": _cleaned(lambda c: charts.severity_shares(_severity(c))),
     "chart_weather": _chart("weather", reports.weather_summary, charts.top_weather),
-    "chart_features": _cleaned(lambda c: charts.present_features(_features(c)), FLAG_COLUMNS),
+    "chart_features": _cleaned(lambda c: charts.present_features(_features(c))),
 }
 

@@ -14,11 +14,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.rows import CLEAN_BETWEEN, CLEAN_FILL, CLEAN_NOT_NULL, clean_rows, retype_times
+from ..operators.rows import clean, retype_times
+from ..sinks.writers import shared_folder, staged
 from ..sources.schema import FLAG_COLUMNS, RAW_COLUMNS, TIME_COLUMNS
 
-# Columns the row rules read; the cleaned records always hold them.
-RULE_COLUMNS = [*CLEAN_NOT_NULL, *CLEAN_BETWEEN, *CLEAN_FILL]
 # What each report slice reads beyond those.
 SLICE_COLUMNS = {
     "place": [],
@@ -51,19 +50,13 @@ JUNK = "l_discount = 0.05 AND l_tax = 0.05"
 END = "timestampadd(HOUR, CAST(l_quantity AS BIGINT), l_shipdate)"
 LIGHT = "IF(l_orderkey * 37 % 1440 BETWEEN 360 AND 1079, 'Day', 'Night')"
 
-# The timestamp columns as raw text and as values.
+# The timestamp columns as raw text.
 TIME_TEXTS = {
     "Start_Time": f"CASE WHEN {JUNK} THEN 'n/a' ELSE concat(CAST({START} AS STRING), "
     f"IF(l_returnflag = 'A', concat('.', lpad(CAST({MICROS} AS STRING), 6, '0'), '789'), '')) END",
     "End_Time": f"CAST({END} AS STRING)",
     "Weather_Timestamp": "CAST(ts AS STRING)",
 }
-TIME_VALUES = {
-    "Start_Time": f"CASE WHEN NOT ({JUNK}) THEN "
-    f"timestampadd(MICROSECOND, IF(l_returnflag = 'A', {MICROS}, 0), {START}) END",
-    "End_Time": END,
-    "Weather_Timestamp": "ts",
-}
 CELLS = {
     "ID": "CASE WHEN l_tax <> 0.08 OR l_discount <> 0.01 "
     "THEN concat_ws('-', l_orderkey, l_linenumber) END",
@@ -113,11 +106,15 @@ CELLS = {
 }
 
 
-def _records(spark: SparkSession, sf_dir: str, columns: Sequence[str], *, text: bool) -> DataFrame:
-    """The records, with the facts of an order put together before lineitem joins them.
+def raw_incidents(
+    spark: SparkSession, sf_dir: str, columns: Sequence[str] = tuple(RAW_COLUMNS)
+) -> DataFrame:
+    """The raw table, or some of its columns: timestamps are text, as in the raw file.
 
-    The largest table so takes part in one join, on one key, where adaptive
-    execution can split an order that holds a large share of the rows.
+    The facts of an order are put together and stored before lineitem joins them.  So the
+    largest table takes part in one join, on one key, and both sides of it come from an exchange
+    of their own; that is what adaptive execution needs to split an order that
+    holds a large share of the rows.
     """
     facts = (
         table(spark, sf_dir, "orders")
@@ -127,31 +124,25 @@ def _records(spark: SparkSession, sf_dir: str, columns: Sequence[str], *, text:
     if EVENT_COLUMNS & set(columns):
         events = table(spark, sf_dir, "events")
         facts = facts.join(events, F.col("o_orderkey") == F.col("event_id"), "left")
+    facts = staged(facts, f"{shared_folder(spark)}/facts")
     lineitem = table(spark, sf_dir, "lineitem")
     joined = lineitem.join(facts, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-    cells = CELLS | (TIME_TEXTS if text else TIME_VALUES)
+    cells = CELLS | TIME_TEXTS
     return joined.selectExpr(*[f"{cells[name]} AS `{name}`" for name in columns])
 
 
-def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw table: timestamps are text, as in the raw file."""
-    return _records(spark, sf_dir, RAW_COLUMNS, text=True)
-
-
-def typed_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw table with its texts parsed."""
-    return retype_times(raw_incidents(spark, sf_dir), TIME_COLUMNS)
-
-
-def cleaned_incidents(
+def typed_incidents(
     spark: SparkSession, sf_dir: str, columns: Sequence[str] = tuple(RAW_COLUMNS)
 ) -> DataFrame:
-    """Typed records through the row rules, with the derived columns.
+    """The raw table, or some of its columns, with its texts parsed."""
+    raw = raw_incidents(spark, sf_dir, columns)
+    return retype_times(raw, [name for name in TIME_COLUMNS if name in columns])
+
+
+def cleaned_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored cleaned dataset: raw text, parsed, deduplicated and put through the rules.
 
-    The reports read this, as they would a stored cleaned dataset, so times are
-    values here and no text is parsed.  Dedup needs every column of a record for
-    its total order and has queries of its own.
+    It is written once per call to the shared folder, as the prepare job does, and reports
+    read the columns they need from there.
     """
-    wanted = set(columns) | set(RULE_COLUMNS)
-    names = [name for name in RAW_COLUMNS if name in wanted]
-    return clean_rows(_records(spark, sf_dir, names, text=False))
+    return staged(clean(typed_incidents(spark, sf_dir)), f"{shared_folder(spark)}/cleaned")
