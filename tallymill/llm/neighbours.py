@@ -121,7 +121,7 @@ def unit_vectors(column: pa.Array) -> tuple[list[int], list[np.ndarray]]:
         v = values.to_numpy(zero_copy_only=False)
         with np.errstate(over="ignore"):
             norm = math.sqrt(float(v @ v)) if len(v) else 0.0
-        if not np.isfinite(v).all() or not norm:
+        if not np.isfinite(v).all() or not v.any():
             continue
         if not np.isfinite(norm) or norm < 1e-150:  # squares out of range: scale first
             v = v / np.abs(v).max()

@@ -1,0 +1,2 @@
+def physical(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
