@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,8 +72,8 @@ def summarize(
         else:
             # Over the groups themselves.  Every measure takes part, with factor 0, so that the
             # subquery plans the same first exchange, which Spark then runs once.
-            others = [F.count(name) * 0 for name in result.columns if name != count]
-            grand = result.agg(reduce(lambda a, b: a + b, others, F.sum(count)))
+            every = F.max(F.hash(*[F.col(f"`{name}`") for name in result.columns])) * 0
+            grand = result.agg(F.sum(count) + F.coalesce(every, F.lit(0)))
         percentage = F.try_divide(F.col(count) * 100, grand.scalar())
         result = result.withColumn(share, F.round(percentage, digits))
     return result.orderBy(*order) if order else result

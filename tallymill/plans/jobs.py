@@ -36,6 +36,11 @@ from .rollup import base_counts, incident_rollup, report_base, rollup_slice
 DIMENSIONS = ("State", "Year", "Severity")
 
 
+def uri_text(uri: str | list[str]) -> str:
+    """How an input of one or several paths reads in a table."""
+    return uri if isinstance(uri, str) else ",".join(uri)
+
+
 @contextmanager
 def staging(spark: SparkSession, root: str, keep: bool) -> Iterator[str]:
     """A folder for tables that only the job itself reads."""
@@ -88,7 +93,7 @@ def _prepare(
 
     def write_quality() -> DataFrame:
         figures = staged(profile(typed), f"{folder}/profile")
-        write_csv(quality_summary(figures, input_uri=input_uri), f"{quality}/summary")
+        write_csv(quality_summary(figures, input_uri=uri_text(input_uri)), f"{quality}/summary")
         write_csv(
             missing_values(figures),
             f"{quality}/missing_values",
@@ -205,7 +210,7 @@ def _write_reports(
         counts,
         minimum_city_count=minimum_city_count,
         total=total,
-        info={"input_uri": input_uri, "output_uri": output_uri},
+        info={"input_uri": uri_text(input_uri), "output_uri": output_uri},
     )
     with ThreadPoolExecutor(writers) as pool:
         writes = [
@@ -298,7 +303,7 @@ def _benchmark(
         "spark_master": spark.sparkContext.master,
         "default_parallelism": spark.sparkContext.defaultParallelism,
         "shuffle_partitions": spark.conf.get("spark.sql.shuffle.partitions"),
-        "input_uri": input_uri,
+        "input_uri": uri_text(input_uri),
     }
     scope = {
         "timing_scope": "CSV scan, row rules, counts of three dimensions, CSV write",
@@ -375,7 +380,7 @@ def _split_benchmark(
     write_csv(table, f"{output_uri}/benchmark_runs", order=["run"])
     summary = run_facts(
         table,
-        before={"framework": "PySpark", "input": input_uri, "columns_used": COUNT_COLUMNS},
+        before={"framework": "PySpark", "input": uri_text(input_uri), "columns_used": COUNT_COLUMNS},
         seconds=("scan_and_aggregate_seconds", "total_seconds"),
     )
     write_json(summary, f"{output_uri}/benchmark_summary")

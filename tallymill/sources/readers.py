@@ -43,10 +43,12 @@ def read_incidents_csv(
     return frame.select(*[f"`{name}`" for name in columns]) if columns else frame
 
 
-def read_parquet(spark: SparkSession, path: str, *, schema: str | None = None) -> DataFrame:
-    """A Parquet dataset; partition directories such as ``Year=2020`` become columns."""
+def read_parquet(
+    spark: SparkSession, path: str | list[str], *, schema: str | None = None
+) -> DataFrame:
+    """A Parquet dataset, or several as one; partition directories such as ``Year=2020`` become columns."""
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+    return reader.parquet(*([path] if isinstance(path, str) else path))
 
 
 def read_summary_csv(spark: SparkSession, path: str, *, layout: str | None = None) -> DataFrame:

@@ -78,7 +78,10 @@ near_miss = st.builds(
     st.integers(0, 61),
     st.integers(0, 61),
     st.sampled_from([" ", " ", " ", "T", "  ", ""]),
-    st.sampled_from(["", ".", ".1", ".123456789", ".1234567890", "Z", " ", ".12x", "+01:00"]),
+    st.sampled_from(
+        ["", ".", ".1", ".123456789", ".1234567890", "Z", " ", ".12x", "+01:00"]
+        + ["\n", "\r", "\r\n", "\u0085", "\u2028", ".5\n"]
+    ),
 )
 signed = near_miss.map(lambda t: "+1" + t) | near_miss.map(lambda t: "-" + t)
 
@@ -104,6 +107,18 @@ def test_parse_mixed(spark):
         ("02/08/2016", dt.datetime(2016, 2, 8)),
         ("2016/02/08", dt.datetime(2016, 2, 8)),
         ("08 Feb 2016", dt.datetime(2016, 2, 8)),
+        ("2/8/2016", dt.datetime(2016, 2, 8)),
+        ("2/8/2016 5:46", dt.datetime(2016, 2, 8, 5, 46)),
+        ("02/08/2016 05:46 PM", dt.datetime(2016, 2, 8, 17, 46)),
+        ("2/8/2016 5:46:07 am", dt.datetime(2016, 2, 8, 5, 46, 7)),
+        ("Feb 8, 2016", dt.datetime(2016, 2, 8)),
+        ("February 8, 2016 5:46", dt.datetime(2016, 2, 8, 5, 46)),
+        ("2016-02-08T05:46:00Z", dt.datetime(2016, 2, 8, 5, 46)),
+        ("2016-02-08 5:46", dt.datetime(2016, 2, 8, 5, 46)),
+        ("2016-2-8", dt.datetime(2016, 2, 8)),
+        ("2016-2-8 5:46:01.25", dt.datetime(2016, 2, 8, 5, 46, 1, 250000)),
+        ("25/12/2016", dt.datetime(2016, 12, 25)),
+        ("20160208", dt.datetime(2016, 2, 8)),
         ("13/13/2016", None),
         ("soon", None),
         (None, None),
