@@ -31,11 +31,11 @@ from .text import MULTIPLIER, chunks, lists, mix, shingle_hashes, words
 SHINGLE = 5
 THRESHOLD = 0.8
 RUNS = 10
-DEPTH = 3
+DEPTH = 2
 #: Sets in a bucket that is not split further.
-SMALL = 64
-#: Sets in a block when a bucket or a group is compared.
-BLOCK = 256
+SMALL = 256
+#: Sets in a block when a bucket or a group is compared; a pair of blocks is what a task holds.
+BLOCK = 512
 #: Bins of a sketch; each keeps one byte of its least shingle hash.
 BINS = 128
 #: Standard deviations by which a sketch may underrate a pair before it is passed over.
@@ -81,13 +81,13 @@ def choose(tokens: np.ndarray, paths: np.ndarray, limit: np.uint64) -> tuple[np.
 
 
 def chosen_paths(tokens: np.ndarray, runs: int, threshold: float) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(path, the path it goes on from) at each depth."""
+    """(path, place among the paths one depth above that it goes on from) at each depth."""
     limit = np.uint64(min(2**64 - 1, int(2.0**64 / (threshold * len(tokens)))))
     paths = mix(np.arange(1, runs + 1, dtype=np.uint64))
     out = []
     for _ in range(DEPTH):
         new, parent = choose(tokens, paths, limit)
-        out.append((new, paths[parent]))
+        out.append((new, parent.astype(np.int32)))
         paths = new
     return out
 
@@ -122,14 +122,16 @@ def _sets(batches: Batches, runs: int, threshold: float, with_sets: bool) -> Ite
                     pa.array(keys, pa.binary()),
                     pa.array(sizes, pa.int32()),
                     pa.array(sketches, pa.binary()),
-                    *[lists(p, pa.int64()) for p in paths],
+                    *[lists(p, pa.int32() if i % 2 else pa.int64()) for i, p in enumerate(paths)],
                 ]
                 names = ["doc_id", "key", "size", "sketch", *PATH_NAMES]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
 PATH_NAMES = [f"{kind}_{d}" for d in range(1, DEPTH + 1) for kind in ("path", "from")]
-SETS = "doc_id long, key binary, size int, sketch binary, " + ", ".join(f"{n} array<long>" for n in PATH_NAMES)
+SETS = "doc_id long, key binary, size int, sketch binary, " + ", ".join(
+    f"{n} array<{'long' if n.startswith('path') else 'int'}>" for n in PATH_NAMES
+)
 
 
 def leaves(sets: DataFrame, folder: str, small: int) -> tuple[DataFrame, DataFrame]:
@@ -141,12 +143,14 @@ def leaves(sets: DataFrame, folder: str, small: int) -> tuple[DataFrame, DataFra
     rows, sizes = [], []
     large = None
     for d in range(1, DEPTH + 1):
-        at = sets.select("key", F.explode(F.arrays_zip(f"path_{d}", f"from_{d}")).alias("x")).select(
-            "key", F.col(f"x.path_{d}").alias("path"), F.col(f"x.from_{d}").alias("parent")
-        )
-        if large is not None:
-            at = at.join(large.select(F.col("path").alias("parent")), "parent")
-        at = at.select("path", "key").distinct() if d > 1 else at.select("path", "key")
+        if large is None:
+            at = sets.select("key", F.explode("path_1").alias("path"))
+        else:
+            pairs = F.zip_with(
+                f"path_{d}", f"from_{d}", lambda p, i: F.struct(p.alias("path"), F.get(f"path_{d - 1}", i).alias("parent"))
+            )
+            every = sets.select("key", F.inline(pairs))
+            at = every.join(large.select(F.col("path").alias("parent")), "parent").select("path", "key")
         found = stage(at.groupBy("path").agg(F.count("*").alias("n")).where("n > 1"), folder, f"buckets_{d}")
         here = found if d == DEPTH else found.where(F.col("n") <= small)
         rows.append(at)
@@ -273,14 +277,13 @@ def jaccard_classes(
     folder = shared(documents)
     frame = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sets = stage(frame.mapInArrow(partial(_sets, runs=runs, threshold=threshold, with_sets=False), SETS), folder, "sets")
-    classes = stage(
-        sets.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")), folder, "classes"
-    )
-    # paths and sketch are functions of the set, so any of its rows has them: the one of the smallest id
-    single = sets.join(classes.select("key", F.col("doc_id").alias("least")), "key").where(F.expr("doc_id <=> least"))
-    single = stage(single.drop("doc_id", "least").dropDuplicates(["key"]), folder, "single")
-    members, sizes = leaves(single, folder, small)
-    rows = members.join(single.select("key", "size", "sketch"), "key")
+    # size, sketch and paths are functions of the set, so any of its rows has them
+    same = [F.first(c).alias(c) for c in ("size", "sketch", *PATH_NAMES)]
+    classes = sets.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), *same)
+    classes = stage(classes, folder, "classes")
+    members, sizes = leaves(classes, folder, small)
+    rows = members.join(classes.select("key", "size", "sketch"), "key")
+    classes = classes.select("key", "doc_id", "copies")
     dealt = in_blocks(rows, sizes, ["path"], "key", block)
     edges = gathered(dealt, ["path", "left", "right"]).mapInArrow(
         partial(_candidates, threshold=threshold), "a binary, b binary"
@@ -288,7 +291,9 @@ def jaccard_classes(
     grouped = components(edges, f"{folder}/candidates").withColumnRenamed("node", "key")
     wanted = stage(grouped.join(classes, "key"), folder, "wanted")
     many = stage(wanted.groupBy("component").agg(F.count("*").alias("n")), folder, "groups")
-    texts = frame.alias("d").join(wanted.alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")))
+    # by hash at every size: texts are never sorted, and only their ids' partitions are built
+    build = wanted.hint("shuffle_hash").alias("w")
+    texts = frame.alias("d").join(build, F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")))
     texts = texts.select("d.text", "w.key", "w.component", "w.copies")
     whole = texts.mapInArrow(
         partial(_sets, runs=runs, threshold=threshold, with_sets=True),

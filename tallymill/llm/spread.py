@@ -120,10 +120,10 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def components(edges: DataFrame, folder: str) -> DataFrame:
     """(node, component) for every node of the edges (a, b); component is one of its nodes.
 
-    Each round every node moves to the neighbour, or itself, that comes first in an order
-    drawn anew for the round, and the edges are rewritten and made distinct.  Drawn orders
-    shorten a chain by a constant factor on average, so the rounds grow with the logarithm
-    of the longest chain.  Every round is staged; joins are plain equi-joins of staged tables, which
+    Each round every node moves to the least of itself and its neighbours, and to where that one
+    moves, and the edges are rewritten and made distinct.  A star is done in two rounds; nodes
+    named by digests stand in a chain in random order, of which a round leaves a fraction, so
+    the rounds grow with the logarithm of the longest chain.  Every round is staged; joins are plain equi-joins of staged tables, which
     adaptive execution can split where one node has many edges.
     """
     left = stage(edges.where("a <> b").select("a", "b").distinct(), folder, "edges_0")
@@ -131,9 +131,10 @@ def components(edges: DataFrame, folder: str) -> DataFrame:
     while not left.isEmpty():
         k = len(moves)
         both = left.union(left.select("b", "a"))
-        rank = lambda name: F.struct(F.xxhash64(F.lit(k), name).alias("r"), F.col(name).alias("v"))
-        best = both.groupBy("a").agg(F.least(F.min(rank("b")), F.min(rank("a")))["v"].alias("to"))
-        move = stage(best, folder, f"moves_{k}")
+        least = both.groupBy("a").agg(F.min("b").alias("b")).select("a", F.least("a", "b").alias("to"))
+        step = stage(least, folder, f"steps_{k}")
+        jump = step.select(F.col("a").alias("to"), F.col("to").alias("then"))
+        move = stage(step.join(jump, "to").select("a", F.col("then").alias("to")), folder, f"moves_{k}")
         first = left.join(move.withColumnRenamed("to", "x"), "a")
         second = first.join(move.select(F.col("a").alias("b"), F.col("to").alias("y")), "b")
         nxt = second.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
