@@ -36,11 +36,12 @@ THRESHOLD = 0.98
 SAMPLE = 8192
 SUBSPACES = 8
 CENTROIDS = 256  # per subspace: a code is a byte
-#: Vectors an inverted list should hold, and lists at most.
+#: Vectors of one label that an inverted list should hold, and lists at most.
 LIST_SIZE = 2048
 LISTS = 1024
-#: Vectors and queries in one block.
-BLOCK = 512
+#: Vectors and queries in one block.  A query goes to each block of each list it probes, so
+#: blocks as large as lists keep its copies few.
+BLOCK = 2048
 QUERIES = 2048
 ROUNDS = 8
 SEED = 7
@@ -282,7 +283,8 @@ def near_vectors(
         few = [np.array(r["unit"]) for r in classes.where(drawn).select("unit").collect()]
         few = few or [np.array(classes.select("unit").first()["unit"])]
         common = max({len(v) for v in few}, key=lambda d: (sum(len(v) == d for v in few), d))
-        lists = max(1, min(LISTS, math.isqrt(many), -(-many // list_size)))
+        largest = classes.groupBy("label").count().agg(F.max("count")).first()[0]
+        lists = max(1, min(LISTS, -(-largest // list_size)))
         q = fit(np.stack([v for v in few if len(v) == common]), lists)
         reach = math.sqrt(max(0.0, 2 - 2 * threshold))
         asked = classes.select("key", "label", "copies", "unit")
