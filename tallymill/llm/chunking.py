@@ -1,9 +1,11 @@
-"""Substring dedup by content-defined chunks.
+"""Substring dedup by content-defined anchors.
 
-A gear rolling hash over the last 16 bytes says where a text is cut, on average every 32
-bytes, so an insertion moves only the cuts beside it and the same passage is cut alike wherever it stands.
-Chunks are compared by digest over all documents; neighbouring chunks that also stand in
-another document join to spans, and spans of a passage's length are reported.
+A gear rolling hash over the last 16 bytes marks places, on average every 32 bytes.  An anchor is a gram of
+GRAM bytes: of every REACH neighbouring grams the last marked one, and where none is marked the
+one of the least digest, so two equal stretches of GRAM + REACH - 1 bytes have an equal anchor at the same place,
+whatever they hold.  Anchors are compared by digest over all documents; those that also stand in
+another document join to runs, a run's two ends are carried on byte by byte as long as some other
+document goes on alike, and only then its length is tested.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -24,8 +27,13 @@ from .text import Texts, chunks, mix, span_hashes
 WINDOW = 16
 #: The uppermost bits of a 16-bit gear hash that are zero at a cut: 5 cut every 32 bytes.
 CUT_BITS = 5
-#: A span counts from this many bytes.  The passage it comes from is longer: it begins up to
-#: a window and a chunk before the first whole chunk and ends up to a chunk behind the last.
+#: Bytes of an anchor, and of how many neighbouring grams one is an anchor.
+GRAM = 64
+REACH = 32
+STRETCH = GRAM + REACH - 1
+#: Bytes beside a gram by which its places are dealt out.
+NEAR = 3
+#: A span counts from this many bytes, from end to end; 51 words have 101 at least.
 LEAST_BYTES = 96
 
 GEAR = (mix(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(48)).astype(np.uint16)
@@ -48,56 +56,209 @@ def cut_places(texts: Texts, bits: int = CUT_BITS) -> np.ndarray:
     return np.flatnonzero(cut) + 1
 
 
-def _cut(batches: Batches, bits: int, places: bool) -> Iterator[pa.RecordBatch]:
+def anchors(texts: Texts, bits: int = CUT_BITS) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the anchors in the texts' bytes, sorted, and their digests.
+
+    Whether a gram is marked, and which of REACH grams is taken, hangs on their bytes alone.
+    """
+    none = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    if len(texts.data) < STRETCH:
+        return none
+    every = np.arange(len(texts.data) - GRAM + 1)
+    digest = span_hashes(texts, every, every + GRAM, lower=False)
+    rank = digest | np.uint64(1)
+    marked = cut_places(texts, bits) - WINDOW - 1  # a cut is told by WINDOW + 1 bytes before it
+    rank[marked[(marked >= 0) & (marked < len(rank))]] = 0
+    best, width = every, 1
+    while width < REACH:
+        left, right = best[:-width], best[width:]
+        later = rank[width:] <= rank[:-width]
+        best, rank = np.where(later, right, left), np.where(later, rank[width:], rank[:-width])
+        width *= 2
+    whole = np.repeat(texts.offsets[1:], np.diff(texts.offsets))[: len(best)] >= np.arange(len(best)) + STRETCH
+    best = best[whole]  # rises, since the last of equals is taken
+    if not len(best):
+        return none
+    best = best[np.concatenate([[True], best[1:] != best[:-1]])]
+    return best, digest[best]
+
+
+def _anchor(batches: Batches, bits: int, places: bool) -> Iterator[pa.RecordBatch]:
     task = TaskContext.get()
     number = (task.partitionId() if task else 0) << 40
     for batch in batches:
         for texts in chunks(batch.column("text")):
-            ends = cut_places(texts, bits)
-            row = np.searchsorted(texts.offsets, ends, "left") - 1
-            starts = np.concatenate([[0], ends[:-1]]).astype(np.int64) if len(ends) else ends
-            digest = span_hashes(texts, starts, ends, lower=False).view(np.int64)
-            doc = batch.column("doc_id").slice(texts.first, len(texts)).take(pa.array(row))
-            columns, names = [pa.array(digest), doc], ["digest", "doc_id"]
+            at, digest = anchors(texts, bits)
+            row = np.searchsorted(texts.offsets, at, "right") - 1
+            of = lambda name: batch.column(name).slice(texts.first, len(texts)).take(pa.array(row))
+            columns, names = [pa.array(digest.view(np.int64)), of("doc_id")], ["digest", "doc_id"]
             if places:
-                columns += [
-                    pa.array(number + row),
-                    pa.array((starts - texts.offsets[row]).astype(np.int64)),
-                    pa.array((ends - texts.offsets[row]).astype(np.int64)),
-                ]
-                names += ["row", "start", "end"]
+                columns += [of("key"), pa.array(number + row), pa.array(at - texts.offsets[row])]
+                names += ["key", "row", "start"]
             number += len(texts)
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
+def _beside(batches: Batches) -> Iterator[pa.RecordBatch]:
+    """The up to REACH - 1 bytes before or behind each edge's gram, the nearest first."""
+    for batch in batches:
+        for texts in chunks(batch.column("text")):
+            edges = batch.column("edges").slice(texts.first, len(texts))
+            row = np.repeat(np.arange(len(texts)), edges.value_lengths().to_numpy())
+            flat = edges.flatten()
+            start, before = (flat.field(k).to_numpy(zero_copy_only=False) for k in (1, 2))
+            low, high = texts.offsets[row], texts.offsets[row + 1]
+            at = low + start
+            size = np.minimum(np.where(before, start, high - at - GRAM), REACH - 1)
+            offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+            nth = np.arange(offsets[-1]) - np.repeat(offsets[:-1], size)
+            first, step = np.where(before, at - 1, at + GRAM), np.where(before, -1, 1)
+            data = texts.data[np.repeat(first, size) + nth * np.repeat(step, size)].tobytes()
+            beside = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+            of = lambda name: batch.column(name).slice(texts.first, len(texts)).take(pa.array(row))
+            columns = [flat.field(0), of("doc_id"), of("key"), *(flat.field(k) for k in (1, 2, 3)), beside]
+            yield pa.RecordBatch.from_arrays(columns, names=["digest", "doc_id", "key", "start", "before", "own", "beside"])
+
+
+def _padded(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    size = pc.binary_length(column).fill_null(0).to_numpy()
+    data = np.frombuffer(b"".join(x for x in column.to_pylist() if x), np.uint8)
+    out = np.zeros((len(size), REACH - 1), np.uint8)
+    out[np.arange(REACH - 1) < size[:, None]] = data
+    return out, size
+
+
+def _alike(batches: Batches) -> Iterator[pa.RecordBatch]:
+    """size: with how many of its first bytes ``beside`` begins as ``up`` or ``down`` does."""
+    for batch in batches:
+        own, long = _padded(batch.column("beside"))
+        size = np.zeros(len(own), np.int64)
+        for name in ("up", "down"):
+            other, most = _padded(batch.column(name))
+            differs = np.concatenate([own != other, np.ones((len(own), 1), bool)], axis=1)
+            size = np.maximum(size, np.minimum(differs.argmax(axis=1), np.minimum(long, most)))
+        names = ["digest", "before", "beside", "first", "last"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(size)], names=[*names, "size"])
+
+
+def _carried(places: DataFrame, folder: str) -> DataFrame:
+    """doc_id, key, start, before, size and first_doc_id for edges of which another document goes on alike for size bytes.
+
+    Of sorted neighbours one goes on alike longest, but for those of the same document, which are passed over.  Neighbours are
+    sought among those alike in NEAR bytes; shorter beginnings are counted.
+    """
+    places = places.where("beside <> X''")
+    by = ["digest", "before"]
+    kinds = places.groupBy(*by, "beside").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    kinds = stage(kinds, folder, "beside")
+    line = W.partitionBy(*by, F.substring("beside", 1, NEAR)).orderBy("beside")
+    alone = F.col("first") == F.col("last")
+    as_other = lambda f: F.coalesce(alone & (f("first").over(line) == F.col("first")) & (f("last").over(line) == F.col("last")), F.lit(False))
+    sorted_ = kinds.withColumns(
+        {"up": F.when(~as_other(F.lag), F.lag("beside").over(line)), "down": F.when(~as_other(F.lead), F.lead("beside").over(line))}
+    )
+    up = F.last("up", True).over(line.rowsBetween(W.unboundedPreceding, 0))
+    down = F.first("down", True).over(line.rowsBetween(0, W.unboundedFollowing))
+    near = sorted_.withColumns({"up": up, "down": down}).mapInArrow(
+        _alike, "digest long, before boolean, beside binary, first long, last long, size long"
+    )
+    size = F.when(alone, F.col("size")).otherwise(F.length("beside"))
+    for n in range(1, NEAR):
+        head = F.substring("beside", 1, n)
+        short = kinds.where(F.length("beside") >= n).groupBy(*by, head.alias("head")).agg(F.min("first").alias("f"), F.max("last").alias("l"))
+        short = short.where("f < l").select(*by, "head", F.lit(n).alias(f"short_{n}"))
+        near = near.withColumn("head", head).join(short, [*by, "head"], "left").drop("head")
+        size = F.greatest(size, F.coalesce(F.least(f"short_{n}", F.length("beside")), F.lit(0)))
+    sizes = stage(near.select(*by, "beside", size.cast("int").alias("size")).where("size > 0"), folder, "sizes")
+    edges = stage(places.where("own").join(sizes, [*by, "beside"]), folder, "carried")
+    head = F.expr("substring(beside, 1, size)").alias("head")
+    asked = edges.select(*by, "size").distinct()
+    heads = kinds.join(asked, by).where(F.length("beside") >= F.col("size")).groupBy(*by, "size", head).agg(F.min("first").alias("first_doc_id"))
+    found = edges.withColumn("head", head).join(stage(heads, folder, "heads"), [*by, "size", "head"])
+    return found.select("doc_id", "key", "start", "before", "size", "first_doc_id")
+
+
+def _in_several(digests: DataFrame) -> DataFrame:
+    by = digests.groupBy("digest").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last"))
+    return by.where("first_doc_id < last").select("digest", "first_doc_id")
+
+
 def repeated_spans(documents: DataFrame, *, bits: int = CUT_BITS, least_bytes: int = LEAST_BYTES) -> DataFrame:
     """One row per span that stands in several documents; a document without one has no row.
 
-    doc_id, start and length in bytes of the UTF-8 text, chunks, first_doc_id (the smallest doc_id that
-    has any of its chunks) and kept (true in the document that holds them first, false where they are copies).
+    doc_id, start and length in bytes of the UTF-8 text, chunks (the anchors and carried ends it is made of), first_doc_id
+    (the smallest doc_id that has any of them) and kept (true in the document that holds them first, false where they are copies).
+    Every byte of a copy stands in a document of a smaller doc_id.  A passage of ``least_bytes``, at least STRETCH,
+    is found in all documents that hold it, whatever it holds.  A part held first that is shorter
+    is given with bytes beside it, a copy that is shorter counts with what is held first.
     Only doc_id and text are read.  Null, empty and short texts have no spans.  Rows that share a
     doc_id are one document, so what only they repeat is not reported; rows without doc_id are left out.
-    A text of one repeated byte has few cuts or none and stays one chunk.
     """
+    if least_bytes < STRETCH:
+        raise ValueError(f"a span has at least {STRETCH} bytes")
     frame = documents.where("doc_id IS NOT NULL AND text <> ''").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
-    digests = frame.mapInArrow(partial(_cut, bits=bits, places=False), "digest long, doc_id long")
-    by = digests.groupBy("digest").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last"))
-    common = stage(by.where("first_doc_id < last").select("digest", "first_doc_id"), shared(documents), "common")
-    places = frame.mapInArrow(
-        partial(_cut, bits=bits, places=True), "digest long, doc_id long, row long, start long, end long"
+    folder = shared(documents)
+    keyed = frame.withColumn("key", F.xxhash64("text"))
+    digests = frame.mapInArrow(partial(_anchor, bits=bits, places=False), "digest long, doc_id long")
+    common = stage(_in_several(digests), folder, "common")
+    places = keyed.mapInArrow(
+        partial(_anchor, bits=bits, places=True), "digest long, doc_id long, key long, row long, start long"
     )
-    found = places.join(common, "digest").withColumn("kept", F.col("doc_id") == F.col("first_doc_id"))
+    found = stage(places.join(common, "digest"), folder, "found")
+    # where runs begin and end, and all places of the grams that stand there
     line = W.partitionBy("row").orderBy("start")
-    begins = (F.lag("end").over(line) == F.col("start")) & (F.lag("kept").over(line) == F.col("kept"))
-    runs = found.withColumn("begins", (~F.coalesce(begins, F.lit(False))).cast("int"))
-    runs = runs.withColumn("run", F.sum("begins").over(line.rowsBetween(W.unboundedPreceding, 0)))
-    spans = runs.groupBy("row", "run", "doc_id", "kept").agg(
-        F.min("start").alias("start"),
-        (F.max("end") - F.min("start")).alias("length"),
+    begins = F.coalesce(F.col("start") - F.lag("start").over(line) > GRAM, F.lit(True))
+    ends = F.coalesce(F.lead("start").over(line) - F.col("start") > GRAM, F.lit(True))
+    sided = found.withColumns({"begins": begins, "ends": ends})
+    # another document may have only the next anchor in common, less than REACH bytes on
+    first = F.max(F.when(F.col("begins"), F.col("start"))).over(line.rowsBetween(W.unboundedPreceding, 0))
+    last = F.min(F.when(F.col("ends"), F.col("start"))).over(line.rowsBetween(0, W.unboundedFollowing))
+    sided = sided.withColumns({"begins": F.col("start") - first < REACH, "ends": last - F.col("start") < REACH})
+    edges = stage(
+        sided.where("begins OR ends").groupBy("digest").agg(F.max("begins").alias("any_begins"), F.max("ends").alias("any_ends")),
+        folder,
+        "edges",
+    )
+    side = lambda before, own: F.struct("digest", "start", F.lit(before).alias("before"), F.col(own).alias("own"))
+    sides = F.array_compact(F.array(F.when(F.col("any_begins"), side(True, "begins")), F.when(F.col("any_ends"), side(False, "ends"))))
+    lists = sided.join(edges, "digest").groupBy("doc_id", "key").agg(F.flatten(F.collect_set(sides)).alias("edges"))
+    beside = keyed.dropDuplicates(["doc_id", "key"]).join(lists, ["doc_id", "key"]).mapInArrow(
+        _beside, "digest long, doc_id long, key long, start long, before boolean, own boolean, beside binary"
+    )
+    most = _carried(stage(beside, folder, "places_beside"), folder)
+    low = F.col("start") - F.when(F.col("before"), F.col("size")).otherwise(0)
+    high = F.col("start") + GRAM + F.when(F.col("before"), 0).otherwise(F.col("size"))
+    rows = found.select("row", "doc_id", "key").distinct()
+    longer = rows.join(most, ["doc_id", "key"]).select("row", "doc_id", low.alias("low"), high.alias("high"), "first_doc_id")
+    grams = found.select("row", "doc_id", F.col("start").alias("low"), (F.col("start") + GRAM).alias("high"), "first_doc_id")
+    # runs of grams that touch, and in them parts that are held first or copies
+    parts = grams.unionByName(longer).withColumn("kept", F.col("doc_id") == F.col("first_doc_id"))
+    line = W.partitionBy("row").orderBy("low", "high")
+    so_far = line.rowsBetween(W.unboundedPreceding, 0)
+    apart = F.coalesce(F.col("low") > F.max("high").over(line.rowsBetween(W.unboundedPreceding, -1)), F.lit(True))
+    turns = lambda new, kept: F.coalesce(new | (F.lag(kept).over(line) != F.col(kept)), F.lit(True)).cast("int")
+    runs = parts.withColumn("apart", apart).withColumn("turns", turns(F.col("apart"), "kept"))
+    runs = runs.withColumns({"run": F.sum(F.col("apart").cast("int")).over(so_far), "part": F.sum("turns").over(so_far)})
+    run, part = W.partitionBy("row", "run"), W.partitionBy("row", "part")
+    runs = runs.withColumns({"from": F.min("low").over(run), "to": F.max("high").over(run)})
+    runs = runs.where(F.col("to") - F.col("from") >= least_bytes)
+    held = F.col("kept") | (F.max("high").over(part) - F.min("low").over(part) < least_bytes)
+    runs = runs.withColumn("kept", held)
+    runs = runs.withColumn("turns", turns(F.col("apart"), "kept")).withColumn("part", F.sum("turns").over(so_far))
+    spans = runs.groupBy("row", "part", "doc_id", "kept", "from", "to").agg(
+        F.min("low").alias("low"),
+        F.max("high").alias("high"),
         F.count("*").alias("chunks"),
         F.min("first_doc_id").alias("first_doc_id"),
     )
-    long = spans.where(F.col("length") >= least_bytes)
-    return long.select("doc_id", "start", "length", "chunks", "first_doc_id", "kept")
+    start = F.least("low", F.greatest("from", F.col("high") - least_bytes))
+    return spans.select(
+        "doc_id",
+        start.alias("start"),
+        (F.greatest("high", F.least("to", start + least_bytes)) - start).alias("length"),
+        "chunks",
+        F.when(F.col("kept"), F.col("doc_id")).otherwise(F.col("first_doc_id")).alias("first_doc_id"),
+        "kept",
+    )

@@ -1,9 +1,10 @@
 import collections
+import random
 
 import pyarrow as pa
 from fixtures import LONG, ODD, documents, prose, table
 
-from tallymill.llm.chunking import WINDOW, cut_places, repeated_spans
+from tallymill.llm.chunking import LEAST_BYTES, STRETCH, WINDOW, anchors, cut_places, repeated_spans
 from tallymill.llm.queries import QUERIES
 from tallymill.llm.text import chunks
 
@@ -72,3 +73,50 @@ def test_query_catches_every_long_passage(spark, sf_dir):
         if not r["kept"] and r["chunks"] == 1:
             part = texts[r["doc_id"]].encode()[r["start"] : r["start"] + r["length"]]
             assert part in texts[r["first_doc_id"]].encode()
+
+
+def test_equal_stretches_have_an_equal_anchor():
+    rng = random.Random(3)
+    for seed in range(300):
+        size = rng.choice([2, 4, 26])
+        line = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz"[:size]) for _ in range(n))  # noqa: B023, E731
+        period = line(rng.randint(1, 40))
+        stretch = (period * 100)[:STRETCH] if seed % 2 else line(STRETCH)
+        heads = [line(rng.randint(0, 60)) for _ in range(2)]
+        texts = next(chunks(pa.array([h + stretch + line(rng.randint(0, 60)) for h in heads])))
+        at, digest = anchors(texts)
+        seen = [
+            {(a - lo, d) for a, d in zip(at.tolist(), digest.tolist()) if lo <= a <= lo + STRETCH - 64}
+            for lo in (int(texts.offsets[i]) + len(heads[i]) for i in range(2))
+        ]
+        assert seen[0] & seen[1]
+
+
+def test_every_planted_passage_is_found_to_its_ends(spark):
+    """Passages of 51 words and periodic ones, some also in part in a document before."""
+    rng = random.Random(11)
+    docs, want = [], []
+    for k in range(120):
+        if k % 3 == 0:
+            words = [rng.choice("abcdefghijkl") for _ in range(51)]
+        elif k % 3 == 1:
+            words = [f"w{k}", *["la", "li", "lu"] * 17][:51]
+        else:
+            words = [f"{rng.getrandbits(20):x}" for _ in range(51)]
+        passage = " ".join(words)
+        if k % 4 == 0:
+            docs.append((k, f"<{k}> " + passage[10:85] + f" [{k}]"))
+        for n in (1, 2):
+            head, tail = prose(1000 * n + k, rng.randint(0, 40)) + f"{n}<", f">{n}" + prose(5000 * n + k, rng.randint(0, 40))
+            docs.append((1000 * n + k, head + passage + tail))
+            want.append((1000 * n + k, len((head).encode()), len((head + passage).encode())))
+    covered = collections.defaultdict(set)
+    texts = {d: t.encode() for d, t in docs}
+    for r in repeated_spans(documents(spark, docs)).collect():
+        part = texts[r["doc_id"]][r["start"] : r["start"] + r["length"]]
+        assert len(part) == r["length"] >= LEAST_BYTES and r["kept"] == (r["first_doc_id"] == r["doc_id"])
+        if not r["kept"]:  # what a copy holds stands in the documents before, in overlapping pieces
+            assert all(any(part[i : i + 64] in t for d, t in texts.items() if d < r["doc_id"]) for i in (0, r["length"] - 64))
+        covered[r["doc_id"]] |= set(range(r["start"], r["start"] + r["length"]))
+    for d, low, high in want:
+        assert set(range(low, high)) <= covered[d]
