@@ -6,6 +6,9 @@ count the phrases.  The language that needs fewest phrases per character explain
 Phrases are counted over the whole text.  A text is cut into strips that are walked side
 by side, one character of all strips and languages at a time, so the walk is a
 few array operations per character and not a Python loop per text.
+
+Every letter of the samples has a symbol of its own; letters that no sample holds share one.  A language's table has
+columns for the most frequent letters of its own sample, its other transitions are few and stand in a sorted list.
 """
 
 from __future__ import annotations
@@ -27,19 +30,19 @@ SAMPLE_CHARS = 1 << 20
 LANGUAGE_CHARS = 1 << 16
 #: Documents per language from which the sample is taken.
 SAMPLE_DOCUMENTS = 256
-#: Letters with a symbol of their own; all others share one.
+#: Letters of a language with a column in its table; its others are looked up by state and symbol.
 LETTERS = 62
 STRIP = 512
 CHUNK_CHARS = 1 << 21
 UNDETERMINED = "und"
 
-_PLANE = 0x10000
+_PLANE = 0x110000
 MISS = 1 << 30
 
 
 def _planes() -> tuple[np.ndarray, np.ndarray]:
     lower = np.arange(_PLANE, dtype=np.uint32)
-    letter = np.zeros(_PLANE + 1, bool)
+    letter = np.zeros(_PLANE, bool)
     for i in range(_PLANE):
         c = chr(i)
         if c.isalpha():
@@ -47,7 +50,6 @@ def _planes() -> tuple[np.ndarray, np.ndarray]:
             low = c.lower()
             if len(low) == 1:
                 lower[i] = ord(low)
-    letter[_PLANE] = True  # beyond the first plane: a letter of the shared symbol
     return lower, letter
 
 
@@ -57,10 +59,14 @@ LOWER_POINTS, IS_LETTER = _planes()
 @dataclass
 class Model:
     languages: list[str]
-    symbol: np.ndarray  # of each code point of the first plane, and one for the rest
-    table: np.ndarray  # state + symbol -> next state, with MISS set if the match broke
+    symbol: np.ndarray  # of each code point
+    column: np.ndarray  # (languages, symbols) of the language's table; all other letters share one
+    rare: np.ndarray  # (languages, symbols) whether the sample has it without a column
+    first: np.ndarray  # (languages, symbols) state behind the root, with MISS set
+    keys: np.ndarray  # sorted state * symbols + symbol of transitions without a column
+    went: np.ndarray  # and where they lead
+    table: np.ndarray  # state + column -> next state, with MISS set if the match broke
     roots: np.ndarray  # first state of each language
-    width: int
 
 
 def automaton(symbols: list[int]) -> list[dict[int, int]]:
@@ -94,37 +100,55 @@ def automaton(symbols: list[int]) -> list[dict[int, int]]:
 
 
 def points(text: str) -> np.ndarray:
-    code = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
-    return np.minimum(code, _PLANE)
+    return np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
 
 
 def train(samples: dict[str, str]) -> Model:
     """One automaton per language over its sample."""
-    lowered = {k: LOWER_POINTS[np.minimum(points(v), _PLANE - 1)] for k, v in sorted(samples.items())}
+    lowered = {k: LOWER_POINTS[points(v)] for k, v in sorted(samples.items())}
     every = np.concatenate([*lowered.values(), np.zeros(0, np.uint32)])
-    values, counts = np.unique(every[IS_LETTER[every]], return_counts=True)
-    top = values[np.lexsort((values, -counts))][:LETTERS]
-    symbol = np.zeros(_PLANE + 1, np.int32)  # 0: no letter
-    symbol[IS_LETTER] = len(top) + 1
-    symbol[top] = np.arange(1, len(top) + 1)
-    symbol[:_PLANE] = symbol[LOWER_POINTS]
-    width = len(top) + 2
+    seen = np.unique(every[IS_LETTER[every]])
+    symbol = np.zeros(_PLANE, np.int32)  # 0: no letter
+    symbol[IS_LETTER] = len(seen) + 1
+    symbol[seen] = np.arange(1, len(seen) + 1)
+    symbol = symbol[LOWER_POINTS]
+    many = len(seen) + 2
+    columns = np.zeros((len(lowered), many), np.int32)
+    rare, first = np.zeros((len(lowered), many), bool), np.zeros((len(lowered), many), np.int32)
     tables, roots, base = [], [], 0
-    for line in lowered.values():
-        moves = automaton(squeeze(symbol[line]).tolist())
-        root = [base + moves[0].get(c, 0) * width for c in range(width)]
-        part = np.empty((len(moves), width), np.int64)
-        part[:] = np.array(root) | MISS
+    keys, went = [], []
+    for k, line in enumerate(lowered.values()):
+        symbols = squeeze(symbol[line])
+        own, counts = np.unique(symbols, return_counts=True)
+        top = own[np.lexsort((own, -counts))][: LETTERS + 1]
+        width = len(top) + 1
+        columns[k] = len(top)
+        columns[k, top] = np.arange(len(top))
+        rare[k, own] = columns[k, own] == len(top)
+        column, apart = columns[k].tolist(), rare[k].tolist()
+        moves = automaton(symbols.tolist())
+        if base + len(moves) * width >= MISS:
+            raise ValueError("the sample is too large")
+        first[k] = base | MISS
+        for c, to in moves[0].items():
+            first[k, c] = (base + to * width) | MISS
+        part = np.empty((len(moves), width), np.int32)
+        part[:] = base | MISS
+        part[:, :-1] = first[k, top]
         for state, outs in enumerate(moves):
             for c, to in outs.items():
-                part[state, c] = base + to * width
-        tables.append(part.astype(np.int32).ravel())
+                if apart[c]:
+                    keys.append((base + state * width) * many + c)
+                    went.append(base + to * width)
+                else:
+                    part[state, column[c]] = base + to * width
+        tables.append(part.ravel())
         roots.append(base)
         base += len(moves) * width
-    if base >= MISS:
-        raise ValueError("the sample is too large")
-    table = np.concatenate(tables) if tables else np.zeros(width, np.int32)
-    return Model(list(lowered), symbol, table, np.array(roots, np.int32), width)
+    table = np.concatenate(tables) if tables else np.zeros(1, np.int32)
+    order = np.argsort(np.array(keys, np.int64))
+    sparse = np.array(keys, np.int64)[order], np.array(went, np.int32)[order]
+    return Model(list(lowered), symbol, columns, rare, first, *sparse, table, np.array(roots, np.int32))
 
 
 def squeeze(symbols: np.ndarray) -> np.ndarray:
@@ -156,7 +180,13 @@ def phrases(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     active = np.searchsorted(-long, -np.arange(1, STRIP + 1), "right")
     for t in range(int(long[0]) if lanes else 0):
         n = active[t]
-        went = model.table.take(state[:, :n] + flat.take(at[:n] + t))
+        now = flat.take(at[:n] + t)
+        went = model.table.take(state[:, :n] + model.column.take(now, axis=1))
+        if len(model.keys):
+            which, lane = np.nonzero(model.rare.take(now, axis=1))
+            key = state[which, lane].astype(np.int64) * model.rare.shape[1] + now[lane]
+            found = np.minimum(np.searchsorted(model.keys, key), len(model.keys) - 1)
+            went[which, lane] = np.where(model.keys[found] == key, model.went[found], model.first[which, now[lane]])
         count[:, :n] += went >> 30
         state[:, :n] = went & (MISS - 1)
     total = np.zeros((len(rows), many), np.int64)

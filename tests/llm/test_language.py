@@ -59,3 +59,25 @@ def test_held_out_accuracy(spark, sf_dir):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in got)
     held = [r for r in got if r["held_out"]]
     assert sum(r["lang_pred"] == rows[r["doc_id"]] for r in held) >= 0.97 * len(held)
+
+
+def test_languages_are_told_apart_by_letters_beyond_the_most_frequent():
+    """Two scripts of 60 letters, and two languages each of further scripts, one beyond the first plane."""
+    line = lambda first, n, step=1: " ".join(chr(first + (i * step) % n) * 2 for i in range(3 * n))
+    samples = {
+        "a1": line(0x4E00, 60) * 3, "a2": line(0x5E00, 60) * 3, "b1": line(0x3B1, 17), "b2": line(0x430, 32),
+        "c1": line(0xAC00, 50, 7), "c2": line(0xAD00, 50, 7), "d1": line(0x20000, 40), "d2": line(0x20100, 40),
+    }
+    assert len(set("".join(samples.values()))) > 300
+    names, score = predict(train(samples), [v[:60] for v in samples.values()] + ["\u1200\u1201 a"])
+    assert names[:-1] == list(samples) and (score[:-1] > 0).all() and score[-1] == 0
+
+
+def test_letters_without_a_column_parse_alike():
+    rng = random.Random(5)
+    make = lambda n: "".join(chr(0x4E00 + min(rng.randrange(200), rng.randrange(200))) for _ in range(n))
+    letters = "".join(chr(0x4E00 + i) for i in range(200))
+    samples = {"x": make(3000) + letters, "y": letters[::-1] + make(900)}
+    texts = [make(40) + samples["x"][100:130] + make(5) + samples["y"][50:90] for _ in range(20)]
+    counts, _ = phrases(train(samples), texts)
+    assert counts.tolist() == [[greedy(samples["x"], t), greedy(samples["y"], t)] for t in texts]
