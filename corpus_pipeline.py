@@ -31,10 +31,13 @@ def _set_aside(docs: DataFrame, names: set[str]) -> tuple[DataFrame, dict[str, s
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that can be told: a null text, or one without a letter, goes."""
+    """Documents in a language that can be told: a null text, or one without a letter, goes, and no other, labels or not."""
     ship(spark)
     apart, back = _set_aside(docs, {"lang_pred", "score"})
-    found = identify(apart, docs.select("text", "lang"))
+    labelled = docs.select("text", "lang")
+    if labelled.where("lang IS NOT NULL AND text <> ''").isEmpty():
+        labelled = docs.select("text", F.lit("any").alias("lang"))  # nothing to tell apart: every letter is of one language
+    found = identify(apart, labelled)
     return found.where(F.col("lang_pred") != UNDETERMINED).drop("lang_pred", "score").withColumnsRenamed(back)
 
 

@@ -70,3 +70,11 @@ def test_stages_keep_the_columns_and_take_odd_documents(spark, sf_dir, tmp_path)
 @pytest.mark.parametrize("name", [n for n, _ in P.STAGES])
 def test_names(name):
     assert name
+
+
+def test_without_labels_only_texts_without_a_letter_go(spark, sf_dir):
+    docs = documents(spark, ODD).drop("lang").selectExpr("*", "CAST(NULL AS STRING) AS lang")
+    kept = P.identify_language(spark, docs, sf_dir)
+    assert kept.columns == docs.columns
+    want = sorted(str(d) for d, t in ODD if any(map(str.isalpha, t or "")))
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == want
