@@ -30,9 +30,3 @@ def spark():
 @pytest.fixture(scope="session")
 def sf_dir():
     return SF_DIR
-
-
-def plan_of(frame) -> str:
-    """The executed physical plan as text; runs the query so adaptive steps are settled."""
-    frame.collect()
-    return frame._jdf.queryExecution().executedPlan().toString()

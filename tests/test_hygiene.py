@@ -6,7 +6,7 @@ import subprocess
 import sys
 
 import pytest
-from conftest import plan_of
+from plans_helper import plan_of
 from pyspark.sql import functions as F
 from test_plans import final
 

@@ -1,6 +1,6 @@
 """Plan shapes: what is scanned, exchanged and reused."""
 
-from conftest import plan_of
+from plans_helper import plan_of
 
 from tallymill.operators import dedup_by_key, flag_counts, flag_summary, profile
 from tallymill.plans import incident_rollup, report_base, reports, rollup_slice, slice_counts
