@@ -17,6 +17,7 @@ from .neighbours import near_vectors
 from .packing import pack_documents
 from .secrets import secret_digests
 from .spread import ship, table
+from .suffixes import suffix_dedup
 from .warc import warc_round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +46,7 @@ QUERIES: dict[str, Query] = {
     "op8_secret_scan": _over("documents", secret_digests),
     "op9_packing": _over("documents", pack_documents),
     "op10_language_id": _over("documents", predicted_languages),
+    "op13_suffix_dedup": _over("documents", suffix_dedup),
 }
 
 ORACLES: dict[str, str] = {
