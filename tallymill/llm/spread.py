@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import pathlib
 import tempfile
 import zipfile
@@ -13,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sinks.writers import shared_folder, staged
+from ..sinks.writers import remove, shared_folder, staged
 
 Batches = Iterable[pa.RecordBatch]
 
@@ -36,9 +37,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stage(frame: DataFrame, folder: str, name: str) -> DataFrame:
+def stage(frame: DataFrame, folder: str, name: str, compression: str | None = None) -> DataFrame:
     """Cut the lineage: a written table survives the loss of any executor."""
-    return staged(frame, f"{folder}/{name}")
+    if compression is None:
+        return staged(frame, f"{folder}/{name}")
+    frame.write.mode("overwrite").option("compression", compression).parquet(f"{folder}/{name}")
+    return frame.sparkSession.read.parquet(f"{folder}/{name}")
+
+
+def let_go(spark: SparkSession, *folders: str) -> None:
+    """Delete staged tables that nothing reads any more, and the shuffle files of finished jobs.
+
+    Spark deletes a shuffle's files once the driver has collected the objects that name it, which
+    otherwise may take until the query is over.
+    """
+    for folder in folders:
+        remove(spark, folder)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def shared(frame: DataFrame) -> str:

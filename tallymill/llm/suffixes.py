@@ -15,7 +15,7 @@ among the sorted suffixes, so sorted suffixes and a comparison of neighbours fin
 * hot buckets, with more than BUCKET different stretches, are halved first: each half of a stretch's windows is a
   shorter stretch, dealt anew by the bytes that all its windows hold, named and counted again.  Halves of one window need no sorting.
 
-Nothing is dropped on the way: two windows are compared by all their bytes or by 128-bit digests of them.
+Nothing is dropped on the way: two windows are compared by all their bytes or by 96-bit digests of them.
 """
 
 from __future__ import annotations
@@ -29,11 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .spread import Batches, gathered, groups, shared, stage
+from .spread import Batches, gathered, groups, let_go, shared, stage
 from .text import chunks, mix
 
 LENGTH = 200
-GRAM = 64
+GRAM = 32
 #: Different stretches that one bucket may bring to a task.
 BUCKET = 4096
 #: Windows of a text handled at a time; longer texts go piece by piece.
@@ -83,19 +83,40 @@ def _batch(columns: dict[str, tuple], rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cells, columns.values())], names=list(columns))
 
 
-LONG, BYTES = pa.int64(), pa.binary()
-DEALT = {"row": LONG, "start": LONG, "windows": LONG, "at": LONG, "bucket": LONG, "name": BYTES, "n": LONG}
-PLACED = {"row": LONG, "start": LONG, "windows": LONG, "at": LONG, "bucket": LONG, "n": LONG, "k": LONG, "bytes": BYTES}
-HALVED = DEALT | {"low": LONG, "high": LONG, "bytes": BYTES}
+LONG, INT, BYTES = pa.int64(), pa.int32(), pa.binary()
+#: ``place`` holds start, windows and at in one number, and whether the stretch came up twice in one piece of text.
+DEALT = {"row": LONG, "place": LONG, "bucket": LONG, "name": LONG, "tail": INT}
+PLACED = {"row": LONG, "place": LONG, "bucket": LONG, "n": LONG, "k": LONG, "bytes": BYTES}
+HALVED = DEALT | {"n": LONG, "low": LONG, "high": LONG, "bytes": BYTES}
 SPANS = {"row": LONG, "start": LONG, "windows": LONG}
 
 
+def _place(start: int, windows: int, at: int, twice: bool = False) -> int:
+    return start << 32 | windows << 16 | at << 1 | twice
+
+
+def _unplace(place: int) -> tuple[int, int, int]:
+    return place >> 32, place >> 16 & 0xFFFF, place >> 1 & 0x7FFF
+
+
+def _windows() -> list:
+    """start and windows of a place, as columns."""
+    place = F.col("place")
+    return [F.shiftright(place, 32).alias("start"), F.shiftright(place, 16).bitwiseAND(0xFFFF).alias("windows")]
+
+
+def _name(data: memoryview | bytes) -> tuple[int, int]:
+    digest = hashlib.blake2b(data, digest_size=12).digest()
+    return int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True)
+
+
 def _ddl(columns: dict[str, pa.DataType]) -> str:
-    return ", ".join(f"`{name}` {'long' if kind == LONG else 'binary'}" for name, kind in columns.items())
+    names = {LONG: "long", INT: "int", BYTES: "binary"}
+    return ", ".join(f"`{name}` {names[kind]}" for name, kind in columns.items())
 
 
 def _dealt(batches: Batches, length: int, gram: int) -> Iterator[pa.RecordBatch]:
-    """(row, text) to stretches; of one that comes up several times here the first has n = 2, the others no bucket."""
+    """(row, text) to stretches; of one that comes up several times here the first says so, the others have no bucket."""
     for batch in batches:
         ids = batch.column("row").to_pylist()
         for texts in chunks(batch.column("text")):
@@ -108,9 +129,9 @@ def _dealt(batches: Batches, length: int, gram: int) -> Iterator[pa.RecordBatch]
                     first, many, at, bucket = stretches(part, length, gram)
                     view = memoryview(part)
                     ends = (first + many + (length - 1)).tolist()
-                    names = [hashlib.blake2b(view[s:e], digest_size=16).digest() for s, e in zip(first.tolist(), ends)]
-                    cells = ((first + shift).tolist(), many.tolist(), at.tolist(), bucket.view(np.int64).tolist(), names)
-                    found += zip([row] * len(names), *cells)
+                    names = [_name(view[s:e]) for s, e in zip(first.tolist(), ends)]
+                    places = ((first + shift) << 32 | many << 16 | at << 1).tolist()
+                    found += zip([row] * len(names), places, bucket.view(np.int64).tolist(), names)
                     if len(found) > 1 << 16:
                         yield _batch(DEALT, _counted(found))
                         found = []
@@ -119,12 +140,12 @@ def _dealt(batches: Batches, length: int, gram: int) -> Iterator[pa.RecordBatch]
 
 
 def _counted(found: list[tuple]) -> list[tuple]:
-    times: dict[bytes, int] = {}
-    for f in found:
-        times[f[5]] = times.get(f[5], 0) + 1
+    times: dict[tuple[int, int], int] = {}
+    for *_, name in found:
+        times[name] = times.get(name, 0) + 1
     out, seen = [], set()
-    for row, start, windows, at, bucket, name in found:
-        out.append((row, start, windows, at, None if name in seen else bucket, name, min(2, times[name])))
+    for row, place, bucket, name in found:
+        out.append((row, place | (times[name] > 1), None if name in seen else bucket, *name))
         seen.add(name)
     return out
 
@@ -208,17 +229,18 @@ def _sorted(batches: Batches, length: int) -> Iterator[pa.RecordBatch]:
 
     def spans(held: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
         out: list[tuple] = []
-        for (row, start, n, _), found in zip(held, repeated_windows([h[3] for h in held], length)):
+        for (row, place, n, _), found in zip(held, repeated_windows([h[3] for h in held], length)):
             if n > 1:  # repeats as a whole, known already
                 continue
             edge = np.flatnonzero(np.diff(np.concatenate([[0], found.view(np.int8), [0]])))
+            start = _unplace(place)[0]
             out += [(row, start + a, b - a) for a, b in zip(edge[::2].tolist(), edge[1::2].tolist())]
         return _batch(SPANS, out)
 
     held: list[tuple[int, int, int, bytes]] = []
     size = 0
     for group in groups(batches, ["bucket"]):
-        got = list(zip(*(group.column(c).to_pylist() for c in ("row", "start", "n", "bytes"))))
+        got = list(zip(*(group.column(c).to_pylist() for c in ("row", "place", "n", "bytes"))))
         held += got
         size += sum(len(x[3]) for x in got)
         if size >= BATCH:
@@ -234,13 +256,11 @@ def _cut(batches: Batches, length: int) -> Iterator[pa.RecordBatch]:
         places = batch.column("places").to_pylist()
         for row, text, several in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist(), places):
             data = text.encode()
-            yield _batch(
-                PLACED,
-                [
-                    (row, *(p[c] for c in list(PLACED)[1:-1]), data[p["start"] : p["start"] + p["windows"] + length - 1])
-                    for p in several
-                ],
-            )
+            out = []
+            for p in several:
+                start, windows, _ = _unplace(p["place"])
+                out.append((row, p["place"], p["bucket"], p["n"], p["k"], data[start : start + windows + length - 1]))
+            yield _batch(PLACED, out)
 
 
 def _halved(batches: Batches, length: int) -> Iterator[pa.RecordBatch]:
@@ -251,8 +271,9 @@ def _halved(batches: Batches, length: int) -> Iterator[pa.RecordBatch]:
     """
     for batch in batches:
         out: list[tuple] = []
-        cells = (batch.column(c).to_pylist() for c in ("row", "start", "at", "bucket", "n", "low", "high", "bytes"))
-        for row, start, at, bucket, n, low, high, data in zip(*cells):
+        cells = (batch.column(c).to_pylist() for c in ("row", "place", "bucket", "n", "low", "high", "bytes"))
+        for row, place, bucket, n, low, high, data in zip(*cells):
+            start, _, at = _unplace(place)
             middle = (low + high) // 2
             for lo, hi in ((low, middle), (middle, high)):
                 first, last = max(0, at - hi + 1), min(len(data) - length, at - lo)
@@ -261,9 +282,8 @@ def _halved(batches: Batches, length: int) -> Iterator[pa.RecordBatch]:
                 core = data[at - lo : at - hi + 1 + length]
                 text = data[first : last + length]
                 dealt = hashlib.blake2b(core, digest_size=8, key=b"%d %d %d" % (bucket, lo, hi)).digest()
-                name = hashlib.blake2b(text, digest_size=16).digest()
-                bucket_ = int.from_bytes(dealt, "big", signed=True)
-                out.append((row, start + first, last - first + 1, at - first, bucket_, name, n, lo, hi, text))
+                place = _place(start + first, last - first + 1, at - first, n > 1)
+                out.append((row, place, int.from_bytes(dealt, "big", signed=True), *_name(text), n, lo, hi, text))
         yield _batch(HALVED, out)
 
 
@@ -299,39 +319,46 @@ def without_repeats(
     texts of their own, so equal texts of ``length`` bytes or more lose everything.  Texts of any length are read in
     pieces.  Other columns are left out.  An empty table gives no rows.
     """
-    if gram & (gram - 1) or not 8 <= gram <= length:
+    if gram & (gram - 1) or not 8 <= gram <= length < 1 << 15:
         raise ValueError("gram: a power of two from 8 to length")
-    folder = shared(documents)
+    spark, folder = documents.sparkSession, shared(documents)
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    docs = stage(texts.withColumn("row", F.monotonically_increasing_id()), folder, "docs")
+    docs = stage(texts.withColumn("row", F.monotonically_increasing_id()), folder, "docs", "zstd")
     long = docs.where(F.octet_length("text") >= length).select("row", "text")
-    rows = stage(long.mapInArrow(partial(_dealt, length=length, gram=gram), _ddl(DEALT)), folder, "stretches")
-    place = ["row", "start", "windows"]
-    found = [rows.where("bucket IS NULL").select(*place)]
-    level, hot = 0, True
+    rows = stage(long.mapInArrow(partial(_dealt, length=length, gram=gram), _ddl(DEALT)), folder, "stretches", "zstd")
+    # Buckets met more than once, and whether by different stretches; the others' stretches are not looked at again.
+    times = F.sum(F.col("place").bitwiseAND(1) + 1)
+    met = rows.where("bucket IS NOT NULL").groupBy("bucket").agg(times.alias("n"), F.min("name").alias("a"), F.max("name").alias("b"), F.min("tail").alias("c"), F.max("tail").alias("d"))
+    met = met.where("n > 1").select("bucket", F.expr("a < b OR c < d").alias("mixed"))
+    live = rows.where("bucket IS NOT NULL").join(met, "bucket")
+    live = stage(live.unionByName(rows.where("bucket IS NULL").withColumn("mixed", F.lit(False))), folder, "live_0", "zstd")
+    let_go(spark, f"{folder}/stretches")
+    found = [live.where("NOT mixed").select("row", *_windows())]
+    rows, level, hot = live.where("mixed"), 0, True
     while hot:
-        dealt = rows.where("bucket IS NOT NULL")
-        carried = [F.any_value("bytes").alias("bytes"), F.any_value("low").alias("low"), F.any_value("high").alias("high")] if level else []
-        first = F.min(F.struct(*place, "at"))
-        named = dealt.groupBy("bucket", "name").agg(F.sum("n").alias("n"), first.alias("first"), *carried)
-        named = stage(named, folder, f"named_{level}")
-        repeated = named.where("n > 1").select("bucket", "name")
-        found.append(dealt.select(*place, "bucket", "name").join(repeated, ["bucket", "name"], "left_semi").select(*place))
+        times = F.sum(F.col("place").bitwiseAND(1) + 1)
+        carried = [F.any_value(c).alias(c) for c in ("low", "high", "bytes")] if level else []
+        named = rows.groupBy("bucket", "name", "tail").agg(times.alias("n"), F.min(F.struct("row", "place")).alias("first"), *carried)
+        named = stage(named, folder, f"named_{level}", "zstd")
+        key = ["bucket", "name", "tail"]
+        again = rows.join(named.where("n > 1").select(*key), key, "left_semi").select("row", *_windows())
+        found.append(stage(again, folder, f"again_{level}", "zstd"))
         sizes = named.groupBy("bucket").agg(F.count("*").alias("k")).where("k > 1")
         mixed = named.join(sizes, "bucket").select("bucket", "n", "k", "first.*", *(["low", "high", "bytes"] if level else []))
         if not level:
-            cells = F.struct(*list(PLACED)[1:-1])
+            cells = F.struct("place", "bucket", "n", "k")
             places = mixed.groupBy("row").agg(F.collect_list(cells).alias("places"))
             mixed = long.join(places, "row").mapInArrow(partial(_cut, length=length), _ddl(PLACED))
             mixed = mixed.withColumns({"low": F.lit(0).cast("long"), "high": F.lit(length - gram + 1).cast("long")})
-        mixed = stage(mixed, folder, f"mixed_{level}")
-        few = gathered(mixed.where(F.col("k") <= bucket).select("bucket", "row", "start", "n", "bytes"), ["bucket"])
-        found.append(stage(few.mapInArrow(partial(_sorted, length=length), _ddl(SPANS)), folder, f"sorted_{level}"))
+        mixed = stage(mixed, folder, f"mixed_{level}", "zstd")
+        few = gathered(mixed.where(F.col("k") <= bucket).select("bucket", "row", "place", "n", "bytes"), ["bucket"])
+        found.append(stage(few.mapInArrow(partial(_sorted, length=length), _ddl(SPANS)), folder, f"sorted_{level}", "zstd"))
         many = mixed.where(F.col("k") > bucket)
         hot = not many.isEmpty()
         level += 1
         if hot:
-            rows = stage(many.mapInArrow(partial(_halved, length=length), _ddl(HALVED)), folder, f"halves_{level}")
+            rows = stage(many.mapInArrow(partial(_halved, length=length), _ddl(HALVED)), folder, f"halves_{level}", "zstd")
+        let_go(spark, f"{folder}/named_{level - 1}", f"{folder}/mixed_{level - 1}")
     spans = reduce(DataFrame.unionByName, found).groupBy("row").agg(F.collect_list(F.struct("start", "windows")).alias("found"))
     return (
         docs.join(spans, "row", "left")
