@@ -39,7 +39,7 @@ BUCKET = 4096
 #: Windows of a text handled at a time; longer texts go piece by piece.
 PIECE = 1 << 20
 #: Bytes whose suffixes are sorted at a time, whole buckets.
-BATCH = 1 << 19
+BATCH = 1 << 18
 _LOW = np.uint64((1 << 24) - 1)
 
 
@@ -166,7 +166,7 @@ def suffix_order(t: np.ndarray, need: int) -> np.ndarray:
     top = int(t.max()) + 1
     if top < 1 << 21:
         triple = (s[sample] * top + s[sample + 1]) * top + s[sample + 2]
-        order = np.argsort(triple, kind="stable")
+        order = np.argsort(triple)
         new = np.diff(triple[order]) != 0
     else:
         order = np.lexsort((s[sample + 2], s[sample + 1], s[sample]))
@@ -185,7 +185,7 @@ def suffix_order(t: np.ndarray, need: int) -> np.ndarray:
     ones, twos = sorted12[sorted12 % 3 == 1], sorted12[sorted12 % 3 == 2]
     zero = np.arange(0, n, 3)
     key = s[:n] * (n + 3) + rank[1 : n + 1]
-    zero = zero[np.argsort(key[zero], kind="stable")]
+    zero = zero[np.argsort(key[zero])]
     before1 = np.arange(len(zero)) + np.searchsorted(key[ones], key[zero])
     place = np.zeros(n + 3, np.int64)
     place[zero] = before1 + 1
@@ -197,7 +197,7 @@ def suffix_order(t: np.ndarray, need: int) -> np.ndarray:
     final[zero] = before1 + np.searchsorted(key[twos], key[zero])
     final[ones] = where[ones] + place[ones] - 1 - np.arange(len(ones))
     final[twos] = where[twos] + np.searchsorted(key[zero], key[twos], "right")
-    return np.argsort(final, kind="stable")
+    return np.argsort(final)
 
 
 def repeated_windows(texts: list[bytes], length: int) -> list[np.ndarray]:
