@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .chunking import repeated_spans
+from .conversations import repaired_conversations
 from .decontamination import ORACLE as DECONTAMINATION
 from .decontamination import contaminated
 from .jaccard import jaccard_classes
@@ -46,6 +47,7 @@ QUERIES: dict[str, Query] = {
     "op8_secret_scan": _over("documents", secret_digests),
     "op9_packing": _over("documents", pack_documents),
     "op10_language_id": _over("documents", predicted_languages),
+    "op12_conversation_repair": _over("conversations", repaired_conversations),
     "op13_suffix_dedup": _over("documents", suffix_dedup),
 }
 
