@@ -14,6 +14,8 @@ from .jaccard import jaccard_classes
 from .language import predicted_languages
 from .licenses import license_scan
 from .lm import scored_corpus
+from .negatives import ORACLE as NEGATIVES
+from .negatives import mined_negatives
 from .neighbours import near_vectors
 from .packing import pack_documents
 from .secrets import secret_digests
@@ -47,12 +49,14 @@ QUERIES: dict[str, Query] = {
     "op8_secret_scan": _over("documents", secret_digests),
     "op9_packing": _over("documents", pack_documents),
     "op10_language_id": _over("documents", predicted_languages),
+    "op11_hard_negatives": _over("embeddings", mined_negatives),
     "op12_conversation_repair": _over("conversations", repaired_conversations),
     "op13_suffix_dedup": _over("documents", suffix_dedup),
 }
 
 ORACLES: dict[str, str] = {
     "op7_decontamination": DECONTAMINATION,
+    "op11_hard_negatives": NEGATIVES,
     "op3_warc_round_trip": """
         WITH p AS (
             SELECT page_id, coalesce(html, '') AS html,
