@@ -18,7 +18,6 @@ hand on at most the wanted number of rows per window.
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
@@ -37,6 +36,8 @@ BLOCK = 2048
 ANCHORS = 1024
 LEAF = 32
 FAN = 32
+#: Anchors that descend together.
+SLICE = 128
 #: The factor of components, positives of an anchor, negatives of a positive.
 SCALE = 256
 POSITIVES = NEGATIVES = 5
@@ -167,43 +168,44 @@ def bounds(cosines: np.ndarray, radii: np.ndarray, scale: np.ndarray) -> tuple[n
     return scale * np.cos(np.minimum(np.pi, angle + reach)) - wide, scale * np.cos(np.maximum(0.0, angle - reach)) + wide
 
 
-Window = tuple[int, int, int]  # lo, hi, floor: scores from max(lo, floor) to hi are wanted
-
-
 def descend(
-    tree: Tree, low: np.ndarray, high: np.ndarray, windows: list[Window], score, wanted: int
-) -> list[list[tuple[int, int, int]]]:
-    """For each window the first ``wanted`` (-score, vec_id, row), best first.
-
-    ``low`` and ``high`` bound the anchor's scores per node; ``score`` gives a leaf's (scores, ids, rows) that may count.
+    tree: Tree, vectors: np.ndarray, asked: np.ndarray, counts: np.ndarray, windows: np.ndarray, low: np.ndarray, high: np.ndarray, wanted: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """For each anchor's window the first ``wanted`` vectors, those of equal scores in the order given, best first.
+
+    Rows of ``asked`` are anchors, once per window; ``windows`` their (lo, hi, floor): scores up to hi, from lo and floor on, are
+    wanted.  ``counts`` tells which vectors may count, ``low`` and ``high`` bound the scores per node.  All anchors descend
+    together, and each reads its most promising leaves first, a few, then more, as long as they may hold better scores
+    than found.  Returns (anchor, vector, score) and the number of scores computed.
     """
-    found: list[list[tuple[int, int, int]]] = [[] for _ in windows]
-
-    def least(k: int) -> int:
-        lo, _, floor = windows[k]
-        return max(lo, floor, -found[k][wanted - 1][0] if len(found[k]) >= wanted else lo)
-
-    def of_use(node: int) -> list[int]:
-        return [k for k, w in enumerate(windows) if low[node] <= w[1] and high[node] >= least(k)]
-
-    heap = [(-high[0], 0)]
-    while heap:
-        _, node = heapq.heappop(heap)
-        needed = of_use(node)
-        if not needed:
-            continue
-        if tree.leaves[node] is None:
-            for child in tree.children[node]:
-                if of_use(child):
-                    heapq.heappush(heap, (-high[child], child))
-            continue
-        scores, ids, rows = score(tree.leaves[node])
-        for k in needed:
-            fits = np.flatnonzero((scores <= windows[k][1]) & (scores >= least(k)))
-            if len(fits):
-                new = zip((-scores[fits]).tolist(), ids[fits].tolist(), rows[fits].tolist())
-                found[k] = heapq.nsmallest(wanted, [*found[k], *new])
-    return found
+    lo, hi, least = windows[:, 0], windows[:, 1], np.maximum(windows[:, 0], windows[:, 2])
+    high = high.copy()
+    useful = (low <= hi[:, None]) & (high >= least[:, None])
+    for node, below in enumerate(tree.children):  # parents come before their children
+        high[:, below] = np.minimum(high[:, below], high[:, [node]])
+        useful[:, below] &= useful[:, [node]]
+    leaves = [node for node, mine in enumerate(tree.leaves) if mine is not None]
+    ceiling = np.where(useful[:, leaves], high[:, leaves], -np.inf)
+    turn = np.argsort(np.argsort(-ceiling, axis=1), axis=1)
+    scores = np.full((len(asked), len(vectors)), LOW - 1, np.int64)
+    first, read = 0, 0
+    for upto in (2, 10, 40, len(leaves)):
+        now = (turn >= first) & (turn < upto) & (ceiling >= least[:, None])
+        for k in np.flatnonzero(now.any(axis=0)):
+            who, mine = np.flatnonzero(now[:, k]), tree.leaves[leaves[k]]
+            found = (asked[who] @ vectors[mine].T).astype(np.int64)
+            read += found.size
+            fits = counts[np.ix_(who, mine)] & (found <= hi[who, None]) & (found >= lo[who, None])
+            scores[np.ix_(who, mine)] = np.where(fits, found, LOW - 1)
+        if len(vectors) >= wanted:
+            least = np.maximum(least, np.partition(scores, -wanted, axis=1)[:, -wanted])
+        first = upto
+    anchor, vector = np.nonzero(scores >= least[:, None])
+    score = scores[anchor, vector]
+    order = np.lexsort((vector, -score, anchor))
+    anchor, vector, score = anchor[order], vector[order], score[order]
+    rank = np.arange(len(anchor)) - np.searchsorted(anchor, anchor)
+    return anchor[rank < wanted], vector[rank < wanted], score[rank < wanted], read
 
 
 def _placed(batches: Batches, centres: np.ndarray, dim: int, most: int) -> Iterator[pa.RecordBatch]:
@@ -255,30 +257,29 @@ def _searched(batches: Batches, dim: int, most: int, same: bool, wanted: int) ->
         vectors, asked = matrix(here.column("vector"), dim), matrix(anchors.column("vector"), dim)
         squares, own = here.column("square").to_numpy(), anchors.column("square").to_numpy()
         ids, labels, rows = (here.column(c).to_numpy() for c in ("vec_id", "label", "row"))
+        order = np.lexsort((rows, ids))
+        vectors, squares, ids, labels, rows = (x[order] for x in (vectors, squares, ids, labels, rows))
         points = on_sphere(vectors, squares, most)
         tree = Tree.over(points)
-        norms = np.sqrt(own.astype(np.float64))
-        unit = _unit(asked, norms)
-        low, high = bounds(unit @ points[tree.centres, :-1].T, tree.radii, (norms * np.sqrt(float(most)))[:, None])
         # Sums below 2**53 are exact in doubles.
-        exact = float(norms.max()) * float(np.sqrt(squares.max())) < 1 << 52
-        left, right = (vectors.astype(np.float64), asked.astype(np.float64)) if exact else (vectors, asked)
-        out: list[tuple[int, int, int, int, int]] = []
-        cells = (anchors.column(c).to_pylist() for c in ("row", "label", "windows"))
-        for i, (row, label, windows) in enumerate(zip(*cells)):
-            counts = (labels == label) & (rows != row) if same else labels != label
-
-            def score(leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-                mine = leaf[counts[leaf]]
-                return (left[mine] @ right[i]).astype(np.int64), ids[mine], rows[mine]
-
-            spans = [(w["lo"], w["hi"], w["floor"]) for w in windows]
-            for (_, hi, _), hits in zip(spans, descend(tree, low[i], high[i], spans, score, wanted)):
-                out += [(row, hi, -s, vec_id, other) for s, vec_id, other in hits]
-        cells = list(zip(*out)) or [()] * 5
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, pa.int64()) for c in cells], names=["anchor", "hi", "score", "vec_id", "row"]
-        )
+        exact = float(np.sqrt(own.max())) * float(np.sqrt(squares.max())) < 1 << 52
+        left = vectors.astype(np.float64) if exact else vectors
+        mine, label = anchors.column("row").to_numpy(), anchors.column("label").to_numpy()
+        windows = anchors.column("windows").to_pylist()
+        for at in range(0, len(asked), SLICE):
+            part = range(at, min(at + SLICE, len(asked)))
+            pair = np.array([i for i in part for _ in windows[i]])
+            spans = np.array([(w["lo"], w["hi"], w["floor"]) for i in part for w in windows[i]])
+            norms = np.sqrt(own[part].astype(np.float64))
+            unit = _unit(asked[part], norms)
+            low, high = bounds(unit @ points[tree.centres, :-1].T, tree.radii, (norms * np.sqrt(float(most)))[:, None])
+            counts = (labels == label[part, None]) & (rows != mine[part, None]) if same else labels != label[part, None]
+            q = asked[pair].astype(left.dtype)
+            who, other, score, _ = descend(tree, left, q, counts[pair - at], spans, low[pair - at], high[pair - at], wanted)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in (mine[pair[who]], spans[who, 1], score, ids[other], rows[other])],
+                names=["anchor", "hi", "score", "vec_id", "row"],
+            )
 
 
 @dataclass

@@ -79,30 +79,25 @@ def test_bounds_hold_and_skip():
     tree = N.Tree.over(points)
     leaves = [leaf for leaf in tree.leaves if leaf is not None]
     assert sorted(np.concatenate(leaves).tolist()) == list(range(2000))
-    read = 0
-    for q in vectors[:20]:
-        norm = np.sqrt(float(q @ q))
-        low, high = N.bounds(points[tree.centres, :-1] @ (q / norm), tree.radii, norm * np.sqrt(float(most)))
-        scores = vectors @ q
-
-        def under(node):
-            leaf = tree.leaves[node]
-            return leaf if leaf is not None else np.concatenate([under(c) for c in tree.children[node]])
-
-        for node in range(len(low)):
-            mine = scores[under(node)]
-            assert low[node] <= mine.min() and mine.max() <= high[node]
-
-        def score(leaf):
-            nonlocal read
-            read += len(leaf)
-            return scores[leaf], leaf, leaf
-
-        hi = int(np.quantile(scores, 0.97))
-        windows = [(N.LOW, N.HIGH, N.LOW), (hi // 2, hi, N.LOW)]
-        found = N.descend(tree, low, high, windows, score, 5)
-        for (lo, top, _), hits in zip(windows, found):
-            assert hits == sorted((-int(s), i, i) for i, s in enumerate(scores) if lo <= s <= top)[:5]
+    asked = vectors[:20]
+    norms = np.sqrt((asked**2).sum(axis=1).astype(float))
+    low, high = N.bounds((asked / norms[:, None]) @ points[tree.centres, :-1].T, tree.radii, norms[:, None] * np.sqrt(float(most)))
+    scores = asked @ vectors.T
+
+    def under(node):
+        leaf = tree.leaves[node]
+        return leaf if leaf is not None else np.concatenate([under(c) for c in tree.children[node]])
+
+    for node in range(low.shape[1]):
+        mine = scores[:, under(node)]
+        assert (low[:, node] <= mine.min(axis=1)).all() and (mine.max(axis=1) <= high[:, node]).all()
+    tops = np.quantile(scores, 0.97, axis=1).astype(np.int64)
+    windows = np.array([(N.LOW, N.HIGH, N.LOW) if i % 2 else (t // 2, t, N.LOW) for i, t in enumerate(tops)])
+    counts = np.arange(2000)[None] % 20 != np.arange(20)[:, None]
+    who, other, score, read = N.descend(tree, vectors, asked, counts, windows, low, high, 5)
+    for i, (lo, hi, _) in enumerate(windows):
+        want = sorted((-int(s), j) for j, s in enumerate(scores[i]) if lo <= s <= hi and counts[i, j])[:5]
+        assert [(-int(s), int(j)) for s, j in zip(score[who == i], other[who == i])] == want
     assert read < 20 * 2000 / 3
 
 
