@@ -8,7 +8,7 @@ from .labels import (
     thousands,
 )
 from .timestamps import (
-    MIXED_PATTERNS,
+    DATE_SHAPES,
     WEEKDAYS,
     parse_timestamp,
     parse_timestamp_mixed,
@@ -18,7 +18,7 @@ from .timestamps import (
 )
 
 __all__ = [
-    "MIXED_PATTERNS",
+    "DATE_SHAPES",
     "WEEKDAYS",
     "fixed_point",
     "millions_label",

@@ -9,33 +9,35 @@ from pyspark.sql import functions as F
 FRACTION = "yyyy-MM-dd HH:mm:ss.SSSSSSSSS"
 WHOLE_SECOND = "yyyy-MM-dd HH:mm:ss"
 
-# Further dates the mixed parser takes, tried in this order; one-letter fields take one
-# digit or two, and a month that is none makes the day-first form the next to try.
-MIXED_DATES = (
-    "yyyy-M-d",
-    "M/d/yyyy",
-    "d/M/yyyy",
-    "yyyy/M/d",
-    "d MMM yyyy",
-    "d MMMM yyyy",
-    "MMM d, yyyy",
-    "MMMM d, yyyy",
-    "MMM d yyyy",
-    "MMMM d yyyy",
-    "d-MMM-yyyy",
-    "yyyyMMdd",
-    "M-d-yyyy",
-    "d.M.yyyy",
-)
-# What may follow a date: nothing, a 24-hour time, or a 12-hour time.
-MIXED_TIMES = ("[ H:mm[:ss[.SSSSSSSSS]]]", " h:mm[:ss] a")
-MIXED_PATTERNS = tuple(date + time for date in MIXED_DATES for time in MIXED_TIMES)
+# Shapes of a date in mixed text, and the order of its parts: Y is four digits, n one or two, m a month's name.
+# Where n/n/Y starts with more than a month, the day comes first.
+DATE_SHAPES = {
+    "Y-n-n": "ymd",
+    "Y/n/n": "ymd",
+    "n/n/Y": "mdy",
+    "n-n-Y": "mdy",
+    "n.n.Y": "dmy",
+    "n m Y": "dmy",
+    "n-m-Y": "dmy",
+    "m n, Y": "mdy",
+    "m n Y": "mdy",
+}
+MONTHS = (
+    "january", "february", "march", "april", "may", "june",
+    "july", "august", "september", "october", "november", "december",
+)
 
 # Sunday is day 1.
 WEEKDAYS = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
 
 _STRICT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?\z"
 _SIGNED = r"^[+-][0-9]"
+# Date, hour, minute, second, fraction, half of the day, offset.
+_PARTS = (
+    r"^([0-9A-Za-z][0-9A-Za-z,./ -]*?)"
+    r"(?:(?: |(?<=[0-9])T(?=[0-9]))([0-9]{1,2}):([0-9]{2})(?::([0-9]{2})(?:\.([0-9]{1,9}))?)?(?: ?([AaPp])[Mm])?"
+    r"(?: ?(Z|[+-][0-9]{2}:?[0-9]{2}))?|(?<=[0-9])Z)?\z"
+)
 _ISO = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,9})?)?)?\z"
 
 
@@ -64,21 +66,63 @@ def parse_timestamp(column: str | Column, *, zoned: bool = False) -> Column:
     )
 
 
-def parse_timestamp_mixed(
-    column: str | Column, patterns: tuple[str, ...] = MIXED_PATTERNS
-) -> Column:
-    """Wider lenient parse: ISO dates and times, then ``patterns`` in order.
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, also where only a branch needs it."""
+    return F.transform(F.array(value), use)[0]
+
 
-    A text is trimmed, a trailing Z is dropped (the clock time stands), a T between date
-    and time reads as a blank, and case does not matter for AM and PM.  The patterns are tried only
-    on texts that are not ISO.
+def parse_timestamp_mixed(column: str | Column, *, utc: bool = False) -> Column:
+    """Wider lenient parse, by shape: a text is cut into its parts once, and its date's shape tells their order.
+
+    Taken are ISO texts, the ``DATE_SHAPES``, and dates of eight digits, each alone or with a 24-hour or 12-hour time;
+    names of months are English, short or full, in any case.  Texts are trimmed, and T or a blank stands between date and time.  An
+    offset (``Z``, ``+05:00``, ``-0330``) may follow a time: the clock time stands, or with ``utc`` what UTC clocks
+    showed.  Anything else, and dates that do not exist, become null.  ISO texts without offset take the plain cast.
     """
-    text = F.regexp_replace(F.trim(_column(column)), r"(?<=[0-9])Z\z", "")
-    text = F.regexp_replace(text, r"(?<=[0-9])T(?=[0-9])", " ")
-    text = F.regexp_replace(text, r"(?<=[0-9]) ?[aA][mM]\z", " AM")
-    text = F.regexp_replace(text, r"(?<=[0-9]) ?[pP][mM]\z", " PM")
-    others = [F.try_to_timestamp(text, F.lit(p)).cast("timestamp_ntz") for p in patterns]
-    return F.when(text.rlike(_ISO), text.try_cast("timestamp_ntz")).otherwise(F.coalesce(*others))
+    text = F.trim(_column(column))
+    cells = F.split(F.regexp_replace(text, _PARTS, "$1|$2|$3|$4|$5|$6|$7"), r"\|")
+    other = F.when(text.rlike(_PARTS), _let(cells, lambda c: _moment(c, utc)))
+    return F.when(text.rlike(_ISO), text.try_cast("timestamp_ntz")).otherwise(other)
+
+
+def _moment(cells: Column, utc: bool) -> Column:
+    """The time that date, hour, minute, second, fraction, half and offset say, as texts; empty where there is none."""
+    date = F.regexp_replace(cells[0], r"^([0-9]{4})([0-9]{2})([0-9]{2})\z", "$1-$2-$3")
+    shape = F.regexp_replace(date, "[A-Za-z]+", "m")
+    shape = F.regexp_replace(shape, "(?<![0-9])[0-9]{4}(?![0-9])", "Y")
+    shape = F.regexp_replace(shape, "(?<![0-9])[0-9]{1,2}(?![0-9])", "n")
+    orders = F.create_map(*[F.lit(x) for pair in DATE_SHAPES.items() for x in pair])
+    number = lambda text: text.try_cast("int")
+    half = F.lower(cells[5])
+    hour = F.coalesce(number(cells[1]), F.lit(0))
+    hour = F.when(half == "", hour).when(hour.between(1, 12), hour % 12 + F.when(half == "p", 12).otherwise(0))
+    second = F.concat(F.coalesce(F.nullif(cells[3], F.lit("")), F.lit("0")), F.lit("."), F.rpad(F.substring(cells[4], 1, 6), 6, "0"))
+    second = second.try_cast("decimal(8,6)")
+
+    def made(known: Column) -> Column:
+        parts, order = known["parts"], known["order"]
+        # The month is more than twelve: the day-first reading of n/n/Y.
+        swapped = (known["shape"] == "n/n/Y") & (number(parts[0]) > 12)
+        order = F.when(swapped, F.lit("dmy")).otherwise(order)
+        part = lambda letter: F.try_element_at(parts, F.instr(order, F.lit(letter)))
+        name = F.lower(part("m"))
+        names = F.create_map(*[F.lit(x) for i, m in enumerate(MONTHS) for k in dict.fromkeys((m, m[:3])) for x in (k, i + 1)])
+        month = F.when(known["shape"].contains("m"), F.try_element_at(names, name)).otherwise(number(name))
+        return F.when(
+            second < 60,
+            F.try_make_timestamp_ntz(number(part("y")), month, number(part("d")), hour, F.coalesce(number(cells[2]), F.lit(0)), second),
+        )
+
+    known = F.struct(
+        F.split(date, "[^0-9A-Za-z]+").alias("parts"), shape.alias("shape"), F.try_element_at(orders, shape).alias("order")
+    )
+    moment = _let(known, lambda k: F.when(k["order"].isNotNull(), made(k)))
+    if not utc:
+        return moment
+    offset = cells[6]
+    minutes = number(F.substring(offset, 2, 2)) * 60 + number(F.right(offset, F.lit(2)))
+    minutes = F.when(offset.isin("", "Z"), 0).when(F.left(offset, F.lit(1)) == "-", -minutes).otherwise(minutes)
+    return moment - F.make_dt_interval(mins=minutes)
 
 
 def weekday_name(number: str | Column) -> Column:

@@ -69,6 +69,41 @@ def dimension_check(
     return row.select(F.inline(F.array(*structs)))
 
 
+def content_checksum(frame: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """row_count, hash_sum, hash_xor: figures that do not depend on the order or the files of the rows.
+
+    Each row is hashed over all its cells, with a text that tells which are null, since null cells leave a hash
+    as it is.  Sum and xor of the hashes combine in the map tasks.  Columns are taken by name, in sorted order, so that their
+    order does not matter either.  Rows that stand there several times count as often; xor alone would lose pairs of them.
+    """
+    names = sorted(frame.columns if columns is None else columns)
+    cells = [F.col(f"`{name}`") for name in names]
+    nulls = F.concat(*[F.when(cell.isNull(), "1").otherwise("0") for cell in cells])
+    hashed = F.xxhash64(*cells, nulls)
+    return frame.agg(
+        F.count("*").alias("row_count"),
+        F.coalesce(F.sum(hashed.cast("decimal(20,0)")), F.lit(0)).cast("decimal(38,0)").alias("hash_sum"),
+        F.coalesce(F.bit_xor(hashed), F.lit(0)).cast("long").alias("hash_xor"),
+    )
+
+
+def compare_contents(expected: DataFrame, actual: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Check, Expected, Actual, Status of the figures of two frames that should hold the same rows."""
+    names = ["row_count", "hash_sum", "hash_xor"]
+    want = content_checksum(expected, columns).select(F.struct(*names).alias("want"))
+    got = content_checksum(actual, columns).select(F.struct(*names).alias("got"))
+    structs = [
+        F.struct(
+            F.lit(name).alias("Check"),
+            F.col("want")[name].cast("string").alias("Expected"),
+            F.col("got")[name].cast("string").alias("Actual"),
+            pass_fail(F.col("want")[name] == F.col("got")[name]).alias("Status"),
+        )
+        for name in names
+    ]
+    return want.withColumn("got", got.scalar()).select(F.inline(F.array(*structs)))
+
+
 def input_counts(frame: DataFrame, valid: Column) -> DataFrame:
     """input_rows and valid_rows in one pass."""
     return frame.agg(F.count("*").alias("input_rows"), F.count_if(valid).alias("valid_rows"))

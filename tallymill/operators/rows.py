@@ -32,7 +32,8 @@ def dedup_by_key(
     the table reaches its reducer as one row per map task.
     """
     if order_by is None:
-        order_by = [name for name in frame.columns if name not in set(keys)]
+        # rows of nothing but the key are equal
+        order_by = [name for name in frame.columns if name not in set(keys)] or list(keys)
     ranking = [
         F.col(f"`{item}`").asc_nulls_last() if isinstance(item, str) else item for item in order_by
     ]

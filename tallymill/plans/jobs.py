@@ -8,7 +8,8 @@ tasks and not the job.  They are removed when the job ends, well or not, unless
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import uuid
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from functools import partial, reduce
@@ -17,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timestamps import parse_timestamp
+from ..operators.checks import compare_contents
+from ..operators.increments import FILE, PartialCounts
 from ..operators.quality import missing_values, profile, quality_summary, validation
 from ..operators.rows import clean, retype_times, row_rule
 from ..operators.runs import run_facts, run_metrics, run_summary, run_table, timed
@@ -25,7 +28,8 @@ from ..operators.summaries import (
     dimension_counts,
     dimension_table,
 )
-from ..sinks.writers import remove, staged, write_csv, write_json, write_partitioned
+from ..sinks.writers import remove, rewrite_partitions, staged, write_csv, write_json, write_partitioned
+from ..sources.files import stored_figures
 from ..sources.readers import read_incidents_csv, read_parquet, read_summary_csv
 from ..sources.schema import COUNT_COLUMNS
 from . import reports
@@ -43,8 +47,8 @@ def uri_text(uri: str | list[str]) -> str:
 
 @contextmanager
 def staging(spark: SparkSession, root: str, keep: bool) -> Iterator[str]:
-    """A folder for tables that only the job itself reads."""
-    folder = f"{root}/staging"
+    """A folder for tables that only the job itself reads, under a name that nothing else has."""
+    folder = f"{root}/staging-{uuid.uuid4().hex}"
     try:
         yield folder
     finally:
@@ -62,6 +66,7 @@ def prepare_job(
     rebalance: bool = True,
     keep_staging: bool = False,
     max_records_per_file: int | None = None,
+    checksums: bool = False,
     **csv_options,
 ) -> DataFrame:
     """Raw CSV to quality tables, the cleaned Year-partitioned dataset and its validation.
@@ -70,13 +75,38 @@ def prepare_job(
     profile's passes read only the columns they need.  ``stage=False`` saves that
     copy and scans the CSV for each pass.  Profile and cleaning do not depend on each
     other and run side by side.  ``zoned=True`` stores ``timestamp`` in the session zone
-    instead of clock times.  Returns the stored cleaned dataset.
+    instead of clock times.  ``checksums=True`` compares the stored rows' hashes with those of the cleaned rows, which
+    are made once more for it, and writes ``content_check``.  Returns the stored cleaned dataset.
     """
     with staging(spark, output_root, keep_staging) as folder:
         typed = retype_times(read_incidents_csv(spark, input_uri, **csv_options), zoned=zoned)
         if stage:
             typed = staged(typed, f"{folder}/typed")
-        return _prepare(typed, folder, input_uri, output_root, rebalance, max_records_per_file)
+        stored = _prepare(typed, folder, input_uri, output_root, rebalance, max_records_per_file)
+        if checksums:
+            write_csv(compare_contents(clean(typed), stored), f"{output_root}/results/data_quality/content_check")
+        return stored
+
+
+def refresh_years(
+    spark: SparkSession,
+    input_uri: str,
+    output_root: str,
+    years: Sequence[int],
+    *,
+    zoned: bool = False,
+    keep_staging: bool = False,
+    **csv_options,
+) -> DataFrame:
+    """Make some years of the cleaned dataset anew from raw CSV; the files of other years stay.
+
+    All raw rows are read, since an ID's first row may lie in any year.  Returns the stored dataset.
+    """
+    processed = f"{output_root}/processed/accidents_parquet"
+    with staging(spark, output_root, keep_staging) as folder:
+        typed = retype_times(read_incidents_csv(spark, input_uri, **csv_options), zoned=zoned)
+        rewrite_partitions(clean(typed), processed, years, folder)
+    return read_parquet(spark, processed)
 
 
 def _prepare(
@@ -111,7 +141,8 @@ def _prepare(
             max_records_per_file=max_records_per_file,
         )
         stored = read_parquet(spark, processed)
-        check = validation(figures.result(), stored, processed_uri=processed)
+        kept = stored_figures(spark, processed)["row_count"]  # from the footers
+        check = validation(figures.result(), kept, processed_uri=processed)
     write_csv(check, f"{quality}/validation")
     return stored
 
@@ -244,6 +275,25 @@ def benchmark_counts(spark: SparkSession, input_uri: str, **csv_options) -> Data
     return dimension_counts(benchmark_combinations(spark, input_uri, **csv_options), DIMENSIONS)
 
 
+def benchmark_store(spark: SparkSession, store_uri: str, **csv_options) -> PartialCounts:
+    """Counts of the benchmark dimensions kept per input file below ``store_uri``."""
+
+    def count(files: list[str]) -> DataFrame:
+        source = benchmark_source(spark, files, file_column=FILE, **csv_options)
+        return combination_counts(source, [FILE, *DIMENSIONS], where=benchmark_rule())
+
+    return PartialCounts(spark, store_uri, DIMENSIONS, ["Input_Count", "Accident_Count"], count)
+
+
+def benchmark_increment(
+    spark: SparkSession, input_uri: str | list[str], store_uri: str, **csv_options
+) -> DataFrame:
+    """``benchmark_counts`` of all files counted so far, after reading those that are new or have changed."""
+    store = benchmark_store(spark, store_uri, **csv_options)
+    store.add(input_uri)
+    return dimension_counts(store.merged(), DIMENSIONS)
+
+
 def benchmark_job(
     spark: SparkSession,
     input_uri: str,

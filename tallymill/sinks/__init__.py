@@ -1,6 +1,7 @@
 from .writers import (
     metric_rows,
     remove,
+    rewrite_partitions,
     shared_folder,
     staged,
     write_csv,
@@ -11,6 +12,7 @@ from .writers import (
 __all__ = [
     "metric_rows",
     "remove",
+    "rewrite_partitions",
     "shared_folder",
     "staged",
     "write_csv",

@@ -43,9 +43,13 @@ def write_partitioned(
     by: Sequence[str] = ("Year",),
     rebalance: bool = True,
     max_records_per_file: int | None = None,
+    replace: str = "all",
 ) -> None:
     """Write Parquet under ``by=value`` directories, replacing what is there.
 
+    ``replace="all"`` replaces the dataset; ``"present"`` only the directories that ``frame`` has rows for, and leaves
+    the files of the others as they are.
+
     One more shuffle keeps the files few: the rebalance hint lets adaptive execution
     split a large value over many tasks and merge small ones.  With ``rebalance=False`` tasks write
     as they are, up to a file per task and value.  A plain repartition by value would send each
@@ -53,12 +57,32 @@ def write_partitioned(
     """
     if rebalance:
         frame = frame.hint("rebalance", *[F.col(name) for name in by])
-    writer = frame.write.mode("overwrite").partitionBy(*by)
+    if replace not in ("all", "present"):
+        raise ValueError("replace: all or present")
+    mode = "static" if replace == "all" else "dynamic"
+    writer = frame.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*by)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.parquet(path)
 
 
+def rewrite_partitions(
+    frame: DataFrame, path: str, values: Sequence[int | str], folder: str, *, by: str = "Year", **options
+) -> None:
+    """Replace the partitions ``values`` of a stored dataset by the rows that ``frame`` has for them.
+
+    Other partitions keep their files, whatever ``frame`` holds for them.  A value that ``frame`` has no rows for loses its
+    directory.  The rows are stored in ``folder`` first, so ``frame`` may come from the dataset itself.
+    """
+    spark = frame.sparkSession
+    new = staged(frame.where(F.col(by).isin(*values)), f"{folder}/partitions")
+    write_partitioned(new, path, by=[by], replace="present", **options)
+    # At most a row per value.
+    held = {row[0] for row in new.select(by).distinct().collect()}
+    for value in set(values) - held:
+        remove(spark, f"{path}/{by}={value}")
+
+
 def write_json(frame: DataFrame, path: str) -> None:
     """Write a small metrics table as JSON lines, replacing what is there."""
     frame.repartition(1).write.mode("overwrite").json(path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .schema import RAW_DDL, RESULT_DDL
 
@@ -20,6 +21,7 @@ def read_incidents_csv(
     escape: str | None = None,
     multi_line: bool = False,
     enforce_schema: bool = True,
+    file_column: str | None = None,
 ) -> DataFrame:
     """Raw CSV with a declared schema; no inference pass.
 
@@ -28,7 +30,8 @@ def read_incidents_csv(
     ``enforce_schema=False`` a header that differs from the schema fails the read
     instead of being mapped by position.  ``escape='"'`` reads doubled quotes and
     ``multi_line=True`` reads line breaks inside quotes; the latter makes files
-    unsplittable, so it stays off unless the data needs it.
+    unsplittable, so it stays off unless the data needs it.  ``file_column`` adds the path of
+    each row's file under that name.
     """
     reader = (
         spark.read.schema(schema)
@@ -40,7 +43,10 @@ def read_incidents_csv(
     if escape is not None:
         reader = reader.option("escape", escape)
     frame = reader.csv(path)
-    return frame.select(*[f"`{name}`" for name in columns]) if columns else frame
+    wanted = [F.col(f"`{name}`") for name in columns or frame.columns]
+    if file_column is not None:
+        return frame.select(*wanted, F.col("_metadata.file_path").alias(file_column))
+    return frame.select(*wanted) if columns else frame
 
 
 def read_parquet(spark: SparkSession, path: str, *, schema: str | None = None) -> DataFrame:

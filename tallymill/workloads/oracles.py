@@ -236,7 +236,7 @@ def _reconciliation(info: bool) -> str:
 DIMENSION_CHECK = f"{CLEANED} " + " UNION ALL ".join(
     f"""SELECT '{name}' AS "Dimension", count("{name}") AS "Total", count(*) AS "Expected",
     CASE WHEN count("{name}") = count(*) THEN 'PASS' ELSE 'FAIL' END AS "Status" FROM cl"""
-    for name in ("State", "Year", "Severity")
+    for name in ("State", "Year", "Severity", "Weather_Condition")
 )
 FIVE_WAY = f"""{RECORDS}, n AS (
   SELECT count(*) AS input, count(*) FILTER (WHERE {VALID}) AS valid FROM acc)
@@ -303,6 +303,8 @@ MIXED_FORMS = (
     (f"{_day('%Y-%m-%d')} || ' 5:46'", 346),
     (_day("%Y-%-m-%-d"), 0),
     (f"'on ' || {_day('%Y-%m-%d')}", None),
+    (f"{_day('%Y-%m-%d')} || 'T05:46:00+05:00'", 346),
+    (f"{_day('%-d.%-m.%Y')} || ' 5:46 -0330'", 346),
 )
 _FORM = f"o_orderkey % {len(MIXED_FORMS)}"
 MIXED = f"""SELECT o_orderkey,
@@ -385,7 +387,55 @@ UNION ALL SELECT 'summary', 'columns_used', 'State,Severity,Start_Time'
 UNION ALL SELECT 'summary', 'runs', '1'
 UNION ALL SELECT 'summary', 'all_runs_reconciled', CAST(input = valid AS VARCHAR) FROM n"""
 
+BROKEN = {
+    "Severity": "\"Zipcode\" LIKE '%7'",
+    "Distance(mi)": "\"Street\" = 'Street 5'",
+    "Stop": "\"Airport_Code\" = 'K3'",
+}
+_ANY = " OR ".join(f"coalesce({test}, false)" for test in BROKEN.values())
+QUARANTINE = f"""{RECORDS}
+SELECT 'raw' AS "Check", CAST(NULL AS VARCHAR) AS "Column", count(*) AS "Row_Count" FROM acc
+UNION ALL SELECT 'good', NULL, count(*) FROM acc WHERE NOT ({_ANY})
+UNION ALL SELECT 'quarantined', NULL, count(*) FROM acc WHERE {_ANY}""" + "".join(
+    f"""
+UNION ALL SELECT 'malformed', '{name}', count(*) FROM acc WHERE {test} HAVING count(*) > 0"""
+    for name, test in BROKEN.items()
+)
+DEDUP_BY_DATE = DEDUP_LINES.replace("ORDER BY l_partkey", "ORDER BY coalesce(l_shipdate >= '1997-01-01', true), l_partkey")
+CONTENT = " UNION ALL ".join(
+    f"""SELECT '{copy}' AS "Copy", '{check}' AS "Check", '{status}' AS "Status" """
+    for copy, hashes in (("stored", "PASS"), ("one cell changed", "FAIL"))
+    for check, status in (("row_count", "PASS"), ("hash_sum", hashes), ("hash_xor", hashes))
+)
+QUANTILES = f"{CLEANED} " + " UNION ALL ".join(
+    f"""SELECT "State", CAST({share} AS DOUBLE) AS share, count("Pressure(in)") AS row_count,
+    round(quantile_cont("Pressure(in)", {share}), 9) AS quantile FROM cl GROUP BY "State" """
+    for share in (0.25, 0.5, 0.9)
+)
+RANGES = f"""{CLEANED} SELECT 'row_count' AS metric, count(*) AS value FROM cl""" + "".join(
+    f""" UNION ALL SELECT '{label}_{name}', CAST({f}("{name}") AS BIGINT) FROM cl"""
+    for name, fs in (
+        ("Severity", ("min", "max")), ("Month", ("min", "max")), ("Hour", ("min", "max")),
+        ("Weather_Condition", ("count",)), ("End_Lat", ("count",)),
+    )
+    for f, label in ((f, {"min": "minimum", "max": "maximum", "count": "count"}[f]) for f in fs)
+)
+
 ORACLES: dict[str, str] = {
+    "incremental_counts": RECORDS
+    + ', ok AS (SELECT *, CAST(year("Start_Time") AS INTEGER) AS "Year" FROM acc '
+    + f"WHERE {VALID}) {GROUPING % {'t': 'ok'}}",
+    "dedup_increment": DEDUP_BY_DATE,
+    "year_rewrite": f"{CLEANED} SELECT * FROM cl",
+    "csv_quarantine": QUARANTINE,
+    "content_checks": CONTENT,
+    "distinct_sketches_by_year": f"""{CLEANED} SELECT "Year", count(DISTINCT "Zipcode") AS "Exact_Count",
+      true AS "Within_Bound" FROM cl GROUP BY GROUPING SETS (("Year"), ())""",
+    "quantiles_by_state": QUANTILES,
+    "largest_groups": f"""{CLEANED} SELECT CASE WHEN "Hour" < 8 THEN "City_State" ELSE "ID" END AS "Place", {N}
+      FROM cl GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 50""",
+    "largest_cities": f"""{CLEANED} SELECT "City_State", {N} FROM cl GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 100""",
+    "stored_ranges": RANGES,
     "state_summary": f"{CLEANED} {STATE}",
     "top_cities": f'{CLEANED} {CITY} ORDER BY "Accident_Count" DESC, "City_State" LIMIT 100',
     "city_severity_min": f"{CLEANED} {CITY} HAVING count(*) >= 20",

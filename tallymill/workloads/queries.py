@@ -10,17 +10,20 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import fixed_point, percent_label, round_binary, thousands
 from ..functions.timestamps import parse_timestamp, parse_timestamp_mixed, time_parts
-from ..operators import checks, flags, quality, rows, runs, summaries
+from ..operators import checks, flags, heavy, known, quality, quantiles, rows, runs, sketches, summaries
 from ..plans import charts, jobs, reports
 from ..plans.rollup import incident_rollup, report_base, rollup_slice, slice_counts
 from ..sinks.writers import (
     metric_rows,
+    rewrite_partitions,
     shared_folder,
     staged,
     write_csv,
     write_json,
     write_partitioned,
 )
+from ..sources.files import stored_figures
+from ..sources.quarantine import read_quarantined
 from ..sources.readers import read_incidents_csv, read_parquet, read_summary_csv
 from ..sources.schema import FLAG_COLUMNS
 from .standin import cleaned_incidents, raw_incidents, table, typed_incidents
@@ -124,6 +127,8 @@ MIXED_FORMS = (
     ("yyyy-MM-dd", " 5:46"),
     ("yyyy-M-d", ""),
     ("'on' yyyy-MM-dd", ""),
+    ("yyyy-MM-dd", "T05:46:00+05:00"),
+    ("d.M.yyyy", " 5:46 -0330"),
 )
 
 
@@ -217,9 +222,8 @@ def _validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = _stored(typed_incidents(spark, sf_dir))
     stored_at = f"{shared_folder(spark)}/cleaned"
     write_partitioned(rows.clean(typed), stored_at)
-    return quality.validation(
-        quality.profile(typed), read_parquet(spark, stored_at), processed_uri="cleaned"
-    )
+    kept = stored_figures(spark, stored_at)["row_count"]
+    return quality.validation(quality.profile(typed), kept, processed_uri="cleaned")
 
 
 def _reconciliation(cleaned: DataFrame) -> DataFrame:
@@ -233,9 +237,123 @@ def _reconciliation(cleaned: DataFrame) -> DataFrame:
 
 
 def _dimension_check(cleaned: DataFrame) -> DataFrame:
-    counted = _stored(summaries.combination_counts(cleaned, DIMENSIONS))
-    counts = summaries.dimension_counts(counted, DIMENSIONS)
-    return checks.dimension_check(counts, counted.agg(F.sum("Input_Count")), DIMENSIONS)
+    """Against the rows of the dataset; records without weather make that dimension FAIL."""
+    dimensions = [*DIMENSIONS, "Weather_Condition"]
+    counts = summaries.grouping_counts(cleaned, dimensions).where("Value IS NOT NULL")
+    return checks.dimension_check(counts, cleaned.agg(F.count("*")), dimensions)
+
+
+def _incremental_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts of all raw files after two increments, the second of which reads the second half alone."""
+    root = shared_folder(spark)
+    raw = raw_incidents(spark, sf_dir)
+    early = F.coalesce(F.col("Zipcode") < "000000800", F.lit(False))
+    for half, mode in ((raw.where(early), "overwrite"), (raw.where(~early), "append")):
+        half.write.mode(mode).option("header", True).csv(f"{root}/raw_csv")
+        counts = jobs.benchmark_increment(spark, f"{root}/raw_csv", f"{root}/store")
+    return counts
+
+
+def _dedup_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines stored once per key in two increments by shipping date; what came first stays."""
+    lines = table(spark, sf_dir, "lineitem")
+    first, second = lines.where("l_shipdate < '1997-01-01'"), lines.where("l_shipdate >= '1997-01-01' OR l_shipdate IS NULL")
+    root = shared_folder(spark)
+    planned = known.KeyStore.blocks_for(lines.count())
+    store = known.KeyStore(spark, f"lines_{root[-32:]}", root, ["l_orderkey", "l_linenumber"], planned, buckets=8)
+    store.create(first)
+    store.add(second)
+    return store.stored()
+
+
+def _year_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored dataset with one stale year and one that should not be there, after both were rewritten."""
+    root = shared_folder(spark)
+    cleaned = cleaned_incidents(spark, sf_dir)
+    stale = cleaned.withColumn("Street", F.when(F.col("Year") == 1996, "stale").otherwise(F.col("Street")))
+    extra = cleaned.where("Year = 1997").withColumn("Year", F.lit(2050))
+    write_partitioned(stale.unionByName(extra), f"{root}/dataset")
+    rewrite_partitions(cleaned, f"{root}/dataset", [1996, 2050], root)
+    return read_parquet(spark, f"{root}/dataset").withColumn("Year", F.col("Year").cast("int"))
+
+
+# Cells that do not fit their column, by a test on the record.
+MALFORMED = {
+    "Severity": ("Zipcode LIKE '%7'", "high"),
+    "Distance(mi)": ("Street = 'Street 5'", "far"),
+    "Stop": ("Airport_Code = 'K3'", "perhaps"),
+}
+
+
+def _csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw records with malformed cells: all, good and quarantined ones, and records at fault per column."""
+    root = shared_folder(spark)
+    raw = raw_incidents(spark, sf_dir)
+    cells = {c: F.when(F.expr(test), cell).otherwise(F.col(f"`{c}`").cast("string")) for c, (test, cell) in MALFORMED.items()}
+    raw.withColumns(cells).write.option("header", True).csv(f"{root}/raw_csv")
+    read = read_quarantined(spark, f"{root}/raw_csv", root)
+    count = lambda frame, check: frame.agg(F.lit(check).alias("Check"), F.lit(None).cast("string").alias("Column"), F.count("*").alias("Row_Count"))
+    lines = spark.read.option("header", True).csv(f"{root}/raw_csv")
+    columns = read.columns.select(F.lit("malformed").alias("Check"), F.col("column").alias("Column"), F.col("bad_records").alias("Row_Count"))
+    parts = [count(lines, "raw"), count(read.good, "good"), count(read.bad, "quarantined"), columns]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _sketches_by_year(cleaned: DataFrame) -> DataFrame:
+    """Different Zipcodes per year and over all years, and whether sketches stored per year tell them within their bound."""
+    stored = _stored(sketches.distinct_sketches(cleaned, ["Year"], "Zipcode"))
+    every = F.lit(None).cast("int").alias("Year")
+    exact = F.count_distinct("Zipcode").alias("Exact_Count")
+    parts = []
+    for counted, told in (
+        (cleaned.groupBy("Year").agg(exact), sketches.united(stored, ["Year"])),
+        (cleaned.agg(exact).select(every, "Exact_Count"), sketches.united(stored).select(every, "row_count", "sketch")),
+    ):
+        estimate = sketches.estimated(told).select(F.col("Year").alias("_year"), "distinct_estimate")
+        met = counted.join(estimate, F.col("Year").eqNullSafe(F.col("_year")))
+        parts.append(met.select("Year", "Exact_Count", sketches.within("distinct_estimate", "Exact_Count", sketches.error_bound()).alias("Within_Bound")))
+    return parts[0].unionByName(parts[1])
+
+
+def _content_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned rows against what was stored of them, as it is and with one cell changed."""
+    cleaned = cleaned_incidents(spark, sf_dir)
+    path = f"{shared_folder(spark)}/dataset"
+    write_partitioned(cleaned, path)
+    stored = read_parquet(spark, path)
+    last = cleaned.agg(F.max("ID")).scalar()
+    changed = stored.withColumn("Street", F.when(F.col("ID") == last, F.lit(None)).otherwise(F.col("Street")))
+    parts = [
+        checks.compare_contents(cleaned, frame, cleaned.columns).select(F.lit(name).alias("Copy"), "Check", "Status")
+        for name, frame in (("stored", stored), ("one cell changed", changed))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def _quantiles(cleaned: DataFrame) -> DataFrame:
+    folder = shared_folder(cleaned.sparkSession)
+    found = quantiles.exact_quantiles(cleaned, ["State"], "Pressure(in)", [0.25, 0.5, 0.9], folder, few=100)
+    return found.select("State", "share", "row_count", F.round("quantile", 9).alias("quantile"))
+
+
+def _largest_groups(cleaned: DataFrame) -> DataFrame:
+    """The 50 largest values of a key that is a place by night and an ID by day."""
+    key = F.when(F.col("Hour") < 8, F.col("City_State")).otherwise(F.col("ID"))
+    return heavy.largest_groups(cleaned, key, 50, shared_folder(cleaned.sparkSession), name="Place", count="Accident_Count")
+
+
+def _largest_cities(cleaned: DataFrame) -> DataFrame:
+    return heavy.largest_groups(
+        cleaned, "City_State", 100, shared_folder(cleaned.sparkSession), name="City_State", count="Accident_Count"
+    )
+
+
+def _stored_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Figures of the stored cleaned dataset from its footers, as (metric, value)."""
+    path = f"{shared_folder(spark)}/dataset"
+    write_partitioned(rows.clean(typed_incidents(spark, sf_dir)), path)
+    figures = stored_figures(spark, path, ranges=["Severity", "Month", "Hour"], counts=["Weather_Condition", "End_Lat"])
+    return spark.createDataFrame([(name, value) for name, value in figures.asDict().items()], "metric string, value long")
 
 
 def _five_way(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -601,11 +719,22 @@ QUERIES: dict[str, Query] = {
     "reconciliation": _cleaned(_reconciliation),
     "reconciliation_from_rollup": _staged_rollup_reconciliation,
     "dimension_check": _cleaned(_dimension_check),
+    "content_checks": _content_checks,
     "five_way_check": _five_way,
     "benchmark_runs": _cleaned(_run_table),
     "benchmark_summary": _cleaned(_run_summary),
     "run_metrics": _run_metrics,
     "runtime_side_by_side": _cleaned(_runtimes),
+    # kept state: increments, rewritten years, set-apart records, sketches, footers
+    "incremental_counts": _incremental_counts,
+    "dedup_increment": _dedup_increment,
+    "year_rewrite": _year_rewrite,
+    "csv_quarantine": _csv_quarantine,
+    "distinct_sketches_by_year": _cleaned(_sketches_by_year),
+    "quantiles_by_state": _cleaned(_quantiles),
+    "largest_groups": _cleaned(_largest_groups),
+    "largest_cities": _cleaned(_largest_cities),
+    "stored_ranges": _stored_ranges,
     # chart tables
     "chart_top_states": _chart("place", reports.state_summary, charts.top_states),
     "chart_top_cities": _chart("place", reports.top_cities, charts.top_cities),

@@ -4,6 +4,7 @@ import datetime as dt
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from plans_helper import plan_of
 from pyspark.sql import functions as F
 
 from tallymill.functions import (
@@ -122,12 +123,74 @@ def test_parse_mixed(spark):
         ("13/13/2016", None),
         ("soon", None),
         (None, None),
+        ("2016-02-08T05:46:00+05:00", dt.datetime(2016, 2, 8, 5, 46)),
+        ("2/8/2016 5:46 PM -0330", dt.datetime(2016, 2, 8, 17, 46)),
+        ("8-feb-2016 23:59:59.999999999", dt.datetime(2016, 2, 8, 23, 59, 59, 999999)),
+        ("8 FEBRUARY 2016", dt.datetime(2016, 2, 8)),
+        ("Feb 30, 2016", None),
+        ("2/30/2016", None),
+        ("2016-02-08 24:00", None),
+        ("2016-02-08 5:60", None),
+        ("2016-02-08 5:46:60", None),
+        ("2/8/2016 13:00 PM", None),
+        ("2/8/2016 0:00 AM", None),
+        ("Foo 8, 2016", None),
+        ("8.2.2016|5:46", None),
+        ("2016-02-08+05:00", None),
+        ("", None),
+        ("1" * 5000 + " ", None),
     ]
     frame = spark.createDataFrame([(t,) for t, _ in rows], "t string")
     got = [r[0] for r in frame.select(parse_timestamp_mixed("t")).collect()]
     assert got == [want for _, want in rows]
 
 
+def test_mixed_offsets_to_utc(spark):
+    rows = [
+        ("2016-02-08T05:46:00+05:00", dt.datetime(2016, 2, 8, 0, 46)),
+        ("2/8/2016 5:46 PM -0330", dt.datetime(2016, 2, 8, 21, 16)),
+        ("2016-02-08T05:46:00Z", dt.datetime(2016, 2, 8, 5, 46)),
+        ("2016-02-08 5:46", dt.datetime(2016, 2, 8, 5, 46)),
+    ]
+    frame = spark.createDataFrame([(t,) for t, _ in rows], "t string")
+    assert [r[0] for r in frame.select(parse_timestamp_mixed("t", utc=True)).collect()] == [want for _, want in rows]
+
+
+def patterns_in_order(column):
+    """Every pattern tried in turn, the way the shapes are meant to agree with."""
+    dates = ("yyyy-M-d", "M/d/yyyy", "d/M/yyyy", "yyyy/M/d", "d MMM yyyy", "d MMMM yyyy", "MMM d, yyyy", "MMMM d, yyyy")
+    dates += ("MMM d yyyy", "MMMM d yyyy", "d-MMM-yyyy", "yyyyMMdd", "M-d-yyyy", "d.M.yyyy")
+    tried = [F.try_to_timestamp(column, F.lit(d + t)) for d in dates for t in ("[ H:mm[:ss[.SSSSSSSSS]]]", " h:mm[:ss] a")]
+    return F.coalesce(*tried).cast("timestamp_ntz")
+
+
+mixed = st.builds(
+    lambda form, y, m, d, name, time: form.format(y=y, m=m, d=d, n=name) + time,
+    st.sampled_from(
+        ["{y}-{m}-{d}", "{m}/{d}/{y}", "{d}/{m}/{y}", "{y}/{m}/{d}", "{d} {n} {y}", "{n} {d}, {y}", "{n} {d} {y}", "{m}-{d}-{y}", "{d}.{m}.{y}", "{y}{m:02d}{d:02d}"]
+    ),
+    st.integers(1900, 2100),
+    st.integers(0, 14),
+    st.integers(0, 32),
+    st.sampled_from(["Jan", "Feb", "MAR", "May", "June", "september", "Sep", "Mai", "Febr"]),
+    st.sampled_from(["", " 5:46", " 05:46:07", " 23:59:59.25", " 12:00 AM", " 12:30:01 pm", " 0:10 PM", " 24:00", " 5:4", " x", " 5:46:61"]),
+)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(mixed, min_size=60, max_size=120))
+def test_shapes_agree_with_patterns(spark, texts):
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    upper = F.regexp_replace("t", "pm$", "PM")
+    shown = frame.select("t", parse_timestamp_mixed("t").alias("ours"), patterns_in_order(upper).alias("defining"))
+    assert shown.filter("NOT ours <=> defining").collect() == []
+
+
+def test_mixed_plan_tries_no_patterns(spark):
+    frame = spark.createDataFrame([("x",)], "t string")
+    assert "gettimestamp" not in plan_of(frame.select(parse_timestamp_mixed("t"))).lower()
+
+
 def test_time_parts(spark):
     frame = spark.sql("SELECT TIMESTAMP_NTZ '2017-01-01 13:59:00' AS t")
     row = frame.select(*[c.alias(n) for n, c in time_parts("t").items()]).first().asDict()

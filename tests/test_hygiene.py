@@ -28,7 +28,7 @@ def raw(spark, sf_dir, tmp_path_factory):
 
 
 def left(root):
-    return glob.glob(f"{root}/**/staging", recursive=True)
+    return glob.glob(f"{root}/**/staging*", recursive=True)
 
 
 def test_jobs_leave_no_staging(spark, raw, tmp_path):
