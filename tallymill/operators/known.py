@@ -93,8 +93,11 @@ class KeyStore:
         return self.perhaps_known(frame.select(*self._key())).join(self.stored().select(*self._key()), list(self.keys), "left_semi")
 
     def new_rows(self, frame: DataFrame) -> DataFrame:
-        """The first row of each key that is not stored yet; what is stored stays as it is."""
-        first = dedup_by_key(self._whole(frame), self.keys)
+        """The first row of each key that is not stored yet; what is stored stays as it is.
+
+        The first rows are put in ``root/asked`` until the next call, since they are read twice.
+        """
+        first = staged(dedup_by_key(self._whole(frame), self.keys), f"{self.root}/asked")
         return first.join(self.known(first), list(self.keys), "left_anti").select(*[F.col(f"`{c}`") for c in frame.columns])
 
     def add(self, frame: DataFrame) -> DataFrame:
@@ -108,4 +111,5 @@ class KeyStore:
         self._save(fresh, "rows", list(self.keys), "append")
         self.spark.sql(f"DROP TABLE {self.name}_filter_{old}")
         remove(self.spark, f"{self.root}/filter_{old}")
+        remove(self.spark, f"{self.root}/asked")
         return fresh

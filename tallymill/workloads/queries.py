@@ -44,8 +44,13 @@ COUNTED = ["State", "Severity", "Start_Time"]
 
 
 def _cleaned(query: Callable[[DataFrame], DataFrame]) -> Query:
-    """A query over the stored cleaned records."""
-    return lambda spark, sf_dir: query(cleaned_incidents(spark, sf_dir))
+    """A query over the stored cleaned records; ``over`` is the part that needs them stored already."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return query(cleaned_incidents(spark, sf_dir))
+
+    run.over = query
+    return run
 
 
 def _report(name: str, query: Callable[[DataFrame], DataFrame]) -> Query:
