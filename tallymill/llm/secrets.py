@@ -40,10 +40,12 @@ ACCOUNT = re.compile(
     r"""\b(?i:user(?:name)?|login|account|client_?id|access_?key_?id)["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._+-]{3,})""",
     re.ASCII,
 )
-ENDPOINT = re.compile(
-    r"""\b(?:[a-z][a-z0-9+.-]{1,15}://[^\s"'<>]+|(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?::[0-9]{2,5})?|[a-z0-9-]+(?:\.[a-z0-9-]+)+:[0-9]{2,5}\b)""",
-    re.ASCII,
+ADDRESS = re.compile(
+    r"""\b(?:[a-z][a-z0-9+.-]{1,15}://[^\s"'<>]+|(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?::[0-9]{2,5})?)""", re.ASCII
 )
+# A run of host characters with a port; a run is read once, whatever it holds.
+HOST_RUN = re.compile(r"[a-z0-9.-]+(?=(:[0-9]{2,5}\b)?)", re.ASCII)
+WORD_CHARACTER = re.compile(r"\w", re.ASCII)
 OPAQUE = re.compile(r"[A-Za-z0-9+/]+", re.ASCII)
 OPAQUE_LEAST = 40
 KINDS = (*BASE_KINDS, "account", "endpoint", "opaque")
@@ -83,9 +85,48 @@ def base_spans(text: str) -> list[Span]:
     return found
 
 
+def _host_start(text: str, start: int, end: int) -> int | None:
+    """Where the leftmost host that ends at ``end`` begins: labels with dots between them, from a word boundary on."""
+    start = max(start, text.rfind("..", start, end) + 1)
+    start += text[start:end].startswith(".")
+    dot = text.rfind(".", start, end)
+    if dot == end - 1:
+        return None
+    for i in range(start, dot):
+        before = i > 0 and WORD_CHARACTER.match(text[i - 1]) is not None
+        if text[i] != "." and before != (text[i] != "-"):
+            return i
+    return None
+
+
+def endpoints(text: str) -> list[Span]:
+    """URLs, IPv4 addresses, and hosts with a port, leftmost and non-overlapping; where several begin, the first of these."""
+    found: list[Span] = []
+    runs = [(m.start(), m.end(), m.end(1)) for m in HOST_RUN.finditer(text) if m.group(1)]
+    at, run, address = 0, 0, ADDRESS.search(text)
+    while True:
+        while address is not None and address.start() < at:
+            address = ADDRESS.search(text, at)
+        host = None
+        while run < len(runs) and host is None:
+            first, end, port = runs[run]
+            start = _host_start(text, max(first, at), end) if at < end else None
+            if start is None:
+                run += 1
+            else:
+                host = (start, port)
+        if address is not None and (host is None or address.start() <= host[0]):
+            found.append(("endpoint", *address.span()))
+        elif host is not None:
+            found.append(("endpoint", *host))
+        else:
+            return found
+        at = found[-1][2]
+
+
 def weak_spans(text: str) -> list[Span]:
     found = [("account", *m.span()) for m in ACCOUNT.finditer(text)]
-    found += [("endpoint", *m.span()) for m in ENDPOINT.finditer(text)]
+    found += endpoints(text)
     found += [
         ("opaque", *m.span()) for m in OPAQUE.finditer(text) if m.end() - m.start() >= OPAQUE_LEAST
     ]
