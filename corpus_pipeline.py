@@ -18,7 +18,7 @@ from tallymill.llm.jaccard import jaccard_classes
 from tallymill.llm.language import UNDETERMINED, identify
 from tallymill.llm.packing import pack_documents
 from tallymill.llm.secrets import scan_secrets
-from tallymill.llm.spread import ship, stage, table
+from tallymill.llm.spread import shared, ship, stage, table
 from tallymill.sinks.writers import shared_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -41,18 +41,35 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return found.where(F.col("lang_pred") != UNDETERMINED).drop("lang_pred", "score").withColumnsRenamed(back)
 
 
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """A stored copy with a number per row, and its name: rows without an id, or with one in common, are told apart by it."""
+    name = "_row"
+    while name in docs.columns:
+        name += "_"
+    return stage(docs.withColumn(name, F.monotonically_increasing_id()), shared(docs), "numbered", "zstd"), name
+
+
+def _rows_as_documents(rows: DataFrame, row: str) -> DataFrame:
+    return rows.select(F.col(row).alias("doc_id"), "text")
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near-duplicates the document of the smallest id; rows that share that id stay."""
+    """Of each class of near-duplicates one row: that of the smallest id, null last, of several such rows any one."""
     ship(spark)
-    kept = jaccard_classes(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    rows, row = _numbered(docs)
+    classes = jaccard_classes(_rows_as_documents(rows, row)).select(F.col("doc_id").alias(row), "class_id")
+    first = F.min_by(row, F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(row)))
+    kept = rows.select(row, "doc_id").join(classes, row).groupBy("class_id").agg(first.alias(row))
+    return rows.join(kept, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Rows that hold no benchmark item of five words or more, whether they have an id or not."""
     ship(spark)
-    found = contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows, row = _numbered(docs)
+    found = contaminated(_rows_as_documents(rows, row), table(spark, sf_dir, "benchmark"))
+    found = found.select(F.col("doc_id").alias(row)).distinct()
+    return rows.join(found, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
