@@ -2,7 +2,6 @@ import collections
 import zlib
 
 import numpy as np
-import pytest
 from fixtures import ODD, components, documents, prose, shingles, table
 from test_secrets import base
 from tokenizers import Tokenizer
@@ -64,12 +63,30 @@ def test_stages_keep_the_columns_and_take_odd_documents(spark, sf_dir, tmp_path)
     assert {4, 6, 7, 9, 10, 30, 31, None} == set(kept)
     assert secret not in kept[30]["text"] and kept[30]["n_chars"] == len(kept[30]["text"])
     assert kept[31]["text"] == prose(51, 40) and kept[31]["lang_pred"] == "a" and kept[31]["clean"] == "c"
+    assert P.STAGES[-1][1](spark, docs.limit(0), sf_dir).count() == 0
     assert {r["doc_id"] for r in P.STAGES[-1][1](spark, docs, sf_dir).collect()} == set(kept)
 
 
-@pytest.mark.parametrize("name", [n for n, _ in P.STAGES])
-def test_names(name):
-    assert name
+def test_one_row_of_each_class_stays(spark, sf_dir):
+    """Rows that share an id or have none are rows of their own."""
+    text = prose(60, 80)
+    rows = [(1, text), (1, text), (1, text), (None, text + " more"), (None, prose(61, 80)), (None, prose(61, 80)), (2, None), (2, None), (3, text)]
+    docs = documents(spark, rows, _row="x")
+    kept = P.drop_near_duplicates(spark, docs, sf_dir)
+    assert kept.columns == docs.columns
+    want = [(1, text), (None, prose(61, 80)), (2, None), (2, None)]
+    assert sorted(str((r["doc_id"], r["text"])) for r in kept.collect()) == sorted(map(str, want))
+
+
+def test_contaminated_rows_without_an_id_go(spark, sf_dir):
+    item = next(r["text"] for r in table(spark, sf_dir, "benchmark").orderBy("item_id").collect() if len(shingles(r["text"])) > 5)
+    rows = [(None, prose(70, 30) + " " + item + " " + prose(71, 30)), (None, prose(72, 60)), (5, prose(73, 60)), (5, item), (6, None)]
+    kept = P.decontaminate(spark, documents(spark, rows), sf_dir).collect()
+    assert sorted(str((r["doc_id"], r["text"])) for r in kept) == sorted(str(rows[i]) for i in (1, 2, 4))
+
+
+def test_stages_in_order():
+    assert [n for n, _ in P.STAGES] == ["language_id", "near_duplicates", "decontamination", "secrets", "packing"]
 
 
 def test_without_labels_only_texts_without_a_letter_go(spark, sf_dir):
