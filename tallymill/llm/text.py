@@ -82,7 +82,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the multiplier and of its inverse, kept for the worker's life."""
-    if len(_powers.get("up", ())) < n:
+    if "up" not in _powers or len(_powers["up"]) < n:
         size = max(n, CHUNK_BYTES + (CHUNK_BYTES >> 2))
         for name, base in (("up", MULTIPLIER), ("down", pow(MULTIPLIER, -1, 1 << 64))):
             line = np.full(size, base, np.uint64)
