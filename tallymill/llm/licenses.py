@@ -1,14 +1,14 @@
 """License scan: exact set-similarity join of text blocks with license templates.
 
-A block is a window of twice a template's words that begins at a multiple of them, so a template that stands
-somewhere in a text lies wholly in some block.  A block matches a template if it holds at
-least ``threshold`` of the template's distinct words.  The join is exact and looks at few blocks:
+A block is a window of twice a template's words.  Windows begin at every word of the template that stands in a
+text, so whether a match is found does not hang on where it begins: a window with the most of a template's words can begin
+at one.  A block matches a template if it holds at least ``threshold`` of the template's distinct words.  The join is exact:
 
+* length filter: a block with fewer than ``need`` places of template words cannot match;
 * prefix filter: words are ordered by their count over all texts, rarest first; a match must hold one of
-  the first |T| - need + 1 words of the template, so only blocks around such a word are looked at;
-* length filter: a block of fewer than ``need`` words cannot match;
-* positional filter: once the first common word is at place i of the template and place j of the
-  block, no more than 1 + min(|T| - i - 1, |B| - j - 1) words can be common.
+  the first |T| - need + 1 words of the template;
+* positional filter: blocks are compared word by word in that order, and one leaves as soon as
+  what it has and the |T| - i - 1 words to come stay below need.
 
 Beside it, base phrases are found wherever their words stand consecutively.
 """
@@ -83,8 +83,8 @@ ARROW_FOUND = pa.schema(
 @dataclass
 class Template:
     label: str
-    size: int  # words, so blocks have twice as many and begin at its multiples
-    ranks: list[int]  # of its distinct words, rising
+    size: int  # words, so blocks have twice as many
+    ranks: np.ndarray  # of its distinct words, rising
     need: int
     prefix: np.ndarray  # ranks of which a match holds at least one
 
@@ -113,7 +113,7 @@ def plan(templates, counts: Mapping[int, int], threshold: float) -> Plan:
             continue
         ranks = np.sort(rank[np.searchsorted(vocabulary, np.unique(h))])
         need = needed(len(ranks), threshold)
-        made.append(Template(label, len(h), ranks.tolist(), need, ranks[: len(ranks) - need + 1]))
+        made.append(Template(label, len(h), ranks, need, ranks[: len(ranks) - need + 1]))
     return Plan(vocabulary, rank, made)
 
 
@@ -144,19 +144,27 @@ def word_counts(documents: DataFrame, templates=TEMPLATES) -> dict[int, int]:
     return {int(vocabulary[r["word"]]): r["n"] for r in rows.collect()}
 
 
-def containment(template: Template, block: list[int]) -> int:
-    """Common words of a template and a block's sorted distinct ranks, or 0 if below need."""
-    i = j = common = 0
-    while i < len(template.ranks) and j < len(block):
-        if common + min(len(template.ranks) - i, len(block) - j) < template.need:
-            return 0
-        if template.ranks[i] == block[j]:
-            common, i, j = common + 1, i + 1, j + 1
-        elif template.ranks[i] < block[j]:
-            i += 1
-        else:
-            j += 1
-    return common if common >= template.need else 0
+def containment(template: Template, at: np.ndarray, ranks: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the template's words at which a matching block begins, and how many of its distinct words each holds.
+
+    ``at`` are the places of known words, ``ranks`` theirs, ``ends`` the ends of the texts they stand in.
+    """
+    own = np.isin(ranks, template.ranks)
+    at, ranks = at[own], ranks[own]
+    ends = np.minimum(at + 2 * template.size, ends[own])
+    last = np.searchsorted(at, ends)
+    rare = np.concatenate([[0], np.cumsum(np.isin(ranks, template.prefix))])
+    first = np.arange(len(at))
+    left = np.flatnonzero((last - first >= template.need) & (rare[last] > rare[first]))
+    common = np.zeros(len(left), np.int64)
+    for i, rank in enumerate(template.ranks):
+        if not len(left):
+            break
+        places = np.append(at[ranks == rank], np.iinfo(np.int64).max)
+        common += places[np.searchsorted(places, at[left])] < ends[left]
+        stays = common + len(template.ranks) - i - 1 >= template.need
+        left, common = left[stays], common[stays]
+    return at[left], common
 
 
 def _scan(texts: Texts, known: Plan, phrases: list[tuple[np.ndarray, str]]) -> list[list]:
@@ -188,21 +196,11 @@ def _scan(texts: Texts, known: Plan, phrases: list[tuple[np.ndarray, str]]) -> l
     ranks = known.rank[which]
     row = np.searchsorted(bounds, at, "right") - 1
     for template in known.templates:
-        hits = np.flatnonzero(np.isin(ranks, template.prefix))
-        blocks = set()
-        for r, place in zip(row[hits].tolist(), (at[hits] - bounds[row[hits]]).tolist()):
-            b = place // template.size
-            blocks.update(((r, b), (r, b - 1)) if b else ((r, b),))
-        for r, b in blocks:
-            start = bounds[r] + b * template.size
-            end = min(start + 2 * template.size, bounds[r + 1])
-            if end - start < template.need:
-                continue
-            lo, hi = np.searchsorted(at, (start, end))
-            common = containment(template, np.unique(ranks[lo:hi]).tolist())
-            if common:
-                labels.setdefault(r, set()).add(template.label)
-                score[r] = max(score[r], common / len(template.ranks))
+        begins, common = containment(template, at, ranks, bounds[row + 1])
+        matched = np.searchsorted(bounds, begins, "right") - 1
+        np.maximum.at(score, matched, common / len(template.ranks))
+        for r in np.unique(matched).tolist():
+            labels.setdefault(r, set()).add(template.label)
     return [
         np.diff(bounds).tolist(),
         n_base.tolist(),

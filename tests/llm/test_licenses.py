@@ -1,4 +1,5 @@
 import math
+import random
 
 from fixtures import ODD, documents, table, word_list
 
@@ -28,7 +29,7 @@ def plain(text):
     for label, template in TEMPLATES:
         t = template.split()
         need = math.ceil(len(set(t)) * 0.8 - 1e-9)
-        for start in range(0, max(1, len(words)), len(t)):
+        for start in (i for i in range(len(words)) if words[i] in t):
             common = len(set(t) & set(words[start : start + 2 * len(t)]))
             if common >= need:
                 labels.add(label)
@@ -50,6 +51,19 @@ def test_odd_documents(spark):
     assert license_scan(documents(spark, [])).collect() == []
 
 
+def test_a_match_does_not_hang_on_where_it_begins(spark):
+    words = [f"t{i}" for i in range(20)]
+    rng, rows = random.Random(4), []
+    for stretch in (22, 26, 30, 36, 40):
+        for offset in range(20):
+            inner = sorted(rng.sample(range(1, stretch - 1), 14))
+            held = dict(zip([0, *inner, stretch - 1], rng.sample(words, 16)))
+            rows.append((len(rows), " ".join(["x"] * offset + [held.get(i, "y") for i in range(stretch)] + ["z"] * 50)))
+    rows.append((len(rows), " ".join(["x"] * 9 + words[:8] + ["y"] * 25 + words[8:16])))  # 41 words
+    got = license_scan(documents(spark, rows), templates=(("own", " ".join(words)),)).collect()
+    assert {r["doc_id"] for r in got if r["labels"] == "own" and r["score"] == 0.8} == set(range(len(rows) - 1))
+
+
 def test_query(spark, sf_dir):
     want = sorted(str((r["doc_id"], *plain(r["text"]))) for r in table(spark, sf_dir, "documents").collect())
     assert rows_of(QUERIES["op4_license_scan"](spark, sf_dir)) == want
