@@ -1,9 +1,10 @@
-"""Substring dedup by content-defined anchors.
+"""Substring dedup by content-defined chunking.
 
-A gear rolling hash over the last 16 bytes marks places, on average every 32 bytes.  An anchor is a gram of
-GRAM bytes: of every REACH neighbouring grams the last marked one, and where none is marked the
-one of the least digest, so two equal stretches of GRAM + REACH - 1 bytes have an equal anchor at the same place,
-whatever they hold.  Anchors are compared by digest over all documents; those that also stand in
+A gear rolling hash over the last WINDOW bytes ranks every place of a text, and of every REACH neighbouring places the
+one of least rank is a cut, the last of equals.  So chunks lie between cuts that hang on nearby bytes alone, vary in
+length up to REACH, and an insertion moves only the cuts beside it.  A chunk is deduplicated by the digest of its bytes
+and of the LEAD bytes before it, which keep short chunks from meeting by chance.  Two equal stretches of STRETCH bytes
+have a chunk in common, whatever they hold.  Chunks that also stand in
 another document join to runs, a run's two ends are carried on byte by byte as long as some other
 document goes on alike, and only then its length is tested.
 """
@@ -21,103 +22,125 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .spread import Batches, shared, stage
+from .spread import Batches, gathered, shared, stage
 from .text import Texts, chunks, mix, span_hashes
 
+#: Bytes that the gear hash of a place has seen.
 WINDOW = 16
-#: The uppermost bits of a 16-bit gear hash that are zero at a cut: 5 cut every 32 bytes.
-CUT_BITS = 5
-#: Bytes of an anchor, and of how many neighbouring grams one is an anchor.
-GRAM = 64
+#: Neighbouring places of which one is a cut; no chunk is longer.
 REACH = 32
-STRETCH = GRAM + REACH - 1
-#: Bytes beside a gram by which its places are dealt out.
+#: Bytes before a chunk that its digest takes in, WINDOW at least.
+LEAD = 32
+STRETCH = LEAD + 2 * REACH - 1
+#: Bytes beside a chunk by which its places are dealt out.
 NEAR = 3
 #: A span counts from this many bytes, from end to end; 51 words have 101 at least.
 LEAST_BYTES = 96
 
-GEAR = (mix(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(48)).astype(np.uint16)
+GEAR = (mix(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 
 
-def cut_places(texts: Texts, bits: int = CUT_BITS) -> np.ndarray:
-    """Sorted ends of all chunks; a text's end is one, and no cut sees the text before."""
-    line = GEAR[texts.data]
+def cut_places(texts: Texts) -> np.ndarray:
+    """Sorted places in the texts' bytes before which a chunk ends; a text has none in its first LEAD bytes."""
+    rank = GEAR[texts.data]
     width = 1
     while width < WINDOW:
-        line[width:] += line[:-width] << np.uint16(width)
+        rank[width:] += rank[:-width] << np.uint32(width)
         width *= 2
-    cut = (line >> np.uint16(16 - bits)) == 0
-    cut[1:] &= ~cut[:-1].copy()  # one cut per run of cuts
-    for k in range(WINDOW - 1):
-        at = texts.offsets[:-1] + k
-        cut[at[at < np.minimum(texts.offsets[1:], len(cut))]] = False
-    ends = texts.offsets[1:]
-    cut[ends[np.diff(texts.offsets) > 0] - 1] = True
-    return np.flatnonzero(cut) + 1
-
-
-def anchors(texts: Texts, bits: int = CUT_BITS) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the anchors in the texts' bytes, sorted, and their digests.
-
-    Whether a gram is marked, and which of REACH grams is taken, hangs on their bytes alone.
-    """
-    none = np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    if len(texts.data) < STRETCH:
-        return none
-    every = np.arange(len(texts.data) - GRAM + 1)
-    digest = span_hashes(texts, every, every + GRAM, lower=False)
-    rank = digest | np.uint64(1)
-    marked = cut_places(texts, bits) - WINDOW - 1  # a cut is told by WINDOW + 1 bytes before it
-    rank[marked[(marked >= 0) & (marked < len(rank))]] = 0
-    best, width = every, 1
+    if len(rank) < REACH:
+        return np.zeros(0, np.int64)
+    best, width = np.arange(len(rank)), 1
     while width < REACH:
         left, right = best[:-width], best[width:]
         later = rank[width:] <= rank[:-width]
         best, rank = np.where(later, right, left), np.where(later, rank[width:], rank[:-width])
         width *= 2
-    whole = np.repeat(texts.offsets[1:], np.diff(texts.offsets))[: len(best)] >= np.arange(len(best)) + STRETCH
-    best = best[whole]  # rises, since the last of equals is taken
-    if not len(best):
-        return none
-    best = best[np.concatenate([[True], best[1:] != best[:-1]])]
-    return best, digest[best]
+    first, long = np.arange(len(best)), np.diff(texts.offsets)
+    whole = first >= np.repeat(texts.offsets[:-1], long)[: len(best)] + LEAD - 1
+    whole &= first + REACH <= np.repeat(texts.offsets[1:], long)[: len(best)]
+    best = best[whole] + 1  # rises, since the last of equals is taken
+    return best[np.concatenate([[True], best[1:] != best[:-1]])] if len(best) else best
 
 
-def _anchor(batches: Batches, bits: int, places: bool) -> Iterator[pa.RecordBatch]:
+def digested(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, start (with the bytes before it), end and digest of each chunk between two cuts of a text."""
+    cuts = cut_places(texts)
+    row = np.searchsorted(texts.offsets, cuts - 1, "right") - 1
+    beside = np.flatnonzero(row[1:] == row[:-1])
+    starts, ends = cuts[beside] - LEAD, cuts[beside + 1]
+    return row[beside], starts, ends, span_hashes(texts, starts, ends, lower=False)
+
+
+def _chunk(batches: Batches, places: bool) -> Iterator[pa.RecordBatch]:
     task = TaskContext.get()
     number = (task.partitionId() if task else 0) << 40
     for batch in batches:
         for texts in chunks(batch.column("text")):
-            at, digest = anchors(texts, bits)
-            row = np.searchsorted(texts.offsets, at, "right") - 1
+            row, starts, ends, digest = digested(texts)
             of = lambda name: batch.column(name).slice(texts.first, len(texts)).take(pa.array(row))
             columns, names = [pa.array(digest.view(np.int64)), of("doc_id")], ["digest", "doc_id"]
             if places:
-                columns += [of("key"), pa.array(number + row), pa.array(at - texts.offsets[row])]
-                names += ["key", "row", "start"]
+                within = pa.array((starts - texts.offsets[row]).astype(np.int32))
+                columns += [of("key"), pa.array(number + row), within, pa.array((ends - starts).astype(np.int32))]
+                names += ["key", "row", "start", "long"]
             number += len(texts)
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
+def _whole_rows(batches: Batches) -> Iterator[pa.RecordBatch]:
+    """The same rows in order, no document's chunks in two batches."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        row = batch.column("row").to_numpy()
+        if held and row[0] != held[-1].column("row")[0].as_py():
+            yield pa.concat_batches(held)
+            held = []
+        cut = int(np.searchsorted(row, row[-1]))
+        if cut:
+            yield pa.concat_batches([*held, batch.slice(0, cut)])
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _sided(batches: Batches) -> Iterator[pa.RecordBatch]:
+    """begins, ends: whether a chunk begins or ends less than REACH bytes from that side of its run.
+
+    Another document may have only the next chunk in common, less than REACH bytes on.
+    """
+    for batch in _whole_rows(batches):
+        row, start, long = (batch.column(n).to_numpy() for n in ("row", "start", "long"))
+        end = start + long
+        apart = (row[1:] != row[:-1]) | (start[1:] > end[:-1])
+        first = np.flatnonzero(np.concatenate([[True], apart]))
+        run = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(row))))
+        last = np.append(first[1:], len(row)) - 1
+        begins, ends = start - start[first][run] < REACH, end[last][run] - end < REACH
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(begins), pa.array(ends)], names=[*batch.schema.names, "begins", "ends"])
+
+
 def _beside(batches: Batches) -> Iterator[pa.RecordBatch]:
-    """The up to REACH - 1 bytes before or behind each edge's gram, the nearest first."""
+    """The up to REACH - 1 bytes before or behind each edge's chunk, the nearest first."""
     for batch in batches:
         for texts in chunks(batch.column("text")):
             edges = batch.column("edges").slice(texts.first, len(texts))
             row = np.repeat(np.arange(len(texts)), edges.value_lengths().to_numpy())
             flat = edges.flatten()
-            start, before = (flat.field(k).to_numpy(zero_copy_only=False) for k in (1, 2))
+            start, long, before = (flat.field(k).to_numpy(zero_copy_only=False) for k in (1, 2, 3))
             low, high = texts.offsets[row], texts.offsets[row + 1]
             at = low + start
-            size = np.minimum(np.where(before, start, high - at - GRAM), REACH - 1)
+            size = np.minimum(np.where(before, start, high - at - long), REACH - 1)
             offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
             nth = np.arange(offsets[-1]) - np.repeat(offsets[:-1], size)
-            first, step = np.where(before, at - 1, at + GRAM), np.where(before, -1, 1)
+            first, step = np.where(before, at - 1, at + long), np.where(before, -1, 1)
             data = texts.data[np.repeat(first, size) + nth * np.repeat(step, size)].tobytes()
             beside = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
             of = lambda name: batch.column(name).slice(texts.first, len(texts)).take(pa.array(row))
-            columns = [flat.field(0), of("doc_id"), of("key"), *(flat.field(k) for k in (1, 2, 3)), beside]
-            yield pa.RecordBatch.from_arrays(columns, names=["digest", "doc_id", "key", "start", "before", "own", "beside"])
+            columns = [flat.field(0), of("doc_id"), of("key"), *(flat.field(k) for k in (1, 2, 3, 4)), beside]
+            yield pa.RecordBatch.from_arrays(columns, names=["digest", "doc_id", "key", "start", "long", "before", "own", "beside"])
 
 
 def _padded(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -142,7 +165,7 @@ def _alike(batches: Batches) -> Iterator[pa.RecordBatch]:
 
 
 def _carried(places: DataFrame, folder: str) -> DataFrame:
-    """doc_id, key, start, before, size and first_doc_id for edges of which another document goes on alike for size bytes.
+    """doc_id, key, start, long, before, size and first_doc_id for edges of which another document goes on alike for size bytes.
 
     Of sorted neighbours one goes on alike longest, but for those of the same document, which are passed over.  Neighbours are
     sought among those alike in NEAR bytes; shorter beginnings are counted.
@@ -175,7 +198,7 @@ def _carried(places: DataFrame, folder: str) -> DataFrame:
     asked = edges.select(*by, "size").distinct()
     heads = kinds.join(asked, by).where(F.length("beside") >= F.col("size")).groupBy(*by, "size", head).agg(F.min("first").alias("first_doc_id"))
     found = edges.withColumn("head", head).join(stage(heads, folder, "heads"), [*by, "size", "head"])
-    return found.select("doc_id", "key", "start", "before", "size", "first_doc_id")
+    return found.select("doc_id", "key", "start", "long", "before", "size", "first_doc_id")
 
 
 def _in_several(digests: DataFrame) -> DataFrame:
@@ -183,10 +206,10 @@ def _in_several(digests: DataFrame) -> DataFrame:
     return by.where("first_doc_id < last").select("digest", "first_doc_id")
 
 
-def repeated_spans(documents: DataFrame, *, bits: int = CUT_BITS, least_bytes: int = LEAST_BYTES) -> DataFrame:
+def repeated_spans(documents: DataFrame, *, least_bytes: int = LEAST_BYTES) -> DataFrame:
     """One row per span that stands in several documents; a document without one has no row.
 
-    doc_id, start and length in bytes of the UTF-8 text, chunks (the anchors and carried ends it is made of), first_doc_id
+    doc_id, start and length in bytes of the UTF-8 text, chunks (those and the carried ends it is made of), first_doc_id
     (the smallest doc_id that has any of them) and kept (true in the document that holds them first, false where they are copies).
     Every byte of a copy stands in a document of a smaller doc_id.  A passage of ``least_bytes``, at least STRETCH,
     is found in all documents that hold it, whatever it holds.  A part held first that is shorter
@@ -201,40 +224,35 @@ def repeated_spans(documents: DataFrame, *, bits: int = CUT_BITS, least_bytes: i
     )
     folder = shared(documents)
     keyed = frame.withColumn("key", F.xxhash64("text"))
-    digests = frame.mapInArrow(partial(_anchor, bits=bits, places=False), "digest long, doc_id long")
+    digests = frame.mapInArrow(partial(_chunk, places=False), "digest long, doc_id long")
     common = stage(_in_several(digests), folder, "common")
-    places = keyed.mapInArrow(
-        partial(_anchor, bits=bits, places=True), "digest long, doc_id long, key long, row long, start long"
-    )
-    found = stage(places.join(common, "digest"), folder, "found")
-    # where runs begin and end, and all places of the grams that stand there
-    line = W.partitionBy("row").orderBy("start")
-    begins = F.coalesce(F.col("start") - F.lag("start").over(line) > GRAM, F.lit(True))
-    ends = F.coalesce(F.lead("start").over(line) - F.col("start") > GRAM, F.lit(True))
-    sided = found.withColumns({"begins": begins, "ends": ends})
-    # another document may have only the next anchor in common, less than REACH bytes on
-    first = F.max(F.when(F.col("begins"), F.col("start"))).over(line.rowsBetween(W.unboundedPreceding, 0))
-    last = F.min(F.when(F.col("ends"), F.col("start"))).over(line.rowsBetween(0, W.unboundedFollowing))
-    sided = sided.withColumns({"begins": F.col("start") - first < REACH, "ends": last - F.col("start") < REACH})
+    columns = "digest long, doc_id long, key long, row long, start int, long int"
+    places = keyed.mapInArrow(partial(_chunk, places=True), columns).join(common, "digest")
+    sided = gathered(places, ["row"], ["start"]).mapInArrow(_sided, f"{columns}, first_doc_id long, begins boolean, ends boolean")
+    found = stage(sided, folder, "found")
+    # all places of the chunks that stand where some run begins or ends
     edges = stage(
-        sided.where("begins OR ends").groupBy("digest").agg(F.max("begins").alias("any_begins"), F.max("ends").alias("any_ends")),
+        found.where("begins OR ends").groupBy("digest").agg(F.max("begins").alias("any_begins"), F.max("ends").alias("any_ends")),
         folder,
         "edges",
     )
-    side = lambda before, own: F.struct("digest", "start", F.lit(before).alias("before"), F.col(own).alias("own"))
+    side = lambda before, own: F.struct("digest", "start", "long", F.lit(before).alias("before"), F.col(own).alias("own"))
     sides = F.array_compact(F.array(F.when(F.col("any_begins"), side(True, "begins")), F.when(F.col("any_ends"), side(False, "ends"))))
-    lists = sided.join(edges, "digest").groupBy("doc_id", "key").agg(F.flatten(F.collect_set(sides)).alias("edges"))
+    lists = found.join(edges, "digest").groupBy("doc_id", "key").agg(F.flatten(F.collect_set(sides)).alias("edges"))
     beside = keyed.dropDuplicates(["doc_id", "key"]).join(lists, ["doc_id", "key"]).mapInArrow(
-        _beside, "digest long, doc_id long, key long, start long, before boolean, own boolean, beside binary"
+        _beside, "digest long, doc_id long, key long, start int, long int, before boolean, own boolean, beside binary"
     )
     most = _carried(stage(beside, folder, "places_beside"), folder)
     low = F.col("start") - F.when(F.col("before"), F.col("size")).otherwise(0)
-    high = F.col("start") + GRAM + F.when(F.col("before"), 0).otherwise(F.col("size"))
+    high = F.col("start") + F.col("long") + F.when(F.col("before"), 0).otherwise(F.col("size"))
     rows = found.select("row", "doc_id", "key").distinct()
-    longer = rows.join(most, ["doc_id", "key"]).select("row", "doc_id", low.alias("low"), high.alias("high"), "first_doc_id")
-    grams = found.select("row", "doc_id", F.col("start").alias("low"), (F.col("start") + GRAM).alias("high"), "first_doc_id")
-    # runs of grams that touch, and in them parts that are held first or copies
-    parts = grams.unionByName(longer).withColumn("kept", F.col("doc_id") == F.col("first_doc_id"))
+    longer = rows.join(most, ["doc_id", "key"]).select(
+        "row", "doc_id", low.cast("long").alias("low"), high.cast("long").alias("high"), "first_doc_id"
+    )
+    low, high = F.col("start").cast("long"), (F.col("start") + F.col("long")).cast("long")
+    whole = found.select("row", "doc_id", low.alias("low"), high.alias("high"), "first_doc_id")
+    # runs of chunks that touch, and in them parts that are held first or copies
+    parts = whole.unionByName(longer).withColumn("kept", F.col("doc_id") == F.col("first_doc_id"))
     line = W.partitionBy("row").orderBy("low", "high")
     so_far = line.rowsBetween(W.unboundedPreceding, 0)
     apart = F.coalesce(F.col("low") > F.max("high").over(line.rowsBetween(W.unboundedPreceding, -1)), F.lit(True))

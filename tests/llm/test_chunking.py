@@ -4,7 +4,7 @@ import random
 import pyarrow as pa
 from fixtures import LONG, ODD, documents, prose, table
 
-from tallymill.llm.chunking import LEAST_BYTES, STRETCH, WINDOW, anchors, cut_places, repeated_spans
+from tallymill.llm.chunking import LEAD, LEAST_BYTES, REACH, STRETCH, cut_places, digested, repeated_spans
 from tallymill.llm.queries import QUERIES
 from tallymill.llm.text import chunks
 
@@ -18,9 +18,11 @@ def test_an_insertion_moves_only_the_cuts_beside_it():
     inserted = text[:3000] + "INSERTED" + text[3000:]
     a, b = cuts(text.encode().decode()), cuts(inserted)
     at = len(text[:3000].encode())
-    assert {c for c in a if c <= at} == {c for c in b if c <= at}
-    assert {c + 8 for c in a if c > at + WINDOW} == {c for c in b if c > at + 8 + WINDOW}
-    assert 20 < len(text.encode()) / len(a) < 50
+    assert {c for c in a if c <= at - REACH} == {c for c in b if c <= at - REACH}
+    assert {c + 8 for c in a if c > at + LEAD + REACH} == {c for c in b if c > at + 8 + LEAD + REACH}
+    assert 10 < len(text.encode()) / len(a) < 25
+    digests = lambda t: {int(d) for d in digested(next(chunks(pa.array([t]))))[3]}
+    assert len(digests(text) - digests(inserted)) <= 8 and len(digests(inserted) - digests(text)) <= 9
 
 
 def test_texts_are_cut_by_themselves():
@@ -30,6 +32,8 @@ def test_texts_are_cut_by_themselves():
     for i, t in enumerate(texts):
         lo, hi = part.offsets[i], part.offsets[i + 1]
         assert {int(c - lo) for c in found if lo < c <= hi} == (cuts(t) if t else set())
+        places = sorted(cuts(t)) if t else []
+        assert all(0 < b - a <= REACH for a, b in zip(places, places[1:])) and all(c >= LEAD for c in places)
 
 
 def test_odd_documents(spark):
@@ -75,23 +79,44 @@ def test_query_catches_every_long_passage(spark, sf_dir):
             assert part in texts[r["first_doc_id"]].encode()
 
 
-def test_equal_stretches_have_an_equal_anchor():
+def test_equal_stretches_have_an_equal_chunk():
     rng = random.Random(3)
-    for seed in range(300):
+    for seed in range(400):
         size = rng.choice([2, 4, 26])
         line = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz"[:size]) for _ in range(n))  # noqa: B023, E731
         period = line(rng.randint(1, 40))
         stretch = (period * 100)[:STRETCH] if seed % 2 else line(STRETCH)
         heads = [line(rng.randint(0, 60)) for _ in range(2)]
         texts = next(chunks(pa.array([h + stretch + line(rng.randint(0, 60)) for h in heads])))
-        at, digest = anchors(texts)
+        rows, starts, ends, digest = digested(texts)
         seen = [
-            {(a - lo, d) for a, d in zip(at.tolist(), digest.tolist()) if lo <= a <= lo + STRETCH - 64}
-            for lo in (int(texts.offsets[i]) + len(heads[i]) for i in range(2))
+            {(a - lo, d) for r, a, b, d in zip(*(x.tolist() for x in (rows, starts, ends, digest))) if r == i and lo <= a and b <= lo + STRETCH}
+            for i, lo in ((i, int(texts.offsets[i]) + len(heads[i])) for i in range(2))
         ]
         assert seen[0] & seen[1]
 
 
+def test_every_shared_window_is_covered(spark, sf_dir):
+    """Against brute force over all windows of LEAST_BYTES bytes; what no such window holds is hardly reported."""
+    texts = {r["doc_id"]: (r["text"] or "").encode() for r in table(spark, sf_dir, "documents").collect()}
+    holders = collections.defaultdict(set)
+    for d, t in texts.items():
+        for i in range(len(t) - LEAST_BYTES + 1):
+            holders[hash(t[i : i + LEAST_BYTES])].add(d)
+    covered = {d: bytearray(len(t)) for d, t in texts.items()}
+    for r in QUERIES["op5_substring_dedup"](spark, sf_dir).collect():
+        covered[r["doc_id"]][r["start"] : r["start"] + r["length"]] = b"\1" * r["length"]
+    shared = reported = 0
+    for d, t in texts.items():
+        want = bytearray(len(t))
+        for i in range(len(t) - LEAST_BYTES + 1):
+            if len(holders[hash(t[i : i + LEAST_BYTES])]) > 1:
+                want[i : i + LEAST_BYTES] = b"\1" * LEAST_BYTES
+        assert all(c for w, c in zip(want, covered[d]) if w)
+        shared, reported = shared + sum(want), reported + sum(covered[d])
+    assert 0 < shared <= reported <= 1.05 * shared
+
+
 def test_every_planted_passage_is_found_to_its_ends(spark):
     """Passages of 51 words and periodic ones, some also in part in a document before."""
     rng = random.Random(11)
