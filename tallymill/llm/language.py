@@ -30,6 +30,8 @@ SAMPLE_CHARS = 1 << 20
 LANGUAGE_CHARS = 1 << 16
 #: Documents per language from which the sample is taken.
 SAMPLE_DOCUMENTS = 256
+#: Least characters that a drawn text gives.
+PART_CHARS = 64
 #: Letters of a language with a column in its table; its others are looked up by state and symbol.
 LETTERS = 62
 STRIP = 512
@@ -217,21 +219,25 @@ def predict(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarra
 
 
 def labelled_sample(labelled: DataFrame) -> dict[str, str]:
-    """About SAMPLE_DOCUMENTS documents per language, drawn by hash of the text.
+    """About 2 * SAMPLE_DOCUMENTS different texts per language, drawn by hash, and of each the first characters.
 
-    Languages are counted first, so that each draws at its own rate and only what
-    is drawn leaves the executors.  The fit alone is bounded; with many languages each sample gets shorter,
-    and none is left out.
+    Different texts are counted first by hash, so that each language draws at its own rate, repeated texts count
+    once, and only what is drawn leaves the executors.  A language with no more different texts than
+    that gives them all.  The fit alone is bounded: LANGUAGE_CHARS characters per language and SAMPLE_CHARS in all,
+    of a text a sixteenth of its language's share (4,096 characters up to 16 languages), PART_CHARS at least.
+    With many languages each sample gets shorter, and none is left out.
     """
     usable = labelled.where("text IS NOT NULL AND lang IS NOT NULL AND text <> ''")
-    counts = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
+    hashed = usable.select("lang", "text", F.xxhash64("text").alias("hash"))
+    counts = {r["lang"]: r["count"] for r in hashed.select("lang", "hash").distinct().groupBy("lang").count().collect()}
     if not counts:
         return {}
     share = min(LANGUAGE_CHARS, SAMPLE_CHARS // len(counts))
     rates = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 2 * SAMPLE_DOCUMENTS / n))])
-    drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 32)) / F.lit(float(1 << 32))
-    part = F.substring("text", 1, LANGUAGE_CHARS // 16).alias("part")
-    rows = usable.select("lang", drawn.alias("drawn"), part).where(F.col("drawn") < rates[F.col("lang")]).collect()
+    drawn = F.pmod("hash", F.lit(1 << 32)) / F.lit(float(1 << 32))
+    part = F.substring("text", 1, max(share // 16, PART_CHARS)).alias("part")
+    some = hashed.select("lang", "hash", drawn.alias("drawn"), part).where(F.col("drawn") < rates[F.col("lang")])
+    rows = some.groupBy("lang", "hash").agg(F.min("drawn").alias("drawn"), F.min("part").alias("part")).collect()
     by: dict[str, list[tuple[float, str]]] = {lang: [] for lang in counts}
     for row in rows:
         by[row["lang"]].append((row["drawn"], row["part"]))

@@ -2,10 +2,10 @@ import random
 import zlib
 
 import pytest
-from fixtures import ODD, documents, table
+from fixtures import ODD, documents, prose, table
 from pyspark.sql import functions as F
 
-from tallymill.llm.language import STRIP, identify, phrases, predict, train
+from tallymill.llm.language import SAMPLE_CHARS, STRIP, identify, labelled_sample, phrases, predict, train
 from tallymill.llm.queries import QUERIES
 
 
@@ -81,3 +81,18 @@ def test_letters_without_a_column_parse_alike():
     texts = [make(40) + samples["x"][100:130] + make(5) + samples["y"][50:90] for _ in range(20)]
     counts, _ = phrases(train(samples), texts)
     assert counts.tolist() == [[greedy(samples["x"], t), greedy(samples["y"], t)] for t in texts]
+
+
+def test_every_language_has_a_sample(spark):
+    """One text on all rows of a language, one beside many repeats of another, more texts than are drawn, many languages."""
+    same = [("one", "unus textus") for _ in range(3000)]
+    some = [("two", prose(1, 40))] * 2000 + [("two", prose(2, 40))]
+    many = [("many", prose(k, 30)) for k in range(3000)]
+    others = [(f"l{k}", prose(10_000 + k, 3000)) for k in range(30)]
+    frame = spark.createDataFrame([*same, *some, *many, *others, (None, "x y"), ("none", ""), ("none", None)], "lang string, text string")
+    got = labelled_sample(frame.repartition(5))
+    assert set(got) == {"one", "two", "many", *[k for k, _ in others]}
+    assert got["one"] == "unus textus" and sorted(got["two"].split("\n")) == sorted([prose(1, 40), prose(2, 40)])
+    share = SAMPLE_CHARS // len(got)
+    assert len(got["many"]) == share and all(got[k] == t[: share // 16] for k, t in others)
+    assert labelled_sample(frame.limit(0)) == {}
