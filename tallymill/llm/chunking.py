@@ -47,10 +47,6 @@ def cut_places(texts: Texts) -> np.ndarray:
     while width < WINDOW:
         rank[width:] += rank[:-width] << np.uint32(width)
         width *= 2
-    # small hashes of neighbouring places come together, which would make more cuts than chunks need
-    rank ^= rank >> np.uint32(16)
-    rank *= np.uint32(0x7FEB352D)
-    rank ^= rank >> np.uint32(15)
     if len(rank) < REACH:
         return np.zeros(0, np.int64)
     best, width = np.arange(len(rank)), 1
