@@ -68,7 +68,7 @@ def digested(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     row = np.searchsorted(texts.offsets, cuts - 1, "right") - 1
     beside = np.flatnonzero(row[1:] == row[:-1])
     starts, ends = cuts[beside] - LEAD, cuts[beside + 1]
-    return row[beside], starts, ends, span_hashes(texts, starts, ends, lower=False)
+    return row[beside], starts, ends, span_hashes(texts, starts, ends)
 
 
 def _chunk(batches: Batches, places: bool) -> Iterator[pa.RecordBatch]:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .spread import Batches, shared, stage
-from .text import NOT_SPACE, Texts, chunks, mix, span_hashes, word_bounds
+from .text import NOT_SPACE, Texts, chunks, mix, word_bounds, word_hashes
 
 SEQUENCE = 4096
 END_ID = 2
@@ -154,7 +154,7 @@ class UnitIds:
             return np.concatenate(ids), np.concatenate([[0], np.cumsum([len(x) for x in ids])])
         self.clock += 1
         starts, ends = unit_bounds(texts)
-        hashes = span_hashes(texts, starts, ends)
+        hashes = word_hashes(texts, starts, ends)
         unique, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.keys):
             self.make_room(len(unique))

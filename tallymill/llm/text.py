@@ -2,7 +2,8 @@
 
 Everything here works on one Arrow batch inside a task.  ``chunks`` walks a batch in
 pieces of about a megabyte so that temporary arrays stay small whatever the batch holds;
-a single longer text is a piece of its own.  A null text counts as an empty one.
+a single longer text is a piece of its own, of which a few flags per byte are kept, and hashes are
+made a megabyte at a time.  A null text counts as an empty one.
 """
 
 from __future__ import annotations
@@ -26,6 +27,11 @@ ALNUM[48:58] = ALNUM[65:91] = ALNUM[97:123] = ALNUM[128:] = True
 NOT_SPACE = np.ones(256, bool)
 NOT_SPACE[[9, 10, 11, 12, 13, 32]] = False
 
+#: Words are hashed modulo two primes below 2**31, so that sums over a megabyte fit 64 bits.  Modulo a power
+#: of two, words that collide under any multiplier are known.
+PRIMES = ((1 << 31) - 1, (1 << 31) - 19)
+BASES = (1_580_030_173, 1_125_899_839)
+
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -108,21 +114,71 @@ def word_bounds(texts: Texts, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
 
 
-def span_hashes(texts: Texts, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
-    """Hashes of the bytes between starts and ends, with A-Z lowered or as they are."""
-    up, down = powers(len(texts.data))
-    values = (LOWER[texts.data] if lower else texts.data).astype(np.uint64)
+def span_hashes(texts: Texts, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the bytes of short spans that may overlap; both starts and ends rise."""
+    out = np.zeros(len(starts), np.uint64)
+    lo = 0
+    while lo < len(starts):
+        hi = int(np.searchsorted(starts, starts[lo] + CHUNK_BYTES))
+        at, to = int(starts[lo]), int(ends[hi - 1])
+        up, down = powers(to - at)
+        values = texts.data[at:to].astype(np.uint64)
+        values += np.uint64(1)
+        values *= up[: len(values)]
+        sums = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values, out=sums[1:])
+        first = starts[lo:hi] - at
+        out[lo:hi] = (sums[ends[lo:hi] - at] - sums[first]) * down[first]
+        lo = hi
+    return mix(out)
+
+
+def prime_powers(k: int) -> np.ndarray:
+    """Powers of a base modulo its prime, as many as a chunk has bytes."""
+    name = f"prime {k}"
+    if name not in _powers:
+        line = np.ones(1, np.uint64)
+        while len(line) < CHUNK_BYTES:
+            line = np.concatenate([line, line * np.uint64(pow(BASES[k], len(line), PRIMES[k])) % np.uint64(PRIMES[k])])
+        _powers[name] = line
+    return _powers[name]
+
+
+def residues(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """The lowered bytes of spans, a chunk's bytes in all at most, as polynomials modulo each prime."""
+    first = np.cumsum(sizes) - sizes
+    within = np.arange(sizes.sum()) - np.repeat(first, sizes)
+    values = LOWER[data[within + np.repeat(starts, sizes)]].astype(np.uint64)
     values += np.uint64(1)
-    values *= up[: len(values)]
-    sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values, out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts])
+    return [np.add.reduceat(values * prime_powers(k)[within], first) % np.uint64(p) for k, p in enumerate(PRIMES)]
+
+
+def word_hashes(texts: Texts, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the lowered bytes of spans, of which none is empty; memory does not grow with a span."""
+    sizes = ends - starts
+    upto = np.cumsum(sizes)
+    out = np.zeros(len(starts), np.uint64)
+    lo = 0
+    while lo < len(starts):
+        hi = max(lo + 1, int(np.searchsorted(upto, upto[lo] - sizes[lo] + CHUNK_BYTES, "right")))
+        if sizes[lo] <= CHUNK_BYTES:
+            high, low = residues(texts.data, starts[lo:hi], sizes[lo:hi])
+            out[lo:hi] = (high << np.uint64(32)) | low
+        else:
+            sums = [0, 0]
+            for at in range(0, int(sizes[lo]), CHUNK_BYTES):
+                size = min(CHUNK_BYTES, int(sizes[lo]) - at)
+                part = residues(texts.data, starts[lo:hi] + at, np.array([size]))
+                sums = [(s + pow(b, at, p) * int(x[0])) % p for s, b, p, x in zip(sums, BASES, PRIMES, part)]
+            out[lo] = (sums[0] << 32) | sums[1]
+        lo = hi
+    return mix(out)
 
 
 def words(texts: Texts, kind: np.ndarray = ALNUM) -> Words:
     """Words of ``kind`` bytes; their hashes are of the lowered bytes."""
     starts, ends = word_bounds(texts, kind)
-    return Words(starts, ends, np.searchsorted(starts, texts.offsets), span_hashes(texts, starts, ends))
+    return Words(starts, ends, np.searchsorted(starts, texts.offsets), word_hashes(texts, starts, ends))
 
 
 def hash_words(phrase: str) -> np.ndarray:

@@ -49,6 +49,15 @@ def test_query(spark, sf_dir):
     assert check(QUERIES["op9_packing"](spark, sf_dir).collect(), texts, 4096) > 0.98
 
 
+def test_words_made_to_collide(spark):
+    word = "a"
+    for _ in range(11):
+        word += word.translate(str.maketrans("ab", "ba"))
+    texts = [(1, word), (2, word.translate(str.maketrans("ab", "ba")))]
+    rows = pack_documents(documents(spark, texts).coalesce(1)).collect()
+    check(rows, texts, 4096)
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_tree_packs_like_a_plain_search(seed):
     rng = random.Random(seed)

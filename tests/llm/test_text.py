@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 from fixtures import ODD, shingles, word_list
@@ -69,3 +71,42 @@ def test_groups_across_batches():
 def test_forest_finds_components():
     a, b = np.array([5, 4, 3, 1]), np.array([4, 3, 2, 0])
     assert forest(7, a, b).tolist() == [0, 0, 2, 2, 2, 2, 6]
+
+
+def thue_morse(k):
+    word = "a"
+    for _ in range(k):
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_made_to_collide():
+    for k in (9, 10, 11, 12):
+        rows = every_word([" ".join(thue_morse(k))], 1 << 20)
+        assert len({h for _, h in rows[0]}) == 2
+
+
+def test_a_long_word_is_hashed_in_pieces(monkeypatch):
+    texts = ["abcdefghijklmnopqrstuvwxyz0123456789 abc", "ABC abcdefghijklmnopqrstuvwxyz0123456789"]
+    whole = every_word(texts, 1 << 20)
+    monkeypatch.setattr(T, "CHUNK_BYTES", 8)
+    assert every_word(texts, 1 << 20) == whole
+    assert whole[0][0][1] == whole[1][1][1] and whole[0][1][1] == whole[1][0][1]
+
+
+def test_span_hashes_do_not_depend_on_the_stretch(monkeypatch):
+    part = next(T.chunks(pa.array(["0123456789" * 20])))
+    starts = np.arange(0, 190)
+    whole = T.span_hashes(part, starts, starts + 10)
+    monkeypatch.setattr(T, "CHUNK_BYTES", 7)
+    assert (T.span_hashes(part, starts, starts + 10) == whole).all() and len(set(whole.tolist())) == 10
+
+
+def test_memory_of_a_long_text():
+    part = next(T.chunks(pa.array(["lorem ipsum " * (40_000_000 // 12)])))
+    T.words(next(T.chunks(pa.array(["a b"]))))
+    tracemalloc.start()
+    found = T.words(part)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(set(found.hashes[:100].tolist())) == 2 and peak < 500e6
