@@ -6,6 +6,9 @@ partitions by size, and K grows with a partition's largest size u: K = (1 - t) u
 containment t no more than (1 - t) |item| shingles are missing, so a document that holds the item holds at
 least K - (1 - t) |item| of its sketch: the search loses nothing, and the hashes are a
 fraction of the shingles.  Candidates are verified on the shingles' words.
+
+Items of fewer than five words have no shingle.  On request such an item is sought as one run of all its
+words among the documents' runs of that length, by an exact join.
 """
 
 from __future__ import annotations
@@ -27,10 +30,10 @@ def word_list(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), SEPARATORS), "")
 
 
-def each_shingle(words: str, make) -> Column:
+def each_shingle(words: str, make, width: int = SHINGLE) -> Column:
     """``make`` of the word columns of each shingle; none if there are too few words."""
-    at = lambda i: [F.get(words, i + k) for k in range(SHINGLE)]
-    last = F.size(words) - SHINGLE
+    at = lambda i: [F.get(words, i + k) for k in range(width)]
+    last = F.size(words) - width
     return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: make(*at(i)))).otherwise(
         F.array().cast("array<string>" if make is phrase else "array<bigint>")
     )
@@ -64,13 +67,29 @@ def item_sketches(items: DataFrame, threshold: float, margin: int) -> DataFrame:
     return sketch.select("item_id", F.explode("sketch").alias("hash"), F.greatest(F.lit(1), F.col("k") - F.col("missing")).alias("need"))
 
 
-def contaminated(documents: DataFrame, items: DataFrame, *, threshold: float = THRESHOLD, margin: int = MARGIN) -> DataFrame:
+def short_matches(docs: DataFrame, tests: DataFrame, folder: str) -> DataFrame | None:
+    """(doc_id, item_id) where a document holds all words of a short item side by side; None without short items."""
+    sized = once(tests, "words", word_list(F.col("text"))).where(F.size("words").between(1, SHINGLE - 1))
+    items = stage(sized.select("item_id", F.size("words").alias("width"), F.concat_ws(" ", "words").alias("run")), folder, "short")
+    widths = sorted(r["width"] for r in items.select("width").distinct().collect())  # four at most
+    if not widths:
+        return None
+    runs = F.flatten(F.array(*[each_shingle("words", phrase, w) for w in widths]))
+    # words hold no blank, so a run's words can be told from its text
+    found = once(docs, "words", word_list(F.col("text"))).select("doc_id", F.explode(F.array_distinct(runs)).alias("run"))
+    return found.join(items, "run").select("doc_id", "item_id").distinct()
+
+
+def contaminated(
+    documents: DataFrame, items: DataFrame, *, threshold: float = THRESHOLD, margin: int = MARGIN, short_items: bool = False
+) -> DataFrame:
     """(doc_id, item_id, item_shingles, found_shingles, containment) where a document holds an item.
 
     ``documents`` has doc_id and text, ``items`` item_id and text; other columns are not read.  Shingles are
-    five words and counted once.  Null and empty texts, and texts of fewer than five words, have none: such
-    items are found nowhere.  Rows that share an id are one document, or item, of which the best
-    text counts; rows without one are left out.
+    five words and counted once.  With ``short_items`` an item of one to four words is one shingle of all of
+    them, met by a document that has them side by side; else such items are found nowhere, as are
+    null texts and texts without a word.  Rows that share an id are one document, or item, of which the best
+    text counts; rows without one are left out.  Texts are taken whole, however long, and an empty table gives no row.
     """
     docs = documents.where("doc_id IS NOT NULL").select("doc_id", "text")
     tests = items.where("item_id IS NOT NULL").select("item_id", "text").distinct()
@@ -83,13 +102,16 @@ def contaminated(documents: DataFrame, items: DataFrame, *, threshold: float = T
     candidates = stage(met.where("met >= need").select("doc_id", "item_id"), folder, "candidates")
     worded = lambda frame: once(frame, "words", word_list(F.col("text")))
     shingles = lambda frame: once(worded(frame), "shingles", F.array_distinct(each_shingle("words", phrase)))
-    item_texts = shingles(tests).select("item_id", F.col("shingles").alias("item_words"))
+    item_texts = shingles(tests).where(F.size("shingles") > 0).select("item_id", F.col("shingles").alias("item_words"))
     # items join by id, and a document's words are made once per pair that is a candidate
     pairs = shingles(docs.join(candidates, "doc_id")).select("doc_id", "item_id", "shingles").join(item_texts, "item_id")
     met = once(pairs, "found_shingles", F.size(F.array_intersect("shingles", "item_words")).cast("long"))
-    counted = met.select(
-        "doc_id", "item_id", F.size("item_words").cast("long").alias("item_shingles"), "found_shingles"
-    ).withColumn("containment", F.col("found_shingles") / F.col("item_shingles"))
+    counted = met.select("doc_id", "item_id", F.size("item_words").cast("long").alias("item_shingles"), "found_shingles")
+    short = short_matches(docs, tests, folder) if short_items else None
+    if short is not None:
+        one = F.lit(1).cast("long")
+        counted = counted.unionByName(short.select("doc_id", "item_id", one.alias("item_shingles"), one.alias("found_shingles")))
+    counted = counted.withColumn("containment", F.col("found_shingles") / F.col("item_shingles"))
     best = counted.where(F.col("found_shingles") >= F.ceil(F.col("item_shingles") * threshold - 1e-9))
     return best.groupBy("doc_id", "item_id").agg(
         F.max_by(F.struct("item_shingles", "found_shingles"), F.struct("containment", "found_shingles")).alias("x")
@@ -110,10 +132,19 @@ ORACLE = """
     ), bs AS (
         SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s
         FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 3, 1))) AS i FROM b)
-    ), n AS (SELECT item_id, count(*) AS item_shingles FROM bs GROUP BY item_id)
+    ), n AS (SELECT item_id, count(*) AS item_shingles FROM bs GROUP BY item_id
+    ), short AS (
+        SELECT item_id, len(w) AS k, array_to_string(w, ' ') AS s FROM b WHERE len(w) BETWEEN 1 AND 4
+    ), runs AS (
+        SELECT DISTINCT doc_id, array_to_string(w[i:i + k - 1], ' ') AS s
+        FROM (SELECT doc_id, w, k, unnest(range(1, greatest(len(w) - k + 2, 1))) AS i
+              FROM d, (SELECT DISTINCT k FROM short) AS widths)
+    )
     SELECT doc_id, item_id, item_shingles, count(*) AS found_shingles,
            count(*) / item_shingles AS containment
     FROM ds JOIN bs USING (s) JOIN n USING (item_id)
     GROUP BY doc_id, item_id, item_shingles
     HAVING count(*) >= ceil(item_shingles * 0.8 - 1e-9)
+    UNION ALL
+    SELECT DISTINCT doc_id, item_id, 1, 1, 1.0 FROM runs JOIN short USING (s)
 """

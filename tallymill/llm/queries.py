@@ -35,7 +35,7 @@ def _over(name: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), short_items=True)
 
 
 QUERIES: dict[str, Query] = {

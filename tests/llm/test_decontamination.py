@@ -1,3 +1,4 @@
+import duckdb
 from fixtures import LONG, ODD, documents, prose, shingles
 from oracle import connect, differences
 
@@ -36,6 +37,25 @@ def test_odd_documents(spark):
     assert contaminated(documents(spark, docs), items.limit(0)).collect() == []
 
 
+def test_short_items(spark, tmp_path):
+    docs = [*ODD, (20, "x, One two. THREE four y"), (21, "one  two three"), (22, "two three one"), (23, "four"), (None, "four"), (24, "a b c d e")]
+    items = [(1, "one two three"), (2, "Four!"), (3, None), (4, "..."), (5, "a b c d e"), (6, "two three four y"), (7, ITEM), (None, "one"), (2, ITEM), (8, "xd")]
+    frame = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "1 AS run", "2 AS width")
+    got = contaminated(documents(spark, docs, run=1, words="w"), frame, short_items=True).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["found_shingles"], r["containment"]) for r in got) == [
+        (20, 1, 1, 1.0), (20, 2, 1, 1.0), (20, 6, 1, 1.0), (21, 1, 1, 1.0), (23, 2, 1, 1.0), (24, 5, 1, 1.0),
+    ]
+    only = contaminated(documents(spark, docs), frame).collect()
+    assert [(r["doc_id"], r["item_id"]) for r in only] == [(24, 5)]
+    for name, rows, key in zip(("documents", "benchmark"), (docs, [i for i in items if i[0] != 2 or i[1] != ITEM]), ("doc_id", "item_id")):
+        rows = [r for r in rows if r[0] is not None and r[0] != 7]
+        spark.createDataFrame(rows, f"{key} long, text string").coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.sql(f"CREATE VIEW {name} AS FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    assert differences(QUERIES["op7_decontamination"](spark, str(tmp_path)), con, ORACLES["op7_decontamination"]) == ""
+
+
 def test_query(spark, sf_dir):
     frame = QUERIES["op7_decontamination"](spark, sf_dir)
     assert differences(frame, connect(sf_dir), ORACLES["op7_decontamination"]) == ""
