@@ -3,8 +3,8 @@
 A text is the set of its five-word shingles.  In each of RUNS runs a set chooses few of its
 shingles, by a hash and so that a shingle of two similar sets is likely chosen by both, and
 goes into the bucket of each.  A bucket of more than SMALL sets is split again: its sets choose again, by a hash of
-the path so far, down to DEPTH.  Small buckets are compared by brute force on
-sketches, which finds candidates; runs are repeated until a pair at the threshold
+the path so far, and more of them.  Small buckets are compared by brute force, short sets as they
+are and longer ones on sketches, which finds candidates; runs are repeated until a pair at the threshold
 meets with the target recall (see ``recall``).
 
 Candidates form groups, and within a group all pairs are compared on their whole sets: that verifies the
@@ -25,13 +25,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .spread import Batches, components, forest, gathered, groups, in_blocks, shared, stage
+from .spread import Batches, components, forest, gathered, groups, in_blocks, let_go, shared, stage
 from .text import MULTIPLIER, chunks, lists, mix, shingle_hashes, words
 
 SHINGLE = 5
 THRESHOLD = 0.8
 RUNS = 10
-DEPTH = 2
+#: Shingles that two sets at the threshold are expected to choose both, by depth.  The second choice is made in
+#: large buckets only and must make up for pairs that would part there.
+RATES = (1.0, 2.0)
+DEPTH = len(RATES)
 #: Sets in a bucket that is not split further.
 SMALL = 256
 #: Sets in a block when a bucket or a group is compared; a pair of blocks is what a task holds.
@@ -40,15 +43,21 @@ BLOCK = 512
 BINS = 128
 #: Standard deviations by which a sketch may underrate a pair before it is passed over.
 SLACK = 4.5
+#: Sets of at most so many shingles are compared exactly, for few bins of their sketches are in use.
+FEW = 48
 
 
-def recall(threshold: float = THRESHOLD, runs: int = RUNS) -> float:
-    """Chance that a pair at the threshold meets in a bucket of depth 1 in some run.
+def recall(runs: int = RUNS, depth: int = DEPTH) -> float:
+    """Chance that a pair at the threshold meets in some run, if all its buckets above ``depth`` are large.
 
-    A set of n shingles chooses each with chance 1 / (threshold n); the pair's common ones number
-    at least threshold times the larger set, so one on average is chosen by both.
+    A set of n shingles chooses each with chance rate / (threshold n); the pair's common ones number
+    at least threshold times the larger set, so ``rate`` on average are chosen by both, and each is a
+    bucket in which the pair must go on to meet.
     """
-    return 1 - math.exp(-1.0) ** runs
+    meets = 1.0
+    for rate in reversed(RATES[:depth]):
+        meets = 1 - math.exp(-rate * meets)
+    return 1 - (1 - meets) ** runs
 
 
 def digest(tokens: np.ndarray) -> bytes:
@@ -82,10 +91,10 @@ def choose(tokens: np.ndarray, paths: np.ndarray, limit: np.uint64) -> tuple[np.
 
 def chosen_paths(tokens: np.ndarray, runs: int, threshold: float) -> list[tuple[np.ndarray, np.ndarray]]:
     """(path, place among the paths one depth above that it goes on from) at each depth."""
-    limit = np.uint64(min(2**64 - 1, int(2.0**64 / (threshold * len(tokens)))))
     paths = mix(np.arange(1, runs + 1, dtype=np.uint64))
     out = []
-    for _ in range(DEPTH):
+    for rate in RATES:
+        limit = np.uint64(min(2**64 - 1, int(rate * 2.0**64 / (threshold * len(tokens)))))
         new, parent = choose(tokens, paths, limit)
         out.append((new, parent.astype(np.int32)))
         paths = new
@@ -96,7 +105,7 @@ def _sets(batches: Batches, runs: int, threshold: float, with_sets: bool) -> Ite
     for batch in batches:
         for texts in chunks(batch.column("text")):
             hashes, bounds = shingle_hashes(words(texts), SHINGLE)
-            rows, keys, sizes, sketches, tokens = [], [], [], [], []
+            rows, keys, sizes, sketches, tokens, few = [], [], [], [], [], []
             paths: list[list[np.ndarray]] = [[] for _ in range(2 * DEPTH)]
             for i in range(len(texts)):
                 own = np.unique(hashes[bounds[i] : bounds[i + 1]])
@@ -109,6 +118,7 @@ def _sets(batches: Batches, runs: int, threshold: float, with_sets: bool) -> Ite
                     continue
                 sizes.append(len(own))
                 sketches.append(sketch(own).tobytes())
+                few.append(own if len(own) <= FEW else own[:0])
                 for d, (new, parent) in enumerate(chosen_paths(own, runs, threshold)):
                     paths[2 * d].append(new)
                     paths[2 * d + 1].append(parent)
@@ -122,14 +132,15 @@ def _sets(batches: Batches, runs: int, threshold: float, with_sets: bool) -> Ite
                     pa.array(keys, pa.binary()),
                     pa.array(sizes, pa.int32()),
                     pa.array(sketches, pa.binary()),
+                    lists(few, pa.int64()),
                     *[lists(p, pa.int32() if i % 2 else pa.int64()) for i, p in enumerate(paths)],
                 ]
-                names = ["doc_id", "key", "size", "sketch", *PATH_NAMES]
+                names = ["doc_id", "key", "size", "sketch", "few", *PATH_NAMES]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
 PATH_NAMES = [f"{kind}_{d}" for d in range(1, DEPTH + 1) for kind in ("path", "from")]
-SETS = "doc_id long, key binary, size int, sketch binary, " + ", ".join(
+SETS = "doc_id long, key binary, size int, sketch binary, few array<long>, " + ", ".join(
     f"{n} array<{'long' if n.startswith('path') else 'int'}>" for n in PATH_NAMES
 )
 
@@ -166,7 +177,7 @@ def leaves(sets: DataFrame, folder: str, small: int) -> tuple[DataFrame, DataFra
 
 
 def _candidates(batches: Batches, threshold: float) -> Iterator[pa.RecordBatch]:
-    """Edges that hold together what the sketches of a pair of blocks take for similar."""
+    """Edges that hold together what is similar in a pair of blocks, short sets exactly, others by their sketches."""
     floor = threshold - SLACK * math.sqrt(threshold * (1 - threshold) / BINS)
     firsts: list[bytes] = []
     seconds: list[bytes] = []
@@ -177,6 +188,10 @@ def _candidates(batches: Batches, threshold: float) -> Iterator[pa.RecordBatch]:
         own = part["own"].to_numpy()
         marks = np.frombuffer(b"".join(part["sketch"].to_pylist()), np.uint8).reshape(-1, BINS)
         left, right = part["left"][0].as_py(), part["right"][0].as_py()
+        short = np.flatnonzero(size <= FEW)
+        place = np.full(len(size), -1)
+        place[short] = np.arange(len(short))
+        common = overlaps([np.array(part["few"][int(i)].values).view(np.uint64) for i in short]) if len(short) > 1 else None
         a = np.flatnonzero(own == left)
         b = np.flatnonzero(own == right) if right != left else a
         pairs: list[tuple[np.ndarray, np.ndarray]] = []
@@ -190,6 +205,10 @@ def _candidates(batches: Batches, threshold: float) -> Iterator[pa.RecordBatch]:
             used = (marks[others] != 0) | (marks[i] != 0)
             n = used.sum(1)
             good = (equal.sum(1) >= floor * n) | (n < BINS // 4)
+            if common is not None and place[i] >= 0:
+                exact = np.flatnonzero(place[others] >= 0)
+                met = common[place[i], place[others[exact]]]
+                good[exact] = met >= threshold * (size[i] + size[others[exact]] - met) - 1e-9
             pairs.append((np.full(good.sum(), i), others[good]))
         if not pairs:
             continue
@@ -272,17 +291,20 @@ def jaccard_classes(
     class_id the smallest doc_id reachable by links, and kept says that it is the row's own.  A text of
     one to four words is a set of one shingle; null texts and texts without a word have none, link
     with nothing and are classes of their own.  Rows that share a doc_id are compared like others; in a
-    class whose ids are all null class_id is null, and all of its rows are kept.
+    class whose ids are all null class_id is null, and all of its rows are kept.  Texts are taken whole, however
+    long, other columns of any name are not read, and an empty table gives no row.
     """
     folder = shared(documents)
     frame = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sets = stage(frame.mapInArrow(partial(_sets, runs=runs, threshold=threshold, with_sets=False), SETS), folder, "sets")
     # size, sketch and paths are functions of the set, so any of its rows has them
-    same = [F.first(c).alias(c) for c in ("size", "sketch", *PATH_NAMES)]
+    same = [F.first(c).alias(c) for c in ("size", "sketch", "few", *PATH_NAMES)]
     classes = sets.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), *same)
     classes = stage(classes, folder, "classes")
+    sets = stage(sets.select("doc_id", "key"), folder, "keys")
+    let_go(documents.sparkSession, f"{folder}/sets")
     members, sizes = leaves(classes, folder, small)
-    rows = members.join(classes.select("key", "size", "sketch"), "key")
+    rows = members.join(classes.select("key", "size", "sketch", "few"), "key")
     classes = classes.select("key", "doc_id", "copies")
     dealt = in_blocks(rows, sizes, ["path"], "key", block)
     edges = gathered(dealt, ["path", "left", "right"]).mapInArrow(
@@ -290,6 +312,7 @@ def jaccard_classes(
     )
     grouped = components(edges, f"{folder}/candidates").withColumnRenamed("node", "key")
     wanted = stage(grouped.join(classes, "key"), folder, "wanted")
+    let_go(documents.sparkSession)
     many = stage(wanted.groupBy("component").agg(F.count("*").alias("n")), folder, "groups")
     # by hash at every size: texts are never sorted, and only their ids' partitions are built
     build = wanted.hint("shuffle_hash").alias("w")

@@ -1,9 +1,11 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from fixtures import ODD, components, documents, prose, shingles, table
 
-from tallymill.llm.jaccard import jaccard_classes, recall
+from tallymill.llm.jaccard import _candidates, chosen_paths, digest, jaccard_classes, recall, sketch
 from tallymill.llm.queries import QUERIES
 
 
@@ -61,7 +63,42 @@ def test_groups_that_share_a_passage(spark, small, block):
 
 
 def test_recall_is_set_by_the_runs():
-    assert recall(runs=1) > 0.6 and recall() > 0.9999
+    assert recall(runs=1, depth=1) > 0.6 and recall(depth=1) > 0.9999 and recall() > 0.9998
+
+
+def meets(a, b, depth):
+    """Whether two sets share a path of ``depth`` choices."""
+    paths = [chosen_paths(x, 10, 0.8)[depth - 1][0] for x in (a, b)]
+    return bool(np.intersect1d(*paths).size)
+
+
+def test_recall_measured_at_each_depth():
+    rng = np.random.default_rng(5)
+    lost = [0, 0]
+    for _ in range(2000):
+        both = rng.integers(0, 2**64, 80, dtype=np.uint64)
+        a, b = (np.unique(np.concatenate([both, rng.integers(0, 2**64, 10, dtype=np.uint64)])) for _ in range(2))
+        for d in (1, 2):
+            lost[d - 1] += not meets(a, b, d)
+    assert lost[0] <= 4 and lost[1] <= 6
+
+
+@pytest.mark.parametrize("many", [200, 800])
+def test_short_texts_alike_in_one_shingle_are_no_candidates(many):
+    """The number of candidates does not grow with a bucket of unrelated short texts."""
+    rng = np.random.default_rng(2)
+    common = rng.integers(0, 2**64, 1, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([common, rng.integers(0, 2**64, 11, dtype=np.uint64)])) for _ in range(many)]
+    sets.append(np.unique(np.concatenate([sets[0][:-1], rng.integers(0, 2**64, 1, dtype=np.uint64)])))
+    batch = pa.RecordBatch.from_pydict(
+        {
+            "path": [1] * len(sets), "left": [0] * len(sets), "right": [0] * len(sets), "own": [0] * len(sets),
+            "key": [digest(x) for x in sets], "size": [len(x) for x in sets],
+            "sketch": [sketch(x).tobytes() for x in sets], "few": [x.view(np.int64).tolist() for x in sets],
+        }
+    )
+    edges = [e for out in _candidates([batch], 0.8) for e in zip(out["a"].to_pylist(), out["b"].to_pylist())]
+    assert {frozenset(e) for e in edges} == {frozenset((digest(sets[0]), digest(sets[-1])))}
 
 
 def test_query(spark, sf_dir):
