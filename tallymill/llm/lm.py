@@ -1,12 +1,20 @@
 """Language-model scoring by context-tree weighting over bytes.
 
-Each byte is eight binary decisions.  Every decision has, at every depth 0 to 3 of preceding
+Each byte is eight binary decisions.  Every decision has, at every depth 0 to DEPTH of preceding
 bytes, a Krichevsky-Trofimov estimate from all training texts, and a node weighs its own
 estimate against its children's by how well either codes the training data; so a text's probability mixes all
-depths.  Context bytes are taken as one of CLASSES classes (the most frequent bytes have
-one of their own, the boundary too), which bounds the tree at CLASSES ** 3 deepest nodes whatever the
-corpus; the predicted byte is exact.  Counts cover all training texts: tasks count n-grams and words, Spark adds
-them up, and only the tree's bounded table goes to the tasks.
+depths.  The tree has two parts:
+
+* Down to SHALLOW bytes a context byte is one of CLASSES classes (the most frequent bytes have
+  one of their own, the boundary too).  That part has CLASSES ** SHALLOW deepest nodes at most whatever the
+  corpus, and is weighted on the driver.
+* Below, contexts are exact bytes, and their number grows with the corpus.  They stay in Spark tables: nodes of one
+  context of SHALLOW + 1 bytes come together in a task (65,536 counts at most), which hands up their
+  weights and, once the upper part is known, makes the probability of each n-gram.
+
+Counts cover all training texts: tasks count n-grams and words, and Spark adds them up.  Documents are scored in
+blocks: a block lists its different n-grams, these are joined with their probabilities, and
+the block's texts meet the result in one task.
 
 A plain word model goes beside it.  Counts of frequent words go to the tasks (their number is
 bounded); all other words are joined with their counts, so no word is left out.
@@ -17,6 +25,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -25,16 +34,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .spread import Batches, shared, stage
+from .spread import Batches, gathered, shared, stage
 from .text import LOWER, NOT_SPACE, Texts, chunks, words
 
-DEPTH = 3
-CLASSES = 40
+DEPTH = 5
+SHALLOW = 3
+CLASSES = 32
 BOUNDARY = 255  # no byte of UTF-8; stands before the first byte and, once, after the last
 #: At most so many word counts are sent to tasks; the rest is joined.
 SENT_WORDS = 1 << 18
 #: Distinct keys that a task counts before it hands them on.
 HELD_KEYS = 1 << 20
+#: Text bytes after which a block of documents is closed; a longer text is a block of its own.
+BLOCK_BYTES = 32 << 20
+#: N-grams whose contexts a task holds at once, unless those of one short context are more.
+HELD_GRAMS = 1 << 13
 WORD, GRAM = 0, 1
 END_KEY = 0x0E4D_0E4D_0E4D_0E4D
 
@@ -92,9 +106,9 @@ def grams(texts: Texts) -> np.ndarray:
     """Each predicted byte, in the lowest eight bits, with the DEPTH bytes before it."""
     line, starts, ends = framed(texts)
     at = np.arange((ends - starts).sum()) + np.repeat(starts - np.concatenate([[0], np.cumsum(ends - starts)[:-1]]), ends - starts)
-    key = np.zeros(len(line), np.uint32)
+    key = np.zeros(len(line), np.uint64)
     for k in range(DEPTH, -1, -1):
-        key[DEPTH:] = (key[DEPTH:] << np.uint32(8)) | line[DEPTH - k : len(line) - k]
+        key[DEPTH:] = (key[DEPTH:] << np.uint64(8)) | line[DEPTH - k : len(line) - k]
     return key[at]
 
 
@@ -127,13 +141,32 @@ def kt_block(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return lgamma(a + 0.5) + lgamma(b + 0.5) - math.log(math.pi) - lgamma(a + b + 1.0)
 
 
+def kt_pairs(pair: np.ndarray) -> np.ndarray:
+    """``kt_block`` of the last axis; most nodes have no counts and need no logarithm."""
+    out = np.zeros(pair.shape[:-1])
+    some = pair.any(-1)
+    out[some] = kt_block(pair[some, 0], pair[some, 1])
+    return out
+
+
+def by_bit(counts: np.ndarray, level: int) -> np.ndarray:
+    """Zeros and ones of each node ``level`` bits into the byte, from counts of bytes."""
+    return counts.reshape(len(counts), 1 << level, 2, 128 >> level).sum(-1)
+
+
+def at_level(level: int) -> slice:
+    """Where a node's values of one level stand in its line of 255."""
+    return slice((1 << level) - 1, (2 << level) - 1)
+
+
 @dataclass
 class Tree:
-    """log10 probability of each byte after each context."""
+    """The upper part: of a one, what the nodes on a path give, and the weight left to what is below."""
 
     classes: np.ndarray  # class of a byte
-    row: np.ndarray  # of the table, by the classes of the DEPTH bytes before
-    table: np.ndarray  # (rows, 256) float32
+    row: np.ndarray  # of the tables, by the classes of the SHALLOW bytes before
+    path: np.ndarray  # (rows, 255)
+    left: np.ndarray  # (rows, 255)
 
 
 def byte_classes(counts: dict[int, int]) -> np.ndarray:
@@ -146,59 +179,158 @@ def byte_classes(counts: dict[int, int]) -> np.ndarray:
     return classes
 
 
-def grow(classes: np.ndarray, context: np.ndarray, byte: np.ndarray, n: np.ndarray) -> Tree:
-    """The weighted tree from counts of (context, byte); a context is its classes in base CLASSES.
+def grow(classes: np.ndarray, context: np.ndarray, byte: np.ndarray, n: np.ndarray, below: list[np.ndarray]) -> Tree:
+    """The upper part from counts of (context, byte); a context is its classes in base CLASSES.
 
     The last byte is the lowest digit, so a node's parent is its number modulo a power of CLASSES.
+    ``below`` has the contexts, lines' places and weights of what the deeper nodes code.
     """
     # what each context's row is made from: every seen node of the tree, and one unseen child of each
-    seen = [np.unique(context % CLASSES**d) for d in range(DEPTH + 1)]  # by depth
+    seen = [np.unique(context % CLASSES**d) for d in range(SHALLOW + 1)]  # by depth
     seen[0] = np.zeros(1, np.int64)
-    place = [np.full(CLASSES**d, -1, np.int64) for d in range(DEPTH + 1)]
-    for d in range(DEPTH + 1):
+    place = [np.full(CLASSES**d, -1, np.int64) for d in range(SHALLOW + 1)]
+    for d in range(SHALLOW + 1):
         place[d][seen[d]] = np.arange(len(seen[d]))
     counts = []
-    for d in range(DEPTH + 1):
+    for d in range(SHALLOW + 1):
         flat = place[d][context % CLASSES**d] * 256 + byte
         counts.append(np.bincount(flat, n, len(seen[d]) * 256).reshape(-1, 256))
-    every = [seen[DEPTH], *[seen[d] for d in range(DEPTH - 1, -1, -1)]]
-    table = [np.zeros((len(nodes), 256), np.float32) for nodes in every]
+    deeper = np.zeros((len(seen[SHALLOW]), 255))
+    deeper[place[SHALLOW][below[0]], below[1]] = below[2]
+    every = [seen[d] for d in range(SHALLOW, -1, -1)]
+    base = np.concatenate([[0], np.cumsum([len(nodes) for nodes in every])])
+    tables = np.zeros((base[-1], 255)), np.zeros((base[-1], 255))
     for level in range(8):
-        pair = [c.reshape(len(c), 1 << level, 2, 128 >> level).sum(-1) for c in counts]
-        own = [(p[:, :, 1] + 0.5) / (p.sum(-1) + 1) for p in pair]  # of a one
-        weighted = kt_block(pair[DEPTH][:, :, 0], pair[DEPTH][:, :, 1])
-        keep = [None] * (DEPTH + 1)
-        for d in range(DEPTH - 1, -1, -1):
-            below = np.zeros((len(seen[d]), 1 << level))
-            np.add.at(below, place[d][seen[d + 1] % CLASSES**d], weighted)
-            block = kt_block(pair[d][:, :, 0], pair[d][:, :, 1])
-            both = np.logaddexp(block, below)
+        pair = [by_bit(c, level) for c in counts]
+        weighted = deeper[:, at_level(level)]
+        keep = [np.zeros(0)] * (SHALLOW + 1)
+        for d in range(SHALLOW, -1, -1):
+            block = kt_pairs(pair[d])
+            both = np.logaddexp(block, weighted)
             keep[d] = np.exp(block - both)
-            weighted = both - math.log(2)
-        mixed = None  # of a one, by depth, with what stands below unseen
-        down = [None] * (DEPTH + 1)
-        for d in range(DEPTH + 1):
-            # along the path to depth d: sum of weights times estimates, and the weight left
-            if d == 0:
-                path, left = np.zeros_like(own[0]), np.ones_like(own[0])
-            else:
+            if d:
+                up = np.zeros((len(seen[d - 1]), 1 << level))
+                np.add.at(up, place[d - 1][seen[d] % CLASSES ** (d - 1)], both - math.log(2))
+                weighted = up
+        path, left = np.zeros((1, 1 << level)), np.ones((1, 1 << level))
+        for d in range(SHALLOW + 1):
+            if d:
                 up = place[d - 1][seen[d] % CLASSES ** (d - 1)]
-                path, left = down[d - 1][0][up], down[d - 1][1][up]
-            if d == DEPTH:
-                mixed = path + left * own[d]
-            else:
-                down[d] = (path + left * keep[d] * own[d], left * (1 - keep[d]))
-        ones = [mixed, *[down[d][0] + down[d][1] * 0.5 for d in range(DEPTH - 1, -1, -1)]]
-        for part, one in zip(table, ones):
-            bits = np.stack([np.log10(1 - one), np.log10(one)], axis=2).reshape(len(one), 2 << level)
-            part += np.repeat(bits, 128 >> level, axis=1).astype(np.float32)
-    base = np.concatenate([[0], np.cumsum([len(nodes) for nodes in every])])
-    row = np.zeros(CLASSES**DEPTH, np.int32)
-    contexts = np.arange(CLASSES**DEPTH)
-    for i, d in reversed(list(enumerate(range(DEPTH, -1, -1)))):
+                path, left = path[up], left[up]
+            own = (pair[d][:, :, 1] + 0.5) / (pair[d].sum(-1) + 1)
+            path, left = path + left * keep[d] * own, left * (1 - keep[d])
+            rows = slice(base[SHALLOW - d], base[SHALLOW - d + 1])
+            # below a node without the wanted child every bit has probability one half
+            tables[0][rows, at_level(level)] = path if d == SHALLOW else path + left * 0.5
+            tables[1][rows, at_level(level)] = left if d == SHALLOW else 0
+    row = np.zeros(CLASSES**SHALLOW, np.int32)
+    contexts = np.arange(CLASSES**SHALLOW)
+    for i, d in reversed(list(enumerate(range(SHALLOW, -1, -1)))):
         at = place[d][contexts % CLASSES**d]
         row = np.where(at >= 0, base[i] + at, row).astype(np.int32)
-    return Tree(classes, row, np.concatenate(table))
+    return Tree(classes, row, *tables)
+
+
+def class_context(classes: np.ndarray, contexts: np.ndarray) -> np.ndarray:
+    """The classes of the last SHALLOW bytes of exact contexts."""
+    out = np.zeros(len(contexts), np.int64)
+    for k in range(SHALLOW - 1, -1, -1):
+        out = out * CLASSES + classes[(contexts >> (8 * k)) & 255]
+    return out
+
+
+class Deep:
+    """Nodes of exact bytes, from all counts (0: asked for only) of some contexts of SHALLOW + 1 bytes."""
+
+    def __init__(self, keys: np.ndarray, n: np.ndarray):
+        self.byte = keys & 255
+        context = keys >> 8
+        depths = range(SHALLOW + 1, DEPTH + 1)
+        self.ids, self.counts, self.parent = [], [], []
+        for d in depths:
+            ids, at = np.unique(context & ((1 << (8 * d)) - 1), return_inverse=True)
+            self.counts.append(np.bincount(at * 256 + self.byte, n, len(ids) * 256).reshape(-1, 256))
+            self.parent.append(np.searchsorted(self.ids[-1], ids & ((1 << (8 * (d - 1))) - 1)) if self.ids else None)
+            self.ids.append(ids)
+        self.at = at
+
+    def weigh(self, level: int) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Log of what the uppermost nodes code with all below, and of each node the share of its own estimate."""
+        weighted = kt_pairs(by_bit(self.counts[-1], level))
+        keep = [np.ones_like(weighted)]
+        for i in range(len(self.ids) - 2, -1, -1):
+            below = np.zeros((len(self.ids[i]), 1 << level))
+            np.add.at(below, self.parent[i + 1], weighted)
+            block = kt_pairs(by_bit(self.counts[i], level))
+            both = np.logaddexp(block, below)
+            keep.insert(0, np.exp(block - both))
+            weighted = both - math.log(2)
+        return weighted, keep
+
+    def log10(self, tree: Tree) -> np.ndarray:
+        """log10 probability of each key's byte after its context."""
+        out = np.zeros(len(self.byte))
+        rows = tree.row[class_context(tree.classes, self.ids[0])]
+        for level in range(8):
+            _, keep = self.weigh(level)
+            path, left = tree.path[rows, at_level(level)], tree.left[rows, at_level(level)]
+            for i, share in enumerate(keep):
+                if i:
+                    path, left = path[self.parent[i]], left[self.parent[i]]
+                pair = by_bit(self.counts[i], level)
+                path = path + left * share * (pair[:, :, 1] + 0.5) / (pair.sum(-1) + 1)
+                left = left * (1 - share)
+            one = path[self.at, self.byte >> (8 - level)]
+            out += np.log10(np.where((self.byte >> (7 - level)) & 1, one, 1 - one))
+        return out
+
+
+def near(key: str = "key") -> Column:
+    """The last SHALLOW + 1 bytes of a key's context."""
+    return F.shiftrightunsigned(key, 8).bitwiseAND(F.lit((1 << (8 * (SHALLOW + 1))) - 1))
+
+
+def by_context(grams: DataFrame) -> DataFrame:
+    """(near, key, n): all n-grams of a near context together in a task."""
+    return gathered(grams.select(near().alias("near"), "key", "n"), ["near"])
+
+
+def whole_contexts(batches: Batches) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Keys and counts of a ``by_context`` frame, cut between near contexts."""
+    held: list[tuple[np.ndarray, ...]] = []
+    for batch in batches:
+        held.append(tuple(batch.column(c).to_numpy() for c in ("near", "key", "n")))
+        if sum(len(h[0]) for h in held) < HELD_GRAMS:
+            continue
+        part = [np.concatenate(x) for x in zip(*held)]
+        change = np.flatnonzero(part[0] != part[0][-1])
+        cut = int(change[-1]) + 1 if len(change) else 0
+        if cut:
+            yield part[1][:cut], part[2][:cut]
+        held = [tuple(x[cut:] for x in part)]
+    part = [np.concatenate(x) for x in zip(*held)] if held else [np.zeros(0)]
+    if len(part[0]):
+        yield part[1], part[2]
+
+
+def hand_up(batches: Batches, classes: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Per class context and place in its line what the exact nodes below code."""
+    for keys, n in whole_contexts(batches):
+        deep = Deep(keys, n)
+        parts = []
+        contexts = class_context(classes, deep.ids[0])
+        for level in range(8):
+            weighted, _ = deep.weigh(level)
+            row, node = np.nonzero(weighted)
+            parts.append((contexts[row] * 256 + node + (1 << level) - 1, weighted[row, node]))
+        nodes, which = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        sums = np.bincount(which, np.concatenate([p[1] for p in parts]), len(nodes))
+        yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(sums)], names=["node", "w"])
+
+
+def probabilities(batches: Batches, tree) -> Iterator[pa.RecordBatch]:
+    for keys, n in whole_contexts(batches):
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(Deep(keys, n).log10(tree.value))], names=["key", "log"])
 
 
 def learn(training: DataFrame, folder: str) -> DataFrame:
@@ -208,30 +340,30 @@ def learn(training: DataFrame, folder: str) -> DataFrame:
 
 
 def tree_of(counts: DataFrame) -> Tree:
-    """Only the counts of the bounded tree come to the driver."""
+    """The upper part; only its counts and the sums of what is below come to the driver."""
     found = counts.where(F.col("kind") == GRAM)
     byte = F.col("key").bitwiseAND(255).cast("int")
     by = {r["byte"]: r["n"] for r in found.groupBy(byte.alias("byte")).agg(F.sum("n").alias("n")).collect()}
     classes = byte_classes(by)
     class_of = F.array(*[F.lit(int(c)) for c in classes])
     context = F.lit(0)
-    for k in range(DEPTH, 0, -1):
+    for k in range(SHALLOW, 0, -1):
         digit = F.shiftrightunsigned("key", 8 * k).bitwiseAND(255).cast("int")
         context = context * CLASSES + F.element_at(class_of, digit + 1)
     few = found.groupBy(context.alias("context"), byte.alias("byte")).agg(F.sum("n").alias("n")).toArrow()
-    return grow(classes, *[few[c].to_numpy().astype(np.int64) for c in ("context", "byte", "n")])
+    up = by_context(found).mapInArrow(partial(hand_up, classes=classes), "node long, w double")
+    sums = up.groupBy("node").agg(F.sum("w").alias("w")).toArrow()
+    node = sums["node"].to_numpy().astype(np.int64)
+    below = [node // 256, node % 256, sums["w"].to_numpy()]
+    return grow(classes, *[few[c].to_numpy().astype(np.int64) for c in ("context", "byte", "n")], below)
 
 
-def byte_scores(tree: Tree, texts: Texts) -> np.ndarray:
-    """log10 probability of each text and its end."""
-    line, starts, ends = framed(texts)
-    kind = tree.classes[line].astype(np.int32)
-    context = np.zeros(len(line), np.int32)
-    for k in range(DEPTH, 0, -1):
-        context[DEPTH:] = context[DEPTH:] * CLASSES + kind[DEPTH - k : len(line) - k]
-    index = tree.row[context].astype(np.int64) * 256 + line
-    sums = np.concatenate([[0.0], np.cumsum(tree.table.ravel()[index], dtype=np.float64)])
-    return sums[ends] - sums[starts]
+def byte_scores(keys: np.ndarray, logs: np.ndarray, texts: Texts) -> np.ndarray:
+    """log10 probability of each text and its end; ``keys`` rise and hold all n-grams of the texts."""
+    at = np.searchsorted(keys, grams(texts).view(np.int64))
+    sums = np.concatenate([[0.0], np.cumsum(logs[at])])
+    ends = np.cumsum(np.diff(texts.offsets) + 1)
+    return sums[ends] - sums[ends - np.diff(texts.offsets) - 1]
 
 
 SCORED = T.StructType(
@@ -242,11 +374,44 @@ SCORED = T.StructType(
         T.StructField("n_tokens", T.LongType()),
         T.StructField("sent_known", T.LongType()),
         T.StructField("sent_log", T.DoubleType()),
-        T.StructField("score", T.DoubleType()),
         T.StructField("rare_words", T.ArrayType(T.LongType())),
         T.StructField("rare_times", T.ArrayType(T.IntegerType())),
+        T.StructField("block", T.LongType()),
+        T.StructField("text", T.StringType()),
+        T.StructField("keys", T.ArrayType(T.LongType())),
     ]
 )
+#: A document's columns beside its text when a block is scored.
+OWN = ("row", "doc_id", "n_bytes", "n_tokens", "sent_known", "sent_log")
+
+
+def listed(block: int, seen: Counter) -> Iterator[pa.RecordBatch]:
+    """Rows without a document that name a block's n-grams."""
+    for part in seen.out():
+        some = pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), part.column("key"))
+        columns = {"block": pa.array([block], pa.int64()), "keys": some}
+        kinds = pa.schema([(f.name, ARROW[f.name]) for f in SCORED.fields])
+        yield pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(1, f.type)) for f in kinds], schema=kinds)
+
+
+ARROW = {
+    **{c: pa.int64() for c in ("row", "doc_id", "n_bytes", "n_tokens", "sent_known", "block")},
+    "sent_log": pa.float64(),
+    "rare_words": pa.list_(pa.int64()),
+    "rare_times": pa.list_(pa.int32()),
+    "text": pa.string(),
+    "keys": pa.list_(pa.int64()),
+}
+
+
+def _score_block(texts: pa.Table, values: pa.Table) -> pa.Table:
+    keys, logs = values["key"].to_numpy(), values["log"].to_numpy()
+    order = np.argsort(keys)
+    keys, logs = keys[order], logs[order]
+    scores = [np.zeros(0)]
+    for column in texts["text"].chunks:
+        scores += [byte_scores(keys, logs, part) for part in chunks(column)]
+    return texts.select(list(OWN)).append_column("score", pa.array(np.concatenate(scores)))
 
 
 def score_documents(documents: DataFrame, training: DataFrame) -> DataFrame:
@@ -254,12 +419,12 @@ def score_documents(documents: DataFrame, training: DataFrame) -> DataFrame:
 
     doc_id, n_bytes, n_tokens, n_known, train_tokens, base_score, score and bits_per_byte (code length
     of the text and its end per byte, the end counted as one).  Null text is an empty one: one token, its end.
-    Without training rows every bit has probability one half.  Repeated rows and null ids get a row each.
+    Without training rows every bit has probability one half.  Repeated rows and null ids get a row each;
+    texts are taken whole, however long, other columns of any name are not read, and an empty table gives no row.
     """
     folder = shared(documents)
     counts = learn(training, folder)
     context = documents.sparkSession.sparkContext
-    tree = context.broadcast(tree_of(counts))
     known = counts.where(F.col("kind") == WORD)
     scale = known.groupBy(F.floor(F.log2("n")).alias("scale")).agg(F.count("*").alias("many"), F.sum("n").alias("n")).collect()
     train_tokens, distinct = sum(r["n"] for r in scale), sum(r["many"] for r in scale)
@@ -279,8 +444,9 @@ def score_documents(documents: DataFrame, training: DataFrame) -> DataFrame:
 
     def score(batches: Batches) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
-        number = task.partitionId() << 40
+        number = block = task.partitionId() << 40
         frequent, logs = sent.value
+        seen, held = Counter(GRAM), 0
         for batch in batches:
             for texts in chunks(batch.column("text")):
                 rows = len(texts)
@@ -304,15 +470,33 @@ def score_documents(documents: DataFrame, training: DataFrame) -> DataFrame:
                     pa.array(per + 1),
                     pa.array(sent_known),
                     pa.array(sent_log),
-                    pa.array(byte_scores(tree.value, texts)),
                     pa.ListArray.from_arrays(cuts, pa.array(unique[which].view(np.int64))),
                     pa.ListArray.from_arrays(cuts, pa.array(times.astype(np.int32))),
+                    pa.array(np.full(rows, block)),
+                    batch.column("text").slice(texts.first, rows),
+                    pa.nulls(rows, ARROW["keys"]),
                 ]
                 number += rows
+                own = np.unique(grams(texts))
+                seen.add(own, np.ones(len(own)))
+                held += len(texts.data)
                 yield pa.RecordBatch.from_arrays(columns, names=SCORED.names)
+                if seen.full() or held > BLOCK_BYTES:
+                    yield from listed(block, seen)
+                    block, held = block + 1, 0
+        yield from listed(block, seen)
 
     frame = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scored = stage(frame.mapInArrow(score, SCORED), folder, "scored")
+    prepared = stage(frame.mapInArrow(score, SCORED), folder, "prepared", "zstd")
+    asked = prepared.where("keys IS NOT NULL").select(F.col("block").alias("of"), F.explode("keys").alias("key"))
+    trained = counts.where(F.col("kind") == GRAM).select("key", "n")
+    every = trained.unionByName(asked.select("key", F.lit(0).cast("long").alias("n"))).groupBy("key").agg(F.sum("n").alias("n"))
+    tree = context.broadcast(tree_of(counts))
+    logs = stage(by_context(every).mapInArrow(partial(probabilities, tree=tree), "key long, log double"), folder, "logs")
+    values = asked.join(logs, "key").groupBy("of")
+    scored = prepared.where("keys IS NULL")
+    score_type = T.StructType([*[f for f in SCORED.fields if f.name in OWN], T.StructField("score", T.DoubleType())])
+    whole = scored.select(*OWN, "text", "block").groupBy("block").cogroup(values).applyInArrow(_score_block, score_type)
     rare = scored.select("row", F.explode(F.arrays_zip("rare_words", "rare_times")).alias("x")).select(
         "row", F.col("x.rare_words").alias("key"), F.col("x.rare_times").alias("times")
     )
@@ -320,7 +504,7 @@ def score_documents(documents: DataFrame, training: DataFrame) -> DataFrame:
     joined = rare.join(few, "key").groupBy("row").agg(
         F.sum("times").alias("rare_known"), F.sum(F.col("times") * F.col("log")).alias("rare_log")
     )
-    whole = scored.drop("rare_words", "rare_times").join(joined, "row", "left")
+    whole = whole.join(joined, "row", "left")
     rest = F.lit(math.log10(train_tokens + distinct + 1))
     return whole.select(
         "doc_id",

@@ -1,16 +1,16 @@
 import collections
+import functools
 import math
 import re
 import zlib
 
 import numpy as np
-import pyarrow as pa
 import pytest
-from fixtures import ODD, documents, lowered, table
+from fixtures import ODD, documents, lowered, prose, table
 
-from tallymill.llm.lm import BOUNDARY, DEPTH, byte_classes, byte_scores, grams, grow, lgamma, score_documents
+from tallymill.llm import lm
+from tallymill.llm.lm import BOUNDARY, DEPTH, SHALLOW, byte_classes, lgamma, score_documents
 from tallymill.llm.queries import QUERIES
-from tallymill.llm.text import chunks
 
 
 def tokens(text):
@@ -35,75 +35,78 @@ def kt(a, b):
     return out
 
 
+def node_of(line, i, d, classes):
+    """A context of d bytes: classes down to SHALLOW, exact bytes below."""
+    before = tuple(line[i - d : i])
+    return (d, before if d > SHALLOW else tuple(classes[b] for b in before))
+
+
 def plain_tree(training, classes):
-    """The same mixture by recursion over nodes (depth, context, bits so far)."""
+    """The same mixture by recursion over nodes (context, bits so far)."""
     counts = collections.defaultdict(lambda: [0, 0])
+    children = collections.defaultdict(set)
     for line in training:
         for i in range(DEPTH, len(line)):
-            context = tuple(classes[b] for b in line[i - DEPTH : i])
             bits = f"{line[i]:08b}"
             for d in range(DEPTH + 1):
                 for k in range(8):
-                    counts[context[DEPTH - d :], bits[:k]][int(bits[k])] += 1
-    children = collections.defaultdict(set)
-    for context, bits in counts:
-        if context:
-            children[context[1:], bits].add((context, bits))
+                    node = node_of(line, i, d, classes), bits[:k]
+                    counts[node][int(bits[k])] += 1
+                    if d:
+                        children[node_of(line, i, d - 1, classes), bits[:k]].add(node)
 
+    @functools.cache
     def weighted(node):
         own = kt(*counts[node])
-        if len(node[0]) == DEPTH:
+        if node[0][0] == DEPTH:
             return own
-        below = sum(weighted(c) for c in children[node])
-        return math.log(0.5) + np.logaddexp(own, below)
+        return math.log(0.5) + np.logaddexp(own, sum(weighted(c) for c in children[node]))
 
-    def one(node):
-        n = counts.get(node, [0, 0])
-        return (n[1] + 0.5) / (sum(n) + 1)
-
-    def probability(context, byte):
+    def score(line):
         total = 0.0
-        for k, bit in enumerate(f"{byte:08b}"):
-            p, left = 0.0, 1.0
-            for d in range(DEPTH + 1):
-                node = (context[DEPTH - d :], f"{byte:08b}"[:k])
-                if node not in counts:  # nothing below has been seen
-                    p, left = p + left * 0.5, 0.0
-                    break
-                keep = 1.0
-                if d < DEPTH:
-                    below = sum(weighted(c) for c in children[node])
-                    own = kt(*counts[node])
-                    keep = math.exp(own - np.logaddexp(own, below))
-                p, left = p + left * keep * one(node), left * (1 - keep)
-            total += math.log10(p if bit == "1" else 1 - p)
+        for i in range(DEPTH, len(line)):
+            bits = f"{line[i]:08b}"
+            for k in range(8):
+                p, left = 0.0, 1.0
+                for d in range(DEPTH + 1):
+                    node = node_of(line, i, d, classes), bits[:k]
+                    if node not in counts:  # nothing below has been seen
+                        p, left = p + left * 0.5, 0.0
+                        break
+                    n, keep = counts[node], 1.0
+                    if d < DEPTH:
+                        own = kt(*n)
+                        keep = math.exp(own - np.logaddexp(own, sum(weighted(c) for c in children[node])))
+                    p, left = p + left * keep * (n[1] + 0.5) / (sum(n) + 1), left * (1 - keep)
+                total += math.log10(p if bits[k] == "1" else 1 - p)
         return total
 
-    return probability
-
-
-def test_tree_is_the_recursive_mixture():
-    training = ["abab", "abba é", "", "ba ba"]
-    part = next(chunks(pa.array(training)))
-    keys, n = np.unique(grams(part), return_counts=True)
-    keys = keys.astype(np.int64)
-    by = collections.Counter()
-    for key, times in zip(keys.tolist(), n.tolist()):
-        by[key & 255] += times
-    classes = byte_classes(by)
-    context = np.zeros(len(keys), np.int64)
-    for k in range(DEPTH, 0, -1):
-        context = context * 40 + classes[(keys >> (8 * k)) & 255]
-    tree = grow(classes, context, keys & 255, n)
-    lines = [[BOUNDARY] * DEPTH + list(t.encode()) + [BOUNDARY] for t in training]
-    plain = plain_tree(lines, classes)
-    texts = ["abab", "", "xyz", "baé b"]
-    scores = byte_scores(tree, next(chunks(pa.array(texts))))
-    for text, score in zip(texts, scores):
-        line = [BOUNDARY] * DEPTH + list(text.encode()) + [BOUNDARY]
-        want = sum(plain(tuple(classes[b] for b in line[i - DEPTH : i]), line[i]) for i in range(DEPTH, len(line)))
-        assert score == pytest.approx(want, rel=1e-4)
-    assert np.allclose((10.0 ** tree.table.astype(float)).sum(1), 1, atol=1e-4)
+    return score
+
+
+def line_of(text):
+    return [BOUNDARY] * DEPTH + list(lowered(text).encode()) + [BOUNDARY]
+
+
+def check_scores(got, texts, training):
+    by = collections.Counter(b for t in training for b in line_of(t)[DEPTH:])
+    score = plain_tree([line_of(t) for t in training], byte_classes(by))
+    for r in got:
+        assert r["score"] == pytest.approx(score(line_of(texts[r["doc_id"]])), rel=1e-6)
+
+
+@pytest.mark.parametrize("held, block", [(1 << 13, 32 << 20), (1, 1)])
+def test_scores_are_the_recursive_mixture(spark, monkeypatch, held, block):
+    """Whatever is held at once and however the texts fall into blocks; more letters than classes."""
+    monkeypatch.setattr(lm, "HELD_GRAMS", held)
+    monkeypatch.setattr(lm, "BLOCK_BYTES", block)
+    odd = "".join(chr(c) for c in range(0x430, 0x450)) + "!#$%&*+0123456789:;<=>?"
+    training = ["abab", "abba é", "", "ba ba", prose(5, 40), prose(5, 40)[30:90] + odd, prose(6, 30), odd[::-1]]
+    texts = dict(enumerate([*training[:3], "xyz", "baé b", prose(5, 40)[:50] + prose(6, 30), "日本語", odd * 2]))
+    frame = documents(spark, [(None, t) for t in training])
+    got = score_documents(documents(spark, list(texts.items())).coalesce(1), frame).collect()
+    assert len(got) == len(texts)
+    check_scores(got, texts, training)
 
 
 def test_lgamma():
