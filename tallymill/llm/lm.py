@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .spread import Batches, gathered, shared, stage
+from .spread import Batches, gathered, let_go, shared, stage
 from .text import LOWER, NOT_SPACE, Texts, chunks, words
 
 DEPTH = 5
@@ -73,8 +73,9 @@ class Counter:
         self.held = len(first)
 
     def full(self) -> bool:
-        if self.held > 2 * HELD_KEYS:
-            self.merge()
+        if self.held <= 2 * HELD_KEYS:
+            return False
+        self.merge()
         return self.held > HELD_KEYS
 
     def out(self) -> Iterator[pa.RecordBatch]:
@@ -493,6 +494,7 @@ def score_documents(documents: DataFrame, training: DataFrame) -> DataFrame:
     every = trained.unionByName(asked.select("key", F.lit(0).cast("long").alias("n"))).groupBy("key").agg(F.sum("n").alias("n"))
     tree = context.broadcast(tree_of(counts))
     logs = stage(by_context(every).mapInArrow(partial(probabilities, tree=tree), "key long, log double"), folder, "logs")
+    let_go(documents.sparkSession)
     values = asked.join(logs, "key").groupBy("of")
     scored = prepared.where("keys IS NULL")
     score_type = T.StructType([*[f for f in SCORED.fields if f.name in OWN], T.StructField("score", T.DoubleType())])
