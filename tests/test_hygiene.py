@@ -15,7 +15,7 @@ from tallymill.operators import flag_counts, flag_summary, flag_summary_unpivot,
 from tallymill.operators.summaries import grouping_counts_sql
 from tallymill.sinks import shared_folder, write_partitioned
 from tallymill.workloads import QUERIES
-from tallymill.workloads.standin import raw_incidents
+from tallymill.workloads.standin import raw_incidents, typed_incidents
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -163,3 +163,13 @@ assert len(names) > 60 and not any(n.startswith("op") or n == "pipeline" for n i
 assert set(e.oracle_sql()) == names
 """
     subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True)
+
+
+def test_times_of_a_wide_row_leave_methods_short_enough_to_compile(spark, sf_dir):
+    """The JVM runs methods of 8,000 bytes of code and more interpreted, row after row."""
+    typed = typed_incidents(spark, sf_dir)
+    plan_of(typed)
+    debug = getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$").__getattr__("MODULE$")
+    made = debug.codegenStringSeq(typed._jdf.queryExecution().executedPlan())
+    sizes = [made.apply(i)._3().maxMethodCodeSize() for i in range(made.size())]
+    assert sizes and all(size < 8000 for size in sizes), sizes
