@@ -14,7 +14,9 @@ import tallymill.plans.jobs as jobs
 from tallymill.operators import flag_counts, flag_summary, flag_summary_unpivot, profile, validation
 from tallymill.operators.summaries import grouping_counts_sql
 from tallymill.sinks import shared_folder, write_partitioned
+from tallymill.sources.readers import read_incidents_csv
 from tallymill.workloads import QUERIES
+from tallymill.workloads.queries import _raw_csv
 from tallymill.workloads.standin import raw_incidents, typed_incidents
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -173,3 +175,11 @@ def test_times_of_a_wide_row_leave_methods_short_enough_to_compile(spark, sf_dir
     made = debug.codegenStringSeq(typed._jdf.queryExecution().executedPlan())
     sizes = [made.apply(i)._3().maxMethodCodeSize() for i in range(made.size())]
     assert sizes and all(size < 8000 for size in sizes), sizes
+
+
+def test_raw_files_are_compressed(spark, sf_dir):
+    """As text the raw records take several times the bytes of all else that a query writes."""
+    _, raw = _raw_csv(spark, sf_dir)
+    files = glob.glob(f"{raw}/part-*")
+    assert files and all(name.endswith(".csv.gz") for name in files)
+    assert read_incidents_csv(spark, raw).exceptAll(raw_incidents(spark, sf_dir)).isEmpty()
