@@ -161,7 +161,8 @@ def leaves(sets: DataFrame, folder: str, small: int) -> tuple[DataFrame, DataFra
                 f"path_{d}", f"from_{d}", lambda p, i: F.struct(p.alias("path"), F.get(f"path_{d - 1}", i).alias("parent"))
             )
             every = sets.select("key", F.inline(pairs))
-            at = every.join(large.select(F.col("path").alias("parent")), "parent").select("path", "key")
+            # a path is there once, so a set's choices are kept or not and never multiplied
+            at = every.join(large.select(F.col("path").alias("parent")), "parent", "left_semi").select("path", "key")
         found = stage(at.groupBy("path").agg(F.count("*").alias("n")).where("n > 1"), folder, f"buckets_{d}")
         here = found if d == DEPTH else found.where(F.col("n") <= small)
         rows.append(at)
