@@ -181,5 +181,5 @@ def test_raw_files_are_compressed(spark, sf_dir):
     """As text the raw records take several times the bytes of all else that a query writes."""
     _, raw = _raw_csv(spark, sf_dir)
     files = glob.glob(f"{raw}/part-*")
-    assert files and all(name.endswith(".csv.gz") for name in files)
+    assert files and all(name.endswith(".csv.snappy") for name in files)
     assert read_incidents_csv(spark, raw).exceptAll(raw_incidents(spark, sf_dir)).isEmpty()
