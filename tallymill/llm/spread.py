@@ -39,10 +39,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stage(frame: DataFrame, folder: str, name: str, compression: str | None = None) -> DataFrame:
     """Cut the lineage: a written table survives the loss of any executor."""
-    if compression is None:
-        return staged(frame, f"{folder}/{name}")
-    frame.write.mode("overwrite").option("compression", compression).parquet(f"{folder}/{name}")
-    return frame.sparkSession.read.parquet(f"{folder}/{name}")
+    return staged(frame, f"{folder}/{name}", compression)
 
 
 def let_go(spark: SparkSession, *folders: str) -> None:

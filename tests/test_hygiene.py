@@ -79,6 +79,28 @@ def test_partitioned_write_keeps_files_few(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "few")).count() == 4000
 
 
+def test_partitioned_write_moves_no_rows_between_tasks(spark, tmp_path, monkeypatch):
+    """Wide rows take several times their stored bytes in an exchange; small files are merged instead."""
+    path = str(tmp_path / "d")
+    frame = spark.range(0, 300, numPartitions=20).select(
+        "id",
+        F.when(F.col("id") % 3 < 2, F.concat(F.lit("a/b %="), F.col("id") % 3)).alias("place"),
+        (F.col("id") % 2).cast("int").alias("Year"),
+    )
+    spark.range(1).withColumn("Year", F.lit(1950)).write.partitionBy("Year").parquet(path)
+    for name in ("hint", "repartition", "repartitionByRange"):
+        monkeypatch.setattr(type(frame), name, None)
+    write_partitioned(frame, path, by=["Year", "place"])
+    monkeypatch.undo()
+    back = spark.read.parquet(path)
+    assert back.exceptAll(frame.select(back.columns)).isEmpty() and back.count() == 300
+    assert sorted(os.listdir(path))[-3:] == ["Year=0", "Year=1", "_SUCCESS"] and len(glob.glob(f"{path}/*/*/*.parquet")) == 6
+    write_partitioned(back.where("Year = 1").limit(7), path, by=["Year", "place"], max_records_per_file=3)
+    assert spark.read.parquet(path).count() == 7 and not os.path.exists(f"{path}/Year=0")
+    write_partitioned(frame.limit(0), path)
+    assert glob.glob(f"{path}/*") in ([], [f"{path}/_SUCCESS"])
+
+
 def test_a_hot_order_is_split(spark, sf_dir, tmp_path):
     """Half of all lines belong to one order; event columns are read too."""
     for name in ("orders", "customer", "nation", "events"):
