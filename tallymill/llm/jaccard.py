@@ -157,19 +157,24 @@ def leaves(sets: DataFrame, folder: str, small: int) -> tuple[DataFrame, DataFra
         if large is None:
             at = sets.select("key", F.explode("path_1").alias("path"))
         else:
+            # sets with a choice in a large bucket, one row each; only these choose again
+            chosen = rows[-1].join(large, "path", "left_semi").groupBy("key").agg(F.collect_set("path").alias("held"))
+            chosen = stage(chosen, folder, f"chosen_{d}")
             pairs = F.zip_with(
                 f"path_{d}", f"from_{d}", lambda p, i: F.struct(p.alias("path"), F.get(f"path_{d - 1}", i).alias("parent"))
             )
-            every = sets.select("key", F.inline(pairs))
-            # a path is there once, so a set's choices are kept or not and never multiplied
-            at = every.join(large.select(F.col("path").alias("parent")), "parent", "left_semi").select("path", "key")
+            again = sets.select("key", pairs.alias("pairs")).join(chosen, "key")
+            held = again.select("key", F.inline(F.filter("pairs", lambda p: F.array_contains("held", p["parent"]))))
+            at = held.select("path", "key")
         found = stage(at.groupBy("path").agg(F.count("*").alias("n")).where("n > 1"), folder, f"buckets_{d}")
         here = found if d == DEPTH else found.where(F.col("n") <= small)
         rows.append(at)
         sizes.append(here)
-        large = found.where(F.col("n") > small)
-        if d < DEPTH and large.isEmpty():
-            break
+        if d < DEPTH:
+            # stored apart: they are few, and with their size known Spark can send them to the tasks
+            large = stage(found.where(F.col("n") > small).select("path"), folder, f"large_{d}")
+            if large.isEmpty():
+                break
     members = [r.join(s, "path").select("path", "key") for r, s in zip(rows, sizes)]
     whole, known = members[0], sizes[0]
     for r, s in zip(members[1:], sizes[1:]):

@@ -5,8 +5,9 @@ import pyarrow as pa
 import pytest
 from fixtures import ODD, components, documents, prose, shingles, table
 
-from tallymill.llm.jaccard import _candidates, chosen_paths, digest, jaccard_classes, recall, sketch
+from tallymill.llm.jaccard import PATH_NAMES, _candidates, chosen_paths, digest, jaccard_classes, leaves, recall, sketch
 from tallymill.llm.queries import QUERIES
+from tallymill.sinks import shared_folder
 
 
 def plain(rows, threshold=0.8):
@@ -101,6 +102,33 @@ def test_short_texts_alike_in_one_shingle_are_no_candidates(many):
     assert {frozenset(e) for e in edges} == {frozenset((digest(sets[0]), digest(sets[-1])))}
 
 
+def test_a_set_in_large_buckets_is_found_once_and_chooses_again(spark):
+    """One row per set goes through the joins, however many large buckets and choices it has."""
+    rng = np.random.default_rng(3)
+    common = rng.integers(0, 2**63, 20, dtype=np.uint64)
+    near = [np.unique(np.append(common, rng.integers(0, 2**63, 1, dtype=np.uint64))) for _ in range(9)]
+    sets = near + [np.unique(rng.integers(0, 2**63, 20, dtype=np.uint64)) for _ in range(5)]
+    rows, buckets = [], [{}, {}]
+    for own in sets:
+        levels = chosen_paths(own, 10, 0.8)
+        rows.append([digest(own), *[x.view(np.int64).tolist() if i == 0 else x.tolist() for level in levels for i, x in enumerate(level)]])
+        for d in range(2):
+            for path in rows[-1][1 + 2 * d]:
+                buckets[d].setdefault(path, set()).add(digest(own))
+    large = {p for p, k in buckets[0].items() if len(k) > 4}
+    assert large
+    want = {(k, p) for p, keys in buckets[0].items() if 1 < len(keys) <= 4 for k in keys}
+    below = {(r[0], p) for r in rows for p, i in zip(r[3], r[4]) if r[1][i] in large}
+    times = {p: sum(q == p for _, q in below) for _, p in below}
+    want |= {(k, p) for k, p in below if times[p] > 1}
+    kinds = ", ".join(f"{n} array<{'long' if n.startswith('path') else 'int'}>" for n in PATH_NAMES)
+    frame = spark.createDataFrame([tuple(r) for r in rows], f"key binary, {kinds}")
+    folder = shared_folder(spark)
+    got = [(bytes(r["key"]), r["path"]) for r in leaves(frame, folder, 4)[0].collect()]
+    assert set(got) == want and len(got) == len(want)
+    assert spark.read.parquet(f"{folder}/chosen_2").count() == len({k for p in large for k in buckets[0][p]})
+
+
 def test_query(spark, sf_dir):
     rows = [(r["doc_id"], r["text"]) for r in table(spark, sf_dir, "documents").collect()]
     assert shown(QUERIES["op2_jaccard_join"](spark, sf_dir)) == plain(rows)
