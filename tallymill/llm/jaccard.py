@@ -18,7 +18,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -145,8 +145,8 @@ SETS = "doc_id long, key binary, size int, sketch binary, few array<long>, " + "
 )
 
 
-def leaves(sets: DataFrame, folder: str, small: int) -> tuple[DataFrame, DataFrame]:
-    """(path, key) of the buckets that are compared, and (path, n), their sizes.
+def leaves(sets: DataFrame, folder: str, small: int) -> DataFrame:
+    """(path, key, n) of the buckets that are compared, n sets in each.
 
     Buckets of one set are dropped; those of more than ``small`` are split at the next depth,
     except at the last.
@@ -175,11 +175,8 @@ def leaves(sets: DataFrame, folder: str, small: int) -> tuple[DataFrame, DataFra
             large = stage(found.where(F.col("n") > small).select("path"), folder, f"large_{d}")
             if large.isEmpty():
                 break
-    members = [r.join(s, "path").select("path", "key") for r, s in zip(rows, sizes)]
-    whole, known = members[0], sizes[0]
-    for r, s in zip(members[1:], sizes[1:]):
-        whole, known = whole.unionByName(r), known.unionByName(s)
-    return whole, known
+    members = [r.join(s, "path").select("path", "key", "n") for r, s in zip(rows, sizes)]
+    return reduce(DataFrame.unionByName, members)
 
 
 def _candidates(batches: Batches, threshold: float) -> Iterator[pa.RecordBatch]:
@@ -309,10 +306,9 @@ def jaccard_classes(
     classes = stage(classes, folder, "classes")
     sets = stage(sets.select("doc_id", "key"), folder, "keys")
     let_go(documents.sparkSession, f"{folder}/sets")
-    members, sizes = leaves(classes, folder, small)
-    rows = members.join(classes.select("key", "size", "sketch", "few"), "key")
+    rows = leaves(classes, folder, small).join(classes.select("key", "size", "sketch", "few"), "key")
     classes = classes.select("key", "doc_id", "copies")
-    dealt = in_blocks(rows, sizes, ["path"], "key", block)
+    dealt = in_blocks(rows, "key", block)
     edges = gathered(dealt, ["path", "left", "right"]).mapInArrow(
         partial(_candidates, threshold=threshold), "a binary, b binary"
     )
@@ -321,14 +317,14 @@ def jaccard_classes(
     let_go(documents.sparkSession)
     many = stage(wanted.groupBy("component").agg(F.count("*").alias("n")), folder, "groups")
     # by hash at every size: texts are never sorted, and only their ids' partitions are built
-    build = wanted.hint("shuffle_hash").alias("w")
+    build = wanted.join(many, "component").hint("shuffle_hash").alias("w")
     texts = frame.alias("d").join(build, F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")))
-    texts = texts.select("d.text", "w.key", "w.component", "w.copies")
+    texts = texts.select("d.text", "w.key", "w.component", "w.copies", "w.n")
     whole = texts.mapInArrow(
         partial(_sets, runs=runs, threshold=threshold, with_sets=True),
-        "key binary, component binary, copies long, made binary, tokens array<long>",
+        "key binary, component binary, copies long, n long, made binary, tokens array<long>",
     ).where("key = made").drop("made")
-    pairs = gathered(in_blocks(whole, many, ["component"], "key", block), ["component", "left", "right"])
+    pairs = gathered(in_blocks(whole, "key", block), ["component", "left", "right"])
     links = stage(pairs.mapInArrow(partial(_links, threshold=threshold), "key binary, links long, head binary"), folder, "links")
     linked = links.groupBy("key").agg(F.sum("links").alias("links"))
     final = components(links.select(F.col("key").alias("a"), F.col("head").alias("b")), f"{folder}/final")

@@ -58,21 +58,18 @@ def shared(frame: DataFrame) -> str:
     return shared_folder(frame.sparkSession)
 
 
-def in_blocks(
-    rows: DataFrame, sizes: DataFrame, key: Sequence[str], salt: str, block: int
-) -> DataFrame:
+def in_blocks(rows: DataFrame, salt: str, block: int) -> DataFrame:
     """Deal the rows of each key into blocks and pair the blocks.
 
-    ``sizes`` holds (key, n), n rows per key; keys not in it are dropped.  A key of n rows
+    Each row has n, the rows of its key; it is joined while rows are narrow.  A key of n rows
     gets ceil(n / block) blocks, and each row goes to every pair of blocks that its own is
     in, with ``left`` and ``right`` naming the pair.  So a task meets about two blocks at
     most, and every two rows of a key meet in exactly one pair of blocks, or, from one block, in that
     block's pair with itself.  ``salt`` is the column that spreads rows over blocks.
     """
-    known = rows.join(sizes, list(key))
     many = F.ceil(F.col("n") / F.lit(block)).cast("int")
     own = F.pmod(F.xxhash64(salt), many).cast("int")
-    dealt = known.withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0), many - 1)))
+    dealt = rows.withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0), many - 1)))
     return (
         dealt.withColumn("left", F.least("_own", "_other"))
         .withColumn("right", F.greatest("_own", "_other"))

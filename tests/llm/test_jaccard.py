@@ -124,8 +124,10 @@ def test_a_set_in_large_buckets_is_found_once_and_chooses_again(spark):
     kinds = ", ".join(f"{n} array<{'long' if n.startswith('path') else 'int'}>" for n in PATH_NAMES)
     frame = spark.createDataFrame([tuple(r) for r in rows], f"key binary, {kinds}")
     folder = shared_folder(spark)
-    got = [(bytes(r["key"]), r["path"]) for r in leaves(frame, folder, 4)[0].collect()]
+    found = leaves(frame, folder, 4).collect()
+    got = [(bytes(r["key"]), r["path"]) for r in found]
     assert set(got) == want and len(got) == len(want)
+    assert all(r["n"] == sum(p == r["path"] for _, p in got) for r in found)
     assert spark.read.parquet(f"{folder}/chosen_2").count() == len({k for p in large for k in buckets[0][p]})
 
 
