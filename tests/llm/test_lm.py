@@ -5,12 +5,14 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from fixtures import ODD, documents, lowered, prose, table
 
 from tallymill.llm import lm
 from tallymill.llm.lm import BOUNDARY, DEPTH, SHALLOW, byte_classes, lgamma, score_documents
 from tallymill.llm.queries import QUERIES
+from tallymill.llm.text import chunks
 
 
 def tokens(text):
@@ -135,3 +137,22 @@ def test_query(spark, sf_dir):
     check_base(got, texts, [t for d, t in texts.items() if d not in out])
     held = [r["bits_per_byte"] for r in got if r["held_out"] and r["n_tokens"] > 50]
     assert sorted(held)[len(held) // 2] < 3
+
+
+def plain_grams(text):
+    line = line_of(text)
+    return [int.from_bytes(bytes(line[i - DEPTH : i + 1])) for i in range(DEPTH, len(line))]
+
+
+@pytest.mark.parametrize("texts", [["", ""], ["a"], ["", "ab", "", "é", "日本語 x"], [t or "" for _, t in ODD]])
+def test_grams_are_found_where_they_stand(texts):
+    """Each byte with those before it; a text's sum does not need its n-grams sorted."""
+    found = np.concatenate([lm.grams(part) for part in chunks(pa.array(texts))])
+    assert found.tolist() == [g for t in texts for g in plain_grams(t)]
+    keys = lm.each_once(found)
+    assert keys.tolist() == sorted(set(found.tolist())) and not len(lm.each_once(keys[:0]))
+    mixed = np.random.default_rng(1).permutation(keys)
+    assert (mixed[lm.Places(mixed.view(np.int64)).of(found)] == found).all()
+    assert not len(lm.Places(mixed).of(keys[:0]))
+    with pytest.raises(KeyError):
+        lm.Places(mixed).of(np.array([1 << 60], np.uint64))
