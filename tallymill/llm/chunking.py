@@ -47,19 +47,27 @@ def cut_places(texts: Texts) -> np.ndarray:
     while width < WINDOW:
         rank[width:] += rank[:-width] << np.uint32(width)
         width *= 2
-    if len(rank) < REACH:
+    size = len(rank)
+    if size < REACH:
         return np.zeros(0, np.int64)
-    best, width = np.arange(len(rank)), 1
+    # the place counts from the end and stands below the rank, so that of equals the last is least
+    least = rank.astype(np.uint64)
+    least <<= np.uint64(32)
+    least |= np.arange(size - 1, -1, -1, dtype=np.uint64)
+    width = 1
     while width < REACH:
-        left, right = best[:-width], best[width:]
-        later = rank[width:] <= rank[:-width]
-        best, rank = np.where(later, right, left), np.where(later, rank[width:], rank[:-width])
+        least = np.minimum(least[:-width], least[width:])
         width *= 2
-    first, long = np.arange(len(best)), np.diff(texts.offsets)
-    whole = first >= np.repeat(texts.offsets[:-1], long)[: len(best)] + LEAD - 1
-    whole &= first + REACH <= np.repeat(texts.offsets[1:], long)[: len(best)]
-    best = best[whole] + 1  # rises, since the last of equals is taken
-    return best[np.concatenate([[True], best[1:] != best[:-1]])] if len(best) else best
+    # of each text: places whose windows reach before it or into its first bytes, whole ones, those that reach beyond it
+    long = np.diff(texts.offsets)
+    some = np.maximum(long - (LEAD - 1) - (REACH - 1), 0)
+    before = np.where(some > 0, LEAD - 1, long)
+    whole = np.repeat(np.tile([False, True, False], len(long)), np.stack([before, some, long - before - some], axis=1).ravel())
+    least = least[whole[: len(least)]]  # places rise
+    if not len(least):
+        return np.zeros(0, np.int64)
+    least = least[np.concatenate([[True], least[1:] != least[:-1]])]
+    return size - (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
 def digested(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -122,6 +130,25 @@ def _sided(batches: Batches) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(begins), pa.array(ends)], names=[*batch.schema.names, "begins", "ends"])
 
 
+def _stretches(batches: Batches) -> Iterator[pa.RecordBatch]:
+    """Adjoining chunks inside a run as one row, where all are held first or all are copies.
+
+    Nothing is carried on from chunks that neither begin nor end their run, and what is carried on from the others
+    starts before or behind them all.  A stretch that lies in two batches makes two rows.
+    """
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        row, doc_id, start, long, first_doc_id = (batch.column(n).to_numpy() for n in ("row", "doc_id", "start", "long", "first_doc_id"))
+        inner = ~pc.or_(batch.column("begins"), batch.column("ends")).to_numpy(zero_copy_only=False)
+        low, high, kept = start.astype(np.int64), start.astype(np.int64) + long, doc_id == first_doc_id
+        on = inner[1:] & inner[:-1] & (row[1:] == row[:-1]) & (kept[1:] == kept[:-1]) & (low[1:] + LEAD == high[:-1])
+        first = np.flatnonzero(np.concatenate([[True], ~on]))
+        upto = np.append(first[1:], len(row))
+        columns = [row[first], doc_id[first], low[first], high[upto - 1], np.minimum.reduceat(first_doc_id, first), upto - first]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["row", "doc_id", "low", "high", "first_doc_id", "chunks"])
+
+
 def _beside(batches: Batches) -> Iterator[pa.RecordBatch]:
     """The up to REACH - 1 bytes before or behind each edge's chunk, the nearest first."""
     for batch in batches:
@@ -227,7 +254,7 @@ def repeated_spans(documents: DataFrame, *, least_bytes: int = LEAST_BYTES) -> D
     digests = frame.mapInArrow(partial(_chunk, places=False), "digest long, doc_id long")
     common = stage(_in_several(digests), folder, "common")
     columns = "digest long, doc_id long, key long, row long, start int, long int"
-    places = keyed.mapInArrow(partial(_chunk, places=True), columns).join(common, "digest")
+    places = keyed.mapInArrow(partial(_chunk, places=True), columns).join(common.hint("shuffle_hash"), "digest")
     sided = gathered(places, ["row"], ["start"]).mapInArrow(_sided, f"{columns}, first_doc_id long, begins boolean, ends boolean")
     found = stage(sided, folder, "found")
     # all places of the chunks that stand where some run begins or ends
@@ -247,10 +274,11 @@ def repeated_spans(documents: DataFrame, *, least_bytes: int = LEAST_BYTES) -> D
     high = F.col("start") + F.col("long") + F.when(F.col("before"), 0).otherwise(F.col("size"))
     rows = found.select("row", "doc_id", "key").distinct()
     longer = rows.join(most, ["doc_id", "key"]).select(
-        "row", "doc_id", low.cast("long").alias("low"), high.cast("long").alias("high"), "first_doc_id"
+        "row", "doc_id", low.cast("long").alias("low"), high.cast("long").alias("high"), "first_doc_id", F.lit(1).cast("long").alias("chunks")
+    )
+    whole = found.drop("digest", "key").mapInArrow(
+        _stretches, "row long, doc_id long, low long, high long, first_doc_id long, chunks long"
     )
-    low, high = F.col("start").cast("long"), (F.col("start") + F.col("long")).cast("long")
-    whole = found.select("row", "doc_id", low.alias("low"), high.alias("high"), "first_doc_id")
     # runs of chunks that touch, and in them parts that are held first or copies
     parts = whole.unionByName(longer).withColumn("kept", F.col("doc_id") == F.col("first_doc_id"))
     line = W.partitionBy("row").orderBy("low", "high")
@@ -268,7 +296,7 @@ def repeated_spans(documents: DataFrame, *, least_bytes: int = LEAST_BYTES) -> D
     spans = runs.groupBy("row", "part", "doc_id", "kept", "from", "to").agg(
         F.min("low").alias("low"),
         F.max("high").alias("high"),
-        F.count("*").alias("chunks"),
+        F.sum("chunks").alias("chunks"),
         F.min("first_doc_id").alias("first_doc_id"),
     )
     start = F.least("low", F.greatest("from", F.col("high") - least_bytes))

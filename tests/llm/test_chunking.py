@@ -4,7 +4,7 @@ import random
 import pyarrow as pa
 from fixtures import LONG, ODD, documents, prose, table
 
-from tallymill.llm.chunking import LEAD, LEAST_BYTES, REACH, STRETCH, cut_places, digested, repeated_spans
+from tallymill.llm.chunking import GEAR, LEAD, LEAST_BYTES, REACH, STRETCH, WINDOW, _stretches, cut_places, digested, repeated_spans
 from tallymill.llm.queries import QUERIES
 from tallymill.llm.text import chunks
 
@@ -145,3 +145,42 @@ def test_every_planted_passage_is_found_to_its_ends(spark):
         covered[r["doc_id"]] |= set(range(r["start"], r["start"] + r["length"]))
     for d, low, high in want:
         assert set(range(low, high)) <= covered[d]
+
+
+def test_cuts_are_the_last_least_places_of_their_windows():
+    rng = random.Random(5)
+    for _ in range(60):
+        sizes = [rng.choice([0, 1, 62, 63, 64, 65, 140]) for _ in range(rng.randint(1, 5))]
+        texts = next(chunks(pa.array(["".join(rng.choice("abc"[: rng.randint(1, 3)]) for _ in range(n)) for n in sizes])))
+        want = set()
+        for lo, hi in zip(texts.offsets.tolist(), texts.offsets[1:].tolist()):
+            rank = [sum(int(GEAR[texts.data[i - k]]) << k for k in range(min(i + 1, WINDOW))) % (1 << 32) for i in range(hi)]
+            for first in range(lo + LEAD - 1, hi - REACH + 1):
+                want.add(min(range(first, first + REACH), key=lambda i: (rank[i], -i)) + 1)
+        assert cut_places(texts).tolist() == sorted(want)
+
+
+def test_adjoining_chunks_inside_a_run_are_one_row():
+    """Not over a gap, a change of row or of who holds them first, nor with those that begin or end a run."""
+    names = ["row", "doc_id", "start", "long", "first_doc_id", "begins", "ends"]
+    rows = [
+        (1, 7, 0, 40, 3, True, False),
+        (1, 7, 8, 50, 4, False, False),
+        (1, 7, 26, 50, 2, False, False),
+        (1, 7, 44, 50, 7, False, False),
+        (1, 7, 62, 50, 7, False, False),
+        (1, 7, 90, 50, 7, False, False),  # the chunk before it stands nowhere else
+        (1, 7, 108, 50, 7, False, True),
+        (2, 8, 126, 50, 5, False, False),
+        (2, 8, 144, 50, 6, False, False),
+    ]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=names)
+    got = [tuple(r.values()) for part in _stretches([batch, batch.slice(0, 0)]) for r in part.to_pylist()]
+    assert got == [
+        (1, 7, 0, 40, 3, 1),
+        (1, 7, 8, 76, 2, 2),
+        (1, 7, 44, 112, 7, 2),
+        (1, 7, 90, 140, 7, 1),
+        (1, 7, 108, 158, 7, 1),
+        (2, 8, 126, 194, 5, 2),
+    ]
