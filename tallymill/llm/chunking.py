@@ -208,7 +208,9 @@ def _carried(places: DataFrame, folder: str) -> DataFrame:
         {"up": F.when(~as_other(F.lag), F.lag("beside").over(line)), "down": F.when(~as_other(F.lead), F.lead("beside").over(line))}
     )
     up = F.last("up", True).over(line.rowsBetween(W.unboundedPreceding, 0))
-    down = F.first("down", True).over(line.rowsBetween(0, W.unboundedFollowing))
+    # the next below, by rows that fall: a frame to the last row is read anew for every row of a group
+    falling = W.partitionBy(*by, F.substring("beside", 1, NEAR)).orderBy(F.desc("beside"))
+    down = F.last("down", True).over(falling.rowsBetween(W.unboundedPreceding, 0))
     near = sorted_.withColumns({"up": up, "down": down}).mapInArrow(
         _alike, "digest long, before boolean, beside binary, first long, last long, size long"
     )

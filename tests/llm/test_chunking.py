@@ -4,8 +4,10 @@ import random
 import pyarrow as pa
 from fixtures import LONG, ODD, documents, prose, table
 
+from tallymill.llm import chunking
 from tallymill.llm.chunking import GEAR, LEAD, LEAST_BYTES, REACH, STRETCH, WINDOW, _stretches, cut_places, digested, repeated_spans
 from tallymill.llm.queries import QUERIES
+from tallymill.llm.spread import stage
 from tallymill.llm.text import chunks
 
 
@@ -184,3 +186,19 @@ def test_adjoining_chunks_inside_a_run_are_one_row():
         (1, 7, 108, 158, 7, 1),
         (2, 8, 126, 194, 5, 2),
     ]
+
+
+def test_no_window_reads_the_rest_of_its_group_for_every_row(spark, monkeypatch):
+    """A frame from each row to the group's last takes the square of a group's rows."""
+    plans = []
+
+    def staged(frame, *args):
+        plans.append(frame._jdf.queryExecution().toString())
+        return stage(frame, *args)
+
+    monkeypatch.setattr(chunking, "stage", staged)
+    passage = prose(42, 60)
+    got = repeated_spans(documents(spark, [(1, passage + prose(1, 30)), (2, prose(2, 30) + passage)])).collect()
+    assert {r["doc_id"] for r in got} == {1, 2}
+    assert any("currentrow$()" in p or "unboundedpreceding$()" in p for p in plans)
+    assert not any("currentrow$(), unboundedfollowing$()" in p or "0, unboundedfollowing$()" in p for p in plans)
