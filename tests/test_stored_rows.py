@@ -1,6 +1,7 @@
 """Stored rows that are deduplicated and written without moving or sorting more of them than must be."""
 
 import glob
+import os
 import random
 
 import pytest
@@ -11,8 +12,8 @@ import tallymill.operators.rows as rows
 import tallymill.sinks.writers as writers
 from tallymill.plans import jobs
 from tallymill.sinks import staged, write_partitioned
-from tallymill.workloads.queries import QUERIES, _prepare_then_states
-from tallymill.workloads.standin import raw_incidents, typed_incidents
+from tallymill.workloads.queries import QUERIES, _prepare_then_states, _raw_csv
+from tallymill.workloads.standin import cleaned_incidents, raw_incidents, typed_incidents
 
 
 def rows_of(frame):
@@ -71,7 +72,7 @@ def test_whole_rows_are_not_exchanged(spark, tmp_path):
     assert rows_of(found) == rows_of(rows.dedup_by_key(frame, ["k"]))
 
 
-@pytest.mark.parametrize("name", ["prepare_then_state_summary"])
+@pytest.mark.parametrize("name", ["prepare_then_state_summary", "year_rewrite"])
 def test_queries_that_store_rows_twice_move_few_whole_ones(spark, sf_dir, name, monkeypatch):
     """A dedup that exchanges whole rows took more disk than all else these queries write."""
     whole = []
@@ -118,6 +119,15 @@ def test_wide_rows_are_read_in_slices(spark, tmp_path, monkeypatch):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 6000
 
 
+def test_what_is_read_no_more_is_let_go(spark, sf_dir, tmp_path):
+    root = str(tmp_path / "root")
+    cleaned = cleaned_incidents(spark, sf_dir, root)
+    assert os.listdir(root) == ["cleaned"]
+    assert rows_of(cleaned) == rows_of(cleaned_incidents(spark, sf_dir)) == rows_of(writers.read_slices(spark, f"{root}/cleaned"))
+    folder, raw = _raw_csv(spark, sf_dir)
+    assert os.listdir(folder.removeprefix("file:")) == ["raw_csv"] and glob.glob(f"{raw}/part-*")
+
+
 def test_merged_parts_are_let_go_one_by_one(spark, tmp_path, monkeypatch):
     """Of a partitioned write no value is stored twice for longer than it takes to merge it."""
     monkeypatch.setattr(writers, "WRITERS", 1)
