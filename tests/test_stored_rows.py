@@ -12,7 +12,7 @@ import tallymill.operators.rows as rows
 import tallymill.sinks.writers as writers
 from tallymill.plans import jobs
 from tallymill.sinks import staged, write_partitioned
-from tallymill.workloads.queries import QUERIES, _prepare_then_states, _raw_csv
+from tallymill.workloads.queries import QUERIES, _prepare_tables, _raw_csv
 from tallymill.workloads.standin import cleaned_incidents, raw_incidents, typed_incidents
 
 
@@ -72,7 +72,7 @@ def test_whole_rows_are_not_exchanged(spark, tmp_path):
     assert rows_of(found) == rows_of(rows.dedup_by_key(frame, ["k"]))
 
 
-@pytest.mark.parametrize("name", ["prepare_then_state_summary", "year_rewrite"])
+@pytest.mark.parametrize("name", ["prepare_then_state_summary", "prepare_job_tables", "year_rewrite"])
 def test_queries_that_store_rows_twice_move_few_whole_ones(spark, sf_dir, name, monkeypatch):
     """A dedup that exchanges whole rows took more disk than all else these queries write."""
     whole = []
@@ -155,5 +155,5 @@ def test_the_raw_files_of_the_prepare_job_are_small(spark, sf_dir, monkeypatch):
     seen = []
     job = jobs.prepare_job
     monkeypatch.setattr(jobs, "prepare_job", lambda spark, raw, *a, **k: seen.extend(glob.glob(f"{raw}/part-*")) or job(spark, raw, *a, **k))
-    _prepare_then_states(spark, sf_dir)
+    _prepare_tables(spark, sf_dir)
     assert seen and all(name.endswith(".csv.gz") for name in seen)
