@@ -72,7 +72,7 @@ def test_whole_rows_are_not_exchanged(spark, tmp_path):
     assert rows_of(found) == rows_of(rows.dedup_by_key(frame, ["k"]))
 
 
-@pytest.mark.parametrize("name", ["prepare_then_state_summary", "prepare_job_tables", "year_rewrite"])
+@pytest.mark.parametrize("name", ["prepare_then_state_summary", "prepare_job_tables", "year_rewrite", "content_checks"])
 def test_queries_that_store_rows_twice_move_few_whole_ones(spark, sf_dir, name, monkeypatch):
     """A dedup that exchanges whole rows took more disk than all else these queries write."""
     whole = []
