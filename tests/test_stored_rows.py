@@ -74,7 +74,7 @@ def test_whole_rows_are_not_exchanged(spark, tmp_path):
 
 @pytest.mark.parametrize("name", ["prepare_then_state_summary", "prepare_job_tables", "year_rewrite", "content_checks"])
 def test_queries_that_store_rows_twice_move_few_whole_ones(spark, sf_dir, name, monkeypatch):
-    """A dedup that exchanges whole rows took more disk than all else these queries write."""
+    """A dedup that exchanges whole rows took a large part of the disk these queries need."""
     whole = []
     plain = rows.dedup_by_key
     total = typed_incidents(spark, sf_dir).count()
